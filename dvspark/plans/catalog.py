@@ -179,3 +179,485 @@ def q_mart_fx_rates(spark, sf_dir):
 )
 def q_fx_cross_rates(spark, sf_dir):
     return M.fx_cross_rates(fx_mart(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ raw layer
+from dvspark.functions.hashing import hash_key, hash_key_composite  # noqa: E402
+from dvspark.operators import quality as Q  # noqa: E402
+from dvspark.operators import raw as R  # noqa: E402
+
+RAW_QUOTE_COLS = [f.name for f in S.RAW_QUOTES.fields]
+RAW_RATE_COLS = [f.name for f in S.RAW_RATES.fields]
+RAW_INSTRUMENT_COLS = [f.name for f in S.RAW_INSTRUMENTS.fields]
+
+
+def replayed(df: DataFrame, delay: str, **changes) -> DataFrame:
+    """``df`` plus a later copy of every row with altered values (a replay)."""
+    later = df.withColumn("loaded_at", F.col("loaded_at") + F.expr(f"INTERVAL {delay}"))
+    for name, col in changes.items():
+        later = later.withColumn(name, col)
+    return df.unionByName(later)
+
+
+@register("raw_quotes_first_wins", O.sql("SELECT * FROM raw_quotes", "raw_quotes"))
+def q_raw_quotes_first_wins(spark, sf_dir):
+    """Intraday load already stored; all loads replayed with restated closes.
+
+    The replay (one hour later, close + 1) and the already stored rows must
+    vanish: the table equals the first arrivals.
+    """
+    raw = tv.raw_quotes(spark, sf_dir)
+    existing = raw.where(F.col("source") == tv.INTRADAY_SOURCE)
+    batch = replayed(raw, "1 HOUR", close_price=(F.col("close_price") + 1).cast(S.PRICE))
+    return R.load_raw(batch, S.RAW_QUOTES_KEY, existing).select(*RAW_QUOTE_COLS)
+
+
+@register("raw_rates_first_wins", O.sql("SELECT * FROM raw_rates", "raw_rates"))
+def q_raw_rates_first_wins(spark, sf_dir):
+    """R2: cbr rows stored; every rate replayed an hour later, doubled."""
+    raw = tv.raw_rates(spark, sf_dir)
+    existing = raw.where(F.col("source") == tv.CBR_SOURCE)
+    batch = replayed(raw, "1 HOUR", rate=(F.col("rate") * 2).cast(S.RATE))
+    return R.load_raw(batch, S.RAW_RATES_KEY, existing).select(*RAW_RATE_COLS)
+
+
+@register("raw_instruments", O.sql("SELECT * FROM raw_instruments", "raw_instruments"))
+def q_raw_instruments(spark, sf_dir):
+    """Reference data loaded first-wins on (symbol, source); a renamed replay is ignored."""
+    raw = tv.raw_instruments(spark, sf_dir)
+    batch = replayed(raw, "1 DAY", instrument_name=F.concat(F.col("instrument_name"), F.lit(" (renamed)")))
+    return R.load_raw(batch, S.RAW_INSTRUMENTS_KEY).select(*RAW_INSTRUMENT_COLS)
+
+
+def normalize_rate_direction(rates: DataFrame, quoted_base_per_target: bool) -> DataFrame:
+    """§1.5: ``rate`` = units of base per one unit of target.
+
+    A feed quoting the opposite way (units of *target* per base: USD->RUB =
+    90.5) is swapped on ingestion - base and target exchange places, the
+    number is kept.  Never on read.
+    """
+    if quoted_base_per_target:
+        return rates
+    return rates.select(
+        F.col("target_currency").alias("base_currency"),
+        F.col("base_currency").alias("target_currency"),
+        *[c for c in rates.columns if c not in ("base_currency", "target_currency")],
+    )
+
+
+@register("raw_rates_union", O.sql("SELECT * FROM raw_rates", "raw_rates"))
+def q_raw_rates_union(spark, sf_dir):
+    """The cbr feed plus the exchange-rate API feed, which quotes USD->RUB style."""
+    raw = tv.raw_rates(spark, sf_dir)
+    cbr = raw.where(F.col("source") == tv.CBR_SOURCE)
+    api_as_delivered = normalize_rate_direction(raw.where(F.col("source") == tv.API_SOURCE), False)
+    api = normalize_rate_direction(api_as_delivered, False)
+    both = cbr.unionByName(api.select(*RAW_RATE_COLS))
+    return R.load_raw(both, S.RAW_RATES_KEY).select(*RAW_RATE_COLS)
+
+
+@register(
+    "raw_quotes_by_date",
+    O.sql(
+        """SELECT symbol, open_price, high_price, low_price, close_price, volume, trade_date, source
+           FROM raw_quotes WHERE trade_date = (SELECT max(trade_date) FROM raw_quotes)""",
+        "raw_quotes",
+    ),
+)
+def q_raw_quotes_by_date(spark, sf_dir):
+    """Raw quotes of the execution date (the newest landed day), projected."""
+    raw = tv.raw_quotes(spark, sf_dir)
+    exec_date = raw.select(F.max("trade_date")).scalar()
+    return raw.where(F.col("trade_date") == exec_date).select(
+        "symbol", "open_price", "high_price", "low_price", "close_price", "volume", "trade_date", "source"
+    )
+
+
+# --------------------------------------------------------------- more hashing
+@register("hash_key", O.sql("SELECT symbol, trade_date, source, upper(md5(symbol)) AS hub_instrument_hk FROM raw_quotes", "raw_quotes"))
+def q_hash_key(spark, sf_dir):
+    raw = tv.raw_quotes(spark, sf_dir)
+    return raw.select("symbol", "trade_date", "source", hash_key("symbol").alias("hub_instrument_hk"))
+
+
+@register(
+    "hash_key_composite",
+    O.sql(
+        """SELECT base_currency, target_currency, rate_date, source,
+                  upper(md5(concat_ws('||', base_currency, target_currency, CAST(rate_date AS VARCHAR), source))) AS rate_key_hk
+           FROM raw_rates""",
+        "raw_rates",
+    ),
+)
+def q_hash_key_composite(spark, sf_dir):
+    raw = tv.raw_rates(spark, sf_dir)
+    return raw.select(
+        "base_currency",
+        "target_currency",
+        "rate_date",
+        "source",
+        hash_key_composite("base_currency", "target_currency", "rate_date", "source").alias("rate_key_hk"),
+    )
+
+
+# ------------------------------------------------------------- more vault ops
+def hub_market(instruments: DataFrame) -> DataFrame:
+    return V.load_hub(instruments, "exchange", "hub_market_hk", "market_code")
+
+
+def lnk_quote_instrument(instruments: DataFrame) -> DataFrame:
+    links, _ = V.load_link(
+        instruments,
+        [("hub_instrument_hk", "symbol"), ("hub_market_hk", "exchange")],
+        "lnk_quote_instrument_hk",
+    )
+    return links
+
+
+O.cte(
+    "hub_market",
+    ("raw_instruments",),
+    O._first_per(
+        "exchange",
+        "upper(md5(exchange)) AS hub_market_hk, exchange AS market_code, loaded_at AS load_date, source AS record_source",
+        "(SELECT * FROM raw_instruments WHERE exchange IS NOT NULL)",
+    ),
+)
+O.cte(
+    "lnk_quote_instrument",
+    ("raw_instruments",),
+    O._first_per(
+        "symbol, exchange",
+        "upper(md5(concat_ws('||', upper(md5(symbol)), upper(md5(exchange))))) AS lnk_quote_instrument_hk, "
+        "upper(md5(symbol)) AS hub_instrument_hk, upper(md5(exchange)) AS hub_market_hk, "
+        "loaded_at AS load_date, source AS record_source",
+        "(SELECT * FROM raw_instruments WHERE symbol IS NOT NULL AND exchange IS NOT NULL)",
+    ),
+)
+O.cte(
+    "hub_registered",
+    ("raw_instruments",),
+    O._first_per(
+        "symbol",
+        "upper(md5(symbol)) AS hub_instrument_hk, symbol AS instrument_bk, loaded_at AS load_date, source AS record_source",
+        "raw_instruments",
+    ),
+)
+
+
+@register("hub_market", O.sql("SELECT * FROM hub_market", "hub_market"))
+def q_hub_market(spark, sf_dir):
+    return hub_market(tv.raw_instruments(spark, sf_dir))
+
+
+@register("lnk_quote_instrument", O.sql("SELECT * FROM lnk_quote_instrument", "lnk_quote_instrument"))
+def q_lnk_quote_instrument(spark, sf_dir):
+    return lnk_quote_instrument(tv.raw_instruments(spark, sf_dir))
+
+
+@register(
+    "quotes_with_hub",
+    O.sql(
+        """SELECT q.*, upper(md5(q.symbol)) AS hub_instrument_hk FROM raw_quotes q
+           WHERE upper(md5(q.symbol)) IN (SELECT hub_instrument_hk FROM hub_registered)""",
+        "raw_quotes",
+        "hub_registered",
+    ),
+)
+def q_quotes_with_hub(spark, sf_dir):
+    """Quotes whose instrument is registered in the hub fed by reference data."""
+    hub = V.load_hub(tv.raw_instruments(spark, sf_dir), "symbol", "hub_instrument_hk", "instrument_bk")
+    raw = tv.raw_quotes(spark, sf_dir).withColumn("hub_instrument_hk", hash_key("symbol"))
+    return V.enrich_with_hub(raw, hub, "hub_instrument_hk")
+
+
+@register(
+    "sat_latest",
+    O.sql(
+        """SELECT * FROM sat_quote_prices s
+           WHERE s.load_date = (SELECT max(s2.load_date) FROM sat_quote_prices s2
+                                WHERE s2.hub_instrument_hk = s.hub_instrument_hk AND s2.trade_date = s.trade_date)""",
+        "sat_quote_prices",
+    ),
+)
+def q_sat_latest(spark, sf_dir):
+    """Newest satellite version per (instrument, trade date)."""
+    return V.latest_version(sat_quotes(tv.raw_quotes(spark, sf_dir)), QUOTE_GRAIN)
+
+
+@register(
+    "latest_by_max",
+    O.sql(
+        """SELECT * FROM sat_quote_versions s
+           WHERE s.load_date = (SELECT max(s2.load_date) FROM sat_quote_versions s2
+                                WHERE s2.hub_instrument_hk = s.hub_instrument_hk AND s2.trade_date = s.trade_date)""",
+        "sat_quote_versions",
+    ),
+)
+def q_latest_by_max(spark, sf_dir):
+    """M2: every version at MAX(load_date) per grain - ties kept (rank = 1)."""
+    versions = quote_versions(tv.raw_quotes(spark, sf_dir)).select(*SAT_QUOTE_COLS)
+    return V.latest_version(versions, QUOTE_GRAIN, keep_ties=True)
+
+
+O.cte(
+    "sat_after_intraday",
+    ("sat_quote_versions",),
+    O._t7("(SELECT * FROM sat_quote_versions WHERE record_source = 'intraday')", "hub_instrument_hk, trade_date"),
+)
+O.cte(
+    "sat_eod_delta",
+    ("sat_after_intraday",),
+    """
+    SELECT n.* FROM (SELECT * FROM sat_quote_versions WHERE record_source = 'eod') n
+    LEFT JOIN (SELECT * FROM sat_after_intraday
+               QUALIFY row_number() OVER (PARTITION BY hub_instrument_hk, trade_date ORDER BY load_date DESC) = 1) e
+      ON n.hub_instrument_hk = e.hub_instrument_hk AND n.trade_date = e.trade_date
+    WHERE e.hash_diff IS NULL OR n.hash_diff <> e.hash_diff""",
+)
+
+
+def _intraday_then_eod(spark, sf_dir):
+    raw = tv.raw_quotes(spark, sf_dir)
+    versions = quote_versions(raw).select(*SAT_QUOTE_COLS)
+    existing = V.satellite_history(versions.where(F.col("record_source") == tv.INTRADAY_SOURCE), QUOTE_GRAIN)
+    batch = versions.where(F.col("record_source") == tv.EOD_SOURCE)
+    return raw, existing, batch
+
+
+@register("sat_delta", O.sql("SELECT * FROM sat_eod_delta", "sat_eod_delta"))
+def q_sat_delta(spark, sf_dir):
+    """End-of-day versions that are new or changed against the stored intraday ones."""
+    _, existing, batch = _intraday_then_eod(spark, sf_dir)
+    return V.satellite_delta(batch, existing, QUOTE_GRAIN)
+
+
+@register("sat_quote_prices", O.sql("SELECT * FROM sat_quote_prices", "sat_quote_prices"))
+def q_sat_quote_prices(spark, sf_dir):
+    """Incremental load (intraday, then end of day) = bulk history."""
+    raw, existing, batch = _intraday_then_eod(spark, sf_dir)
+    appended = V.load_satellite(batch, existing, QUOTE_GRAIN, SAT_QUOTE_COLS, hub=hub_instrument(raw))
+    return existing.select(*SAT_QUOTE_COLS).unionByName(appended)
+
+
+# ------------------------------------------------------------------- quality
+def _quote_vault(spark, sf_dir):
+    raw = tv.raw_quotes(spark, sf_dir)
+    inst = tv.raw_instruments(spark, sf_dir)
+    return raw, inst, hub_instrument(raw), sat_quotes(raw), sat_details(inst)
+
+
+@register(
+    "vault_orphans",
+    O.sql(
+        """
+        SELECT 'sat_quote_prices->hub_instrument' AS check_name, count(*) AS child_rows,
+               count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM hub_instrument h WHERE h.hub_instrument_hk = c.hub_instrument_hk)) AS orphan_rows
+        FROM sat_quote_prices c
+        UNION ALL
+        SELECT 'sat_instrument_details->hub_instrument', count(*),
+               count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM hub_instrument h WHERE h.hub_instrument_hk = c.hub_instrument_hk))
+        FROM sat_instrument_details c
+        UNION ALL
+        SELECT 'lnk_quote_instrument->hub_market', count(*),
+               count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM hub_market h WHERE h.hub_market_hk = c.hub_market_hk))
+        FROM lnk_quote_instrument c
+        UNION ALL
+        SELECT 'lnk_rate_currency->hub_currency(base)', count(*),
+               count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM hub_currency h WHERE h.hub_currency_hk = c.hub_currency_hk_base))
+        FROM lnk_rate_currency c
+        UNION ALL
+        SELECT 'lnk_rate_currency->hub_currency(target)', count(*),
+               count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM hub_currency h WHERE h.hub_currency_hk = c.hub_currency_hk_target))
+        FROM lnk_rate_currency c
+        UNION ALL
+        SELECT 'sat_rate_values->lnk_rate_currency', count(*),
+               count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM lnk_rate_currency h WHERE h.lnk_rate_currency_hk = c.lnk_rate_currency_hk))
+        FROM sat_rate_values c""",
+        "sat_quote_prices",
+        "hub_instrument",
+        "sat_instrument_details",
+        "lnk_quote_instrument",
+        "hub_market",
+        "lnk_rate_currency",
+        "hub_currency",
+        "sat_rate_values",
+    ),
+)
+def q_vault_orphans(spark, sf_dir):
+    """Referential checks; details of instruments never quoted show up as orphans."""
+    raw, inst, hub, sat, details = _quote_vault(spark, sf_dir)
+    rates = tv.raw_rates(spark, sf_dir)
+    hc, lnk = hub_currency(rates), lnk_rate_currency(rates)
+    return Q.union_all(
+        [
+            Q.orphan_check("sat_quote_prices->hub_instrument", sat, "hub_instrument_hk", hub, "hub_instrument_hk"),
+            Q.orphan_check("sat_instrument_details->hub_instrument", details, "hub_instrument_hk", hub, "hub_instrument_hk"),
+            Q.orphan_check("lnk_quote_instrument->hub_market", lnk_quote_instrument(inst), "hub_market_hk", hub_market(inst), "hub_market_hk"),
+            Q.orphan_check("lnk_rate_currency->hub_currency(base)", lnk, "hub_currency_hk_base", hc, "hub_currency_hk"),
+            Q.orphan_check("lnk_rate_currency->hub_currency(target)", lnk, "hub_currency_hk_target", hc, "hub_currency_hk"),
+            Q.orphan_check("sat_rate_values->lnk_rate_currency", sat_rates(rates), "lnk_rate_currency_hk", lnk, "lnk_rate_currency_hk"),
+        ]
+    )
+
+
+def _dup_sql(name: str, table: str, key: str) -> str:
+    return f"""SELECT '{name}' AS table_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows, count(*) AS distinct_keys,
+                      count(*) FILTER (WHERE n > 1) AS duplicate_keys
+               FROM (SELECT count(*) AS n FROM {table} GROUP BY {key})"""
+
+
+_DUP_CHECKS = [
+    ("raw_quotes", "raw_quotes", "symbol, trade_date, source"),
+    ("raw_rates", "raw_rates", "base_currency, target_currency, rate_date, source"),
+    ("hub_instrument", "hub_instrument", "hub_instrument_hk"),
+    ("hub_currency", "hub_currency", "hub_currency_hk"),
+    ("lnk_rate_currency", "lnk_rate_currency", "lnk_rate_currency_hk"),
+    ("sat_quote_prices", "sat_quote_prices", "hub_instrument_hk, trade_date, load_date"),
+    ("sat_rate_values", "sat_rate_values", "lnk_rate_currency_hk, rate_date, load_date"),
+    ("sat_instrument_details", "sat_instrument_details", "hub_instrument_hk, load_date"),
+    ("dm_quotes_daily", "mart_quotes_all", "instrument_bk, trade_date"),
+    ("dm_fx_rates", "mart_fx_rates", "base_currency, target_currency, rate_date, source"),
+]
+
+
+@register(
+    "vault_duplicates",
+    O.sql(
+        "\nUNION ALL\n".join(_dup_sql(*c) for c in _DUP_CHECKS),
+        *sorted({c[1] for c in _DUP_CHECKS}),
+    ),
+)
+def q_vault_duplicates(spark, sf_dir):
+    """Primary-key uniqueness of raw, vault and mart tables."""
+    raw, inst, hub, sat, details = _quote_vault(spark, sf_dir)
+    rates = tv.raw_rates(spark, sf_dir)
+    frames = {
+        "raw_quotes": raw,
+        "raw_rates": rates,
+        "hub_instrument": hub,
+        "hub_currency": hub_currency(rates),
+        "lnk_rate_currency": lnk_rate_currency(rates),
+        "sat_quote_prices": sat,
+        "sat_rate_values": sat_rates(rates),
+        "sat_instrument_details": details,
+        "dm_quotes_daily": M.mart_quotes_daily(sat, hub, details),
+        "dm_fx_rates": M.mart_fx_rates(sat_rates(rates), lnk_rate_currency(rates), hub_currency(rates)),
+    }
+    return Q.union_all(
+        [Q.duplicate_check(name, frames[name], [k.strip() for k in key.split(",")]) for name, _, key in _DUP_CHECKS]
+    )
+
+
+def _rule_sql(table: str, rules: list[tuple[str, str]]) -> str:
+    parts = [
+        f"""SELECT '{table}' AS table_name, '{name}' AS rule, count(*) AS rows_checked,
+                   count(*) FILTER (WHERE NOT coalesce({pred}, false)) AS violations FROM {table}"""
+        for name, pred in rules
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+# SQL statements of the rule tables in dvspark.operators.quality (same order).
+QUOTE_RULES_SQL = [
+    ("symbol_required", "symbol IS NOT NULL AND trim(symbol) <> ''"),
+    ("symbol_max_20", "length(symbol) <= 20"),
+    ("prices_required", "open_price IS NOT NULL AND high_price IS NOT NULL AND low_price IS NOT NULL AND close_price IS NOT NULL"),
+    ("volume_required", "volume IS NOT NULL"),
+    ("trade_date_required", "trade_date IS NOT NULL"),
+    ("source_required", "source IS NOT NULL AND length(source) <= 100"),
+    ("prices_non_negative", "least(open_price, high_price, low_price, close_price) >= 0"),
+    ("high_is_max", "high_price >= greatest(open_price, close_price, low_price)"),
+    ("low_is_min", "low_price <= least(open_price, close_price, high_price)"),
+    ("volume_non_negative", "volume >= 0"),
+]
+RATE_RULES_SQL = [
+    ("currencies_required", "base_currency IS NOT NULL AND target_currency IS NOT NULL"),
+    ("currency_max_10", "length(base_currency) <= 10 AND length(target_currency) <= 10"),
+    ("distinct_currencies", "base_currency <> target_currency"),
+    ("rate_positive", "rate > 0"),
+    ("rate_date_required", "rate_date IS NOT NULL"),
+    ("source_required", "source IS NOT NULL AND length(source) <= 100"),
+]
+
+
+@register(
+    "dq_summary",
+    O.sql(_rule_sql("raw_quotes", QUOTE_RULES_SQL) + "\nUNION ALL\n" + _rule_sql("raw_rates", RATE_RULES_SQL), "raw_quotes", "raw_rates"),
+)
+def q_dq_summary(spark, sf_dir):
+    """Per-rule violation counts for raw quotes and rates."""
+    return Q.rule_summary(tv.raw_quotes(spark, sf_dir), "raw_quotes", Q.quote_rules()).unionByName(
+        Q.rule_summary(tv.raw_rates(spark, sf_dir), "raw_rates", Q.rate_rules())
+    )
+
+
+def _violations_sql(rules):
+    marks = ", ".join(f"CASE WHEN NOT coalesce({pred}, false) THEN '{name}' END" for name, pred in rules)
+    return f"array_to_string(list_filter([{marks}], lambda x: x IS NOT NULL), ',')"
+
+
+@register(
+    "dq_row_rules",
+    O.sql(f"SELECT symbol, trade_date, source, {_violations_sql(QUOTE_RULES_SQL)} AS violations FROM raw_quotes", "raw_quotes"),
+)
+def q_dq_row_rules(spark, sf_dir):
+    """Every raw quote with the list of rules it breaks (empty = clean)."""
+    raw = tv.raw_quotes(spark, sf_dir)
+    return raw.select("symbol", "trade_date", "source", F.array_join(Q.violations(Q.quote_rules()), ",").alias("violations"))
+
+
+@register(
+    "vault_counts",
+    O.sql(
+        """
+        WITH h AS (SELECT CAST(load_date AS DATE) AS d, count(*) AS n FROM hub_instrument GROUP BY 1),
+             s AS (SELECT trade_date AS d, count(*) AS n FROM sat_quote_prices GROUP BY 1),
+             b AS (SELECT min(d) AS lo, max(d) AS hi FROM (SELECT d FROM h UNION ALL SELECT d FROM s)),
+             spine AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM b)
+        SELECT spine.d AS check_date, coalesce(h.n, 0) AS hub_rows, coalesce(s.n, 0) AS sat_rows,
+               CASE WHEN coalesce(h.n, 0) = 0 AND coalesce(s.n, 0) = 0 THEN 'skip' ELSE 'ok' END AS status
+        FROM spine LEFT JOIN h ON spine.d = h.d LEFT JOIN s ON spine.d = s.d""",
+        "hub_instrument",
+        "sat_quote_prices",
+    ),
+)
+def q_vault_counts(spark, sf_dir):
+    """G1: post-load counts per day, ``skip`` when a day loaded nothing."""
+    raw = tv.raw_quotes(spark, sf_dir)
+    return Q.vault_counts(hub_instrument(raw), sat_quotes(raw))
+
+
+@register(
+    "input_freshness",
+    O.sql(
+        """
+        WITH c AS (SELECT source, trade_date AS d, count(*) AS n FROM raw_quotes GROUP BY 1, 2),
+             spine AS (SELECT source, CAST(unnest(generate_series(min(d), (SELECT max(d) FROM c), INTERVAL 1 DAY)) AS DATE) AS d
+                       FROM c GROUP BY source)
+        SELECT spine.source, spine.d AS check_date, coalesce(c.n, 0) AS n_rows, coalesce(c.n, 0) > 0 AS fresh
+        FROM spine LEFT JOIN c ON spine.source = c.source AND spine.d = c.d""",
+        "raw_quotes",
+    ),
+)
+def q_input_freshness(spark, sf_dir):
+    """Rows landed per source and day up to the newest day."""
+    return Q.input_freshness(tv.raw_quotes(spark, sf_dir))
+
+
+@register(
+    "volume_anomaly",
+    O.sql(
+        """
+        WITH d AS (SELECT source, trade_date AS check_date, count(*) AS n_rows FROM raw_quotes GROUP BY 1, 2),
+             w AS (SELECT *, avg(n_rows) OVER (PARTITION BY source ORDER BY check_date
+                                               ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS a FROM d)
+        SELECT source, check_date, n_rows, CAST(a AS DECIMAL(18,4)) AS trailing_avg,
+               coalesce(abs(n_rows - a) > a * 0.5, false) AS is_anomaly
+        FROM w""",
+        "raw_quotes",
+    ),
+)
+def q_volume_anomaly(spark, sf_dir):
+    """Daily landed rows against the trailing 7-day mean."""
+    return Q.volume_anomaly(tv.raw_quotes(spark, sf_dir))

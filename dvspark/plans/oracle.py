@@ -94,10 +94,13 @@ def sql(body: str, *deps: str) -> str:
 
     for d in deps:
         visit(d)
+    body = body.strip()
     if not ordered:
-        return body.strip()
+        return body
     withs = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in ordered)
-    return f"WITH {withs}\n{body.strip()}"
+    if body[:4].upper() == "WITH":  # the body's own CTEs follow ours
+        return f"WITH {withs},\n{body[4:].lstrip()}"
+    return f"WITH {withs}\n{body}"
 
 
 # ----------------------------------------------------------------- vault CTEs
