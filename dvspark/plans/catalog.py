@@ -661,3 +661,118 @@ def q_input_freshness(spark, sf_dir):
 def q_volume_anomaly(spark, sf_dir):
     """Daily landed rows against the trailing 7-day mean."""
     return Q.volume_anomaly(tv.raw_quotes(spark, sf_dir))
+
+
+# ------------------------------------------------------------ parsing sources
+from dvspark.sources import messages as MSG  # noqa: E402
+from dvspark.sources import quotes_json as QJ  # noqa: E402
+from dvspark.sources import rates_xml as RX  # noqa: E402
+
+
+def _quote_docs(spark, sf_dir):
+    return QJ.documents_from_text(QJ.responses_from_quotes(tv.raw_quotes(spark, sf_dir)))
+
+
+@register(
+    "parse_quotes_json",
+    O.sql("SELECT symbol, open_price, high_price, low_price, close_price, volume, trade_date, source FROM raw_quotes", "raw_quotes"),
+)
+def q_parse_quotes_json(spark, sf_dir):
+    """Every quote rendered as API JSON (by symbol, source, month) and parsed back."""
+    quotes, _ = QJ.parse_quote_responses(_quote_docs(spark, sf_dir), mode="all", source="source")
+    return quotes.drop("loaded_at")
+
+
+@register(
+    "latest_quote_per_symbol",
+    O.sql(
+        """SELECT symbol, open_price, high_price, low_price, close_price, volume, trade_date, source FROM raw_quotes
+           QUALIFY row_number() OVER (PARTITION BY symbol, source, strftime(trade_date, '%Y-%m') ORDER BY trade_date DESC) = 1""",
+        "raw_quotes",
+    ),
+)
+def q_latest_quote_per_symbol(spark, sf_dir):
+    """The newest day of each response document (reference default mode)."""
+    quotes, _ = QJ.parse_quote_responses(_quote_docs(spark, sf_dir), mode="latest", source="source")
+    return quotes.drop("loaded_at")
+
+
+@register(
+    "quotes_json_status",
+    O.sql(
+        """SELECT symbol, source, strftime(trade_date, '%Y-%m') AS period, 'ok' AS status, count(*) AS n_days
+           FROM raw_quotes GROUP BY 1, 2, 3""",
+        "raw_quotes",
+    ),
+)
+def q_quotes_json_status(spark, sf_dir):
+    """Triage status of every response document."""
+    docs = _quote_docs(spark, sf_dir)
+    return docs.select(
+        "symbol",
+        "source",
+        "period",
+        QJ.response_status(F.col("body")).alias("status"),
+        F.coalesce(F.size(F.col("body")[QJ.SERIES]), F.lit(0)).cast("bigint").alias("n_days"),
+    )
+
+
+@register(
+    "quarantine_quotes",
+    "SELECT CAST(NULL AS VARCHAR) AS symbol, CAST(NULL AS VARCHAR) AS trade_date_text, CAST(NULL AS VARCHAR) AS reason, "
+    "CAST(NULL AS VARCHAR) AS source, CAST(NULL AS VARCHAR) AS payload WHERE false",
+)
+def q_quarantine_quotes(spark, sf_dir):
+    """Quarantined documents and day rows (none for well-formed responses; error paths in tests)."""
+    _, bad = QJ.parse_quote_responses(_quote_docs(spark, sf_dir), mode="all", source="source")
+    return bad
+
+
+def _rate_docs(spark, sf_dir):
+    return RX.documents_from_xml_text(RX.valcurs_from_quotes(tv.rate_quotes(spark, sf_dir)))
+
+
+@register(
+    "parse_rates_xml",
+    O.sql("SELECT base_currency, target_currency, rate, rate_date, source FROM raw_rates", "raw_rates"),
+)
+def q_parse_rates_xml(spark, sf_dir):
+    """Every day's rates rendered as bank XML and parsed back."""
+    rates, _ = RX.parse_valcurs(_rate_docs(spark, sf_dir), requested_date="rate_date", source="source")
+    return rates.select("base_currency", "target_currency", "rate", "rate_date", "source")
+
+
+@register(
+    "nominal_normalize",
+    O.sql(
+        """SELECT target_currency, rate_date, source, nominal, CAST(value AS DECIMAL(28,10)) AS value,
+                  CAST(value / nominal AS DECIMAL(18,8)) AS rate FROM rate_quotes""",
+        "rate_quotes",
+    ),
+)
+def q_nominal_normalize(spark, sf_dir):
+    """Value per nominal units -> rate per one unit."""
+    rates, _ = RX.parse_valcurs(_rate_docs(spark, sf_dir), requested_date="rate_date", source="source")
+    return rates.select("target_currency", "rate_date", "source", "nominal", "value", "rate")
+
+
+QUOTE_MESSAGE_SQL = """
+    SELECT symbol || ':' || CAST(trade_date AS VARCHAR) AS message_key,
+           CAST(json_object('symbol', symbol, 'open', CAST(open_price AS VARCHAR), 'high', CAST(high_price AS VARCHAR),
+                            'low', CAST(low_price AS VARCHAR), 'close', CAST(close_price AS VARCHAR), 'volume', volume,
+                            'trade_date', CAST(trade_date AS VARCHAR), 'source', source,
+                            'loaded_at', strftime(loaded_at, '%Y-%m-%dT%H:%M:%S') || '+00:00') AS VARCHAR) AS message_value
+    FROM raw_quotes"""
+
+
+@register("quote_messages", O.sql(QUOTE_MESSAGE_SQL, "raw_quotes"))
+def q_quote_messages(spark, sf_dir):
+    """Keyed JSON messages, decimals as strings, 3 topic partitions by key."""
+    return MSG.quote_messages(tv.raw_quotes(spark, sf_dir), partitions=3)
+
+
+@register("decode_quote_messages", O.sql("SELECT * FROM raw_quotes", "raw_quotes"))
+def q_decode_quote_messages(spark, sf_dir):
+    """Messages decoded back into raw rows (round trip equals input)."""
+    good, _ = MSG.decode_quote_messages(MSG.quote_messages(tv.raw_quotes(spark, sf_dir)), tz=spark.conf.get("spark.sql.session.timeZone"))
+    return good

@@ -51,23 +51,27 @@ cte(
     FROM bars""",
 )
 cte(
-    "raw_rates",
+    "rate_quotes",
     (),
     """
+    SELECT n.n_name AS target_currency,
+           CASE n.n_nationkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 10 ELSE 100 END AS nominal,
+           CAST(o.o_orderdate AS DATE) AS rate_date,
+           CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'exchange_rate_api' ELSE 'cbr' END AS source,
+           max(CAST(o.o_totalprice AS DECIMAL(18,2))) AS value
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+                  JOIN nation n ON c.c_nationkey = n.n_nationkey
+    GROUP BY 1, 2, 3, 4""",
+)
+cte(
+    "raw_rates",
+    ("rate_quotes",),
+    """
     SELECT 'RUB' AS base_currency, target_currency,
            CAST(value / nominal AS DECIMAL(18,8)) AS rate, rate_date, source,
            CAST(rate_date AS TIMESTAMP)
              + CASE WHEN source = 'exchange_rate_api' THEN INTERVAL 20 HOUR ELSE INTERVAL 18 HOUR END AS loaded_at
-    FROM (
-      SELECT n.n_name AS target_currency,
-             CASE n.n_nationkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 10 ELSE 100 END AS nominal,
-             CAST(o.o_orderdate AS DATE) AS rate_date,
-             CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'exchange_rate_api' ELSE 'cbr' END AS source,
-             max(CAST(o.o_totalprice AS DECIMAL(18,2))) AS value
-      FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-                    JOIN nation n ON c.c_nationkey = n.n_nationkey
-      GROUP BY 1, 2, 3, 4
-    )""",
+    FROM rate_quotes""",
 )
 cte(
     "raw_instruments",

@@ -98,8 +98,8 @@ def raw_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RUB per one unit of a currency per (currency, day, source)."""
+def rate_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bank-style quotes before normalisation: RUB for ``nominal`` units of a currency."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # nation is a fixed 25-row dimension: broadcasting it is size-bounded.
@@ -115,7 +115,7 @@ def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy(
             F.col("n_name").alias("target_currency"),
-            F.col("n_nationkey"),
+            nominal.alias("nominal"),
             F.to_date("o_orderdate").alias("rate_date"),
             src.alias("source"),
         )
@@ -124,13 +124,18 @@ def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded_at = F.when(F.col("source") == API_SOURCE, hours_after("rate_date", API_LOADED_HOUR)).otherwise(
         hours_after("rate_date", CBR_LOADED_HOUR)
     )
-    return grouped.select(
+    return grouped.withColumn("loaded_at", loaded_at)
+
+
+def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RUB per one unit of a currency per (currency, day, source)."""
+    return rate_quotes(spark, sf_dir).select(
         F.lit(RATE_BASE).alias("base_currency"),
         "target_currency",
-        (F.col("value") / nominal).cast(RATE).alias("rate"),
+        (F.col("value") / F.col("nominal")).cast(RATE).alias("rate"),
         "rate_date",
         "source",
-        loaded_at.alias("loaded_at"),
+        "loaded_at",
     )
 
 
