@@ -776,3 +776,156 @@ def q_decode_quote_messages(spark, sf_dir):
     """Messages decoded back into raw rows (round trip equals input)."""
     good, _ = MSG.decode_quote_messages(MSG.quote_messages(tv.raw_quotes(spark, sf_dir)), tz=spark.conf.get("spark.sql.session.timeZone"))
     return good
+
+
+# ------------------------------------------------------- publish and streams
+from dvspark.operators import publish as P  # noqa: E402
+from dvspark.session import session_tz, work_path  # noqa: E402
+from dvspark.streaming import streams as X  # noqa: E402
+
+# Fixed run timestamps of the two refresh-log runs (parameters, not now()).
+REFRESH_RUN_1 = "2024-02-01 20:00:00"
+REFRESH_RUN_2 = "2024-02-02 20:00:00"
+
+
+@register("publish_by_date", O.sql("SELECT * FROM mart_quotes_all", "mart_quotes_all"))
+def q_publish_by_date(spark, sf_dir):
+    """M4: publish every day, then re-publish the newest day (a retry); read the table back."""
+    mart = quotes_mart_all(spark, sf_dir)
+    path = work_path(spark, "dm_quotes_daily")
+    P.publish_by_date(mart, path, "trade_date")
+    newest = mart.select(F.max("trade_date")).scalar()
+    P.publish_by_date(mart.where(F.col("trade_date") == newest), path, "trade_date")
+    return P.read_published(spark, path, S.DM_QUOTES_DAILY)
+
+
+@register(
+    "mart_refresh_log",
+    O.sql(
+        f"""
+        WITH e AS (SELECT DISTINCT 'dm_quotes_daily' AS mart_name, trade_date AS execution_date FROM mart_quotes_all
+                   UNION ALL
+                   SELECT DISTINCT 'dm_fx_rates', rate_date FROM mart_fx_rates)
+        SELECT mart_name, execution_date,
+               CASE WHEN execution_date = max(execution_date) OVER (PARTITION BY mart_name)
+                    THEN TIMESTAMP '{REFRESH_RUN_2}' ELSE TIMESTAMP '{REFRESH_RUN_1}' END AS refreshed_at
+        FROM e""",
+        "mart_quotes_all",
+        "mart_fx_rates",
+    ),
+)
+def q_mart_refresh_log(spark, sf_dir):
+    """M5: log every (mart, day) refresh, then upsert a second run of each mart's newest day."""
+    entries = (
+        quotes_mart_all(spark, sf_dir)
+        .select(F.lit("dm_quotes_daily").alias("mart_name"), F.col("trade_date").alias("execution_date"))
+        .distinct()
+        .unionByName(
+            fx_mart(spark, sf_dir).select(F.lit("dm_fx_rates").alias("mart_name"), F.col("rate_date").alias("execution_date")).distinct()
+        )
+    )
+    root = work_path(spark, "mart_refresh_log")
+    run1 = entries.withColumn("refreshed_at", F.lit(REFRESH_RUN_1).cast("timestamp_ntz"))
+    P.upsert_versioned(spark, root, run1, ["mart_name", "execution_date"], "refreshed_at", S.MART_REFRESH_LOG)
+    newest = F.max("execution_date").over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("mart_name"))
+    run2 = (
+        entries.withColumn("_newest", newest)
+        .where(F.col("execution_date") == F.col("_newest"))
+        .drop("_newest")
+        .withColumn("refreshed_at", F.lit(REFRESH_RUN_2).cast("timestamp_ntz"))
+    )
+    P.upsert_versioned(spark, root, run2, ["mart_name", "execution_date"], "refreshed_at", S.MART_REFRESH_LOG)
+    return P.read_versioned(spark, root, S.MART_REFRESH_LOG)
+
+
+@register("stream_raw_quotes", O.sql("SELECT * FROM raw_quotes", "raw_quotes"))
+def q_stream_raw_quotes(spark, sf_dir):
+    """Quote messages delivered twice (at-least-once) drained into raw, first wins."""
+    base = work_path(spark, "stream_raw_quotes")
+    msgs = MSG.quote_messages(tv.raw_quotes(spark, sf_dir), partitions=3).select("message_value")
+    msgs.write.text(f"{base}/landing")
+    msgs.write.mode("append").text(f"{base}/landing")  # the replayed delivery
+    X.drain_messages_to_raw(
+        spark, f"{base}/landing", f"{base}/raw", f"{base}/quarantine", f"{base}/_checkpoint", S.RAW_QUOTES_KEY, S.RAW_QUOTES
+    )
+    return spark.read.schema(S.RAW_QUOTES).parquet(f"{base}/raw")
+
+
+def _event_stream(spark, sf_dir):
+    schema = tv.events_ticks(spark, sf_dir).schema
+    return schema, spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+@register("stream_dedup", "SELECT * FROM events")
+def q_stream_dedup(spark, sf_dir):
+    """The event stream read twice and unioned; duplicates dropped within a 1-hour watermark."""
+    schema, s1 = _event_stream(spark, sf_dir)
+    _, s2 = _event_stream(spark, sf_dir)
+    base = work_path(spark, "stream_dedup")
+    X.run_to_parquet(X.dedup_stream(s1.unionByName(s2), ["event_id"], "ts", "1 hour", session_tz(spark)), f"{base}/out", f"{base}/_checkpoint")
+    return spark.read.schema(schema).parquet(f"{base}/out")
+
+
+@register("stream_sat_delta", O.sql("SELECT * FROM sat_quote_prices", "sat_quote_prices"))
+def q_stream_sat_delta(spark, sf_dir):
+    """Raw loads landed in arrival order, satellite delta per micro-batch = bulk history."""
+    base = work_path(spark, "stream_sat_delta")
+    raw = tv.raw_quotes(spark, sf_dir)
+    raw.where(F.col("source") == tv.INTRADAY_SOURCE).write.parquet(f"{base}/landing")
+    raw.where(F.col("source") == tv.EOD_SOURCE).write.mode("append").parquet(f"{base}/landing")
+    source = spark.readStream.schema(S.RAW_QUOTES).option("maxFilesPerTrigger", 1).parquet(f"{base}/landing")
+    X.satellite_stream(
+        spark, source, f"{base}/sat", f"{base}/_checkpoint", QUOTE_GRAIN, SAT_QUOTE_COLS, S.SAT_QUOTE_PRICES, quote_versions
+    )
+    return spark.read.schema(S.SAT_QUOTE_PRICES).parquet(f"{base}/sat")
+
+
+@register(
+    "stream_ohlc",
+    """
+    SELECT * FROM (
+      SELECT CAST(user_id AS VARCHAR) AS symbol, CAST(ts AS DATE) AS trade_date,
+             arg_min(CAST(value AS DECIMAL(18,6)), (ts, event_id)) AS open_price,
+             max(CAST(value AS DECIMAL(18,6))) AS high_price,
+             min(CAST(value AS DECIMAL(18,6))) AS low_price,
+             arg_max(CAST(value AS DECIMAL(18,6)), (ts, event_id)) AS close_price,
+             count(*) AS volume
+      FROM events GROUP BY user_id, CAST(ts AS DATE)
+    ) WHERE CAST(trade_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+)
+def q_stream_ohlc(spark, sf_dir):
+    """Daily OHLC bars from the tick stream; the still-open last day is not emitted."""
+    _, ticks = _event_stream(spark, sf_dir)
+    base = work_path(spark, "stream_ohlc")
+    bars = X.ohlc_bars(ticks, session_tz(spark))
+    X.run_to_parquet(bars, f"{base}/out", f"{base}/_checkpoint")
+    return spark.read.schema(bars.schema).parquet(f"{base}/out")
+
+
+@register(
+    "quarantine_summary",
+    "SELECT CAST(NULL AS VARCHAR) AS stage, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS source, "
+    "CAST(NULL AS BIGINT) AS n_rows WHERE false",
+)
+def q_quarantine_summary(spark, sf_dir):
+    """Quarantined rows by stage, reason and source over every parser and rule set."""
+    raw = tv.raw_quotes(spark, sf_dir)
+    rates = tv.raw_rates(spark, sf_dir)
+    _, bad_json = QJ.parse_quote_responses(QJ.documents_from_text(QJ.responses_from_quotes(raw)), mode="all", source="source")
+    _, bad_xml = RX.parse_valcurs(_rate_docs(spark, sf_dir), requested_date="rate_date", source="source")
+    tz = session_tz(spark)
+    _, bad_qmsg = MSG.decode_quote_messages(MSG.quote_messages(raw), tz=tz)
+    _, bad_rmsg = MSG.decode_rate_messages(MSG.rate_messages(rates), tz=tz)
+    _, bad_qrules = Q.validate(raw, Q.quote_rules())
+    _, bad_rrules = Q.validate(rates, Q.rate_rules())
+    stages = [
+        ("quotes_json", bad_json),
+        ("rates_xml", bad_xml),
+        ("quote_messages", bad_qmsg),
+        ("rate_messages", bad_rmsg),
+        ("quote_rules", bad_qrules),
+        ("rate_rules", bad_rrules),
+    ]
+    return Q.union_all(
+        [Q.quarantine_summary(df).select(F.lit(name).alias("stage"), "reason", "source", "n_rows") for name, df in stages]
+    )
