@@ -54,11 +54,16 @@ def test_latest_uses_group_limit_before_shuffle(spark):
     assert "WindowGroupLimit" in text and plan is not None
 
 
-def test_dated_scan_pushes_filter_to_parquet(spark):
+def test_dated_scans_push_filters_to_parquet(spark):
     from pyspark.sql import functions as F
 
     from dvspark.sources import testviews as tv
 
-    df = tv.raw_quotes(spark, SF_SMALL).where(F.col("trade_date") == F.lit("2024-01-05").cast("date"))
-    plan = _plan(df)
-    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan or "PushedFilters: [IsNotNull(ts)" in plan
+    day = F.lit("2024-01-05").cast("date")
+    # derived from events: the date filter becomes a pushed range on ts
+    derived = _plan(tv.derive_raw_quotes(spark, SF_SMALL).where(F.col("trade_date") == day))
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in derived
+    # landed raw table: the equality reaches the scan
+    landed = _plan(tv.raw_quotes(spark, SF_SMALL).where(F.col("trade_date") == day).select("symbol", "close_price"))
+    assert "EqualTo(trade_date,2024-01-05)" in landed
+    assert "ReadSchema: struct<symbol:string,close_price:decimal(18,6),trade_date:date>" in landed
