@@ -929,3 +929,99 @@ def q_quarantine_summary(spark, sf_dir):
     return Q.union_all(
         [Q.quarantine_summary(df).select(F.lit(name).alias("stage"), "reason", "source", "n_rows") for name, df in stages]
     )
+
+
+# --------------------------------------------------- extension analytics (EXT)
+from dvspark.operators import analytics as A  # noqa: E402
+
+AS_OF = "2024-01-15 12:00:00"  # point in time of the E5 query (a parameter)
+
+
+@register(
+    "fx_rate_asof",
+    O.sql(
+        """
+        WITH b AS (SELECT base_currency, target_currency, min(rate_date) AS lo FROM mart_fx_rates GROUP BY 1, 2),
+             spine AS (SELECT base_currency, target_currency,
+                              CAST(unnest(generate_series(lo, (SELECT max(rate_date) FROM mart_fx_rates), INTERVAL 1 DAY)) AS DATE) AS as_of_date
+                       FROM b),
+             j AS (SELECT s.*, f.rate, f.rate_date AS rd FROM spine s LEFT JOIN mart_fx_rates f
+                     ON s.base_currency = f.base_currency AND s.target_currency = f.target_currency AND s.as_of_date = f.rate_date)
+        SELECT base_currency, target_currency, as_of_date,
+               last_value(rate IGNORE NULLS) OVER w AS rate, last_value(rd IGNORE NULLS) OVER w AS rate_date
+        FROM j WINDOW w AS (PARTITION BY base_currency, target_currency ORDER BY as_of_date
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+        "mart_fx_rates",
+    ),
+)
+def q_fx_rate_asof(spark, sf_dir):
+    """E1 (EXT): last known rate of every pair on every calendar day."""
+    return A.rate_as_of(fx_mart(spark, sf_dir))
+
+
+@register(
+    "quote_returns",
+    O.sql(
+        """
+        SELECT instrument_bk, trade_date, close_price, prev_close,
+               CAST(CASE WHEN prev_close <> 0 THEN round((close_price - prev_close) / prev_close * 100, 4) END AS DECIMAL(18,4)) AS dod_return_pct,
+               CAST(ma AS DECIMAL(18,6)) AS close_ma5
+        FROM (SELECT instrument_bk, trade_date, close_price,
+                     lag(close_price) OVER (PARTITION BY instrument_bk ORDER BY trade_date) AS prev_close,
+                     avg(close_price) OVER (PARTITION BY instrument_bk ORDER BY trade_date
+                                            ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS ma
+              FROM mart_quotes_all)""",
+        "mart_quotes_all",
+    ),
+)
+def q_quote_returns(spark, sf_dir):
+    """E2 (EXT): day-over-day return and 5-row moving average per instrument."""
+    return A.quote_returns(quotes_mart_all(spark, sf_dir))
+
+
+@register(
+    "exchange_rollup",
+    O.sql(
+        """
+        SELECT exchange, asset_type, CAST(grouping_id(exchange, asset_type) AS BIGINT) AS grouping_level,
+               count(*) AS n_rows, CAST(sum(volume) AS BIGINT) AS total_volume, sum(daily_return_pct) AS sum_return_pct
+        FROM mart_quotes_all GROUP BY ROLLUP (exchange, asset_type)""",
+        "mart_quotes_all",
+    ),
+)
+def q_exchange_rollup(spark, sf_dir):
+    """E3 (EXT): rollup of volume and returns by exchange and asset type."""
+    return A.exchange_rollup(quotes_mart_all(spark, sf_dir))
+
+
+@register(
+    "top_movers",
+    O.sql(
+        """
+        SELECT trade_date, instrument_bk, daily_return_pct, CAST(rank AS INTEGER) AS rank FROM (
+          SELECT trade_date, instrument_bk, daily_return_pct,
+                 row_number() OVER (PARTITION BY trade_date ORDER BY abs(daily_return_pct) DESC, instrument_bk) AS rank
+          FROM mart_quotes_all) WHERE rank <= 10""",
+        "mart_quotes_all",
+    ),
+)
+def q_top_movers(spark, sf_dir):
+    """E4 (EXT): top 10 absolute movers per day (the limit is the feature)."""
+    return A.top_movers(quotes_mart_all(spark, sf_dir))
+
+
+@register(
+    "sat_as_of",
+    O.sql(
+        f"""
+        SELECT * FROM sat_quote_prices s
+        WHERE s.load_date = (SELECT max(s2.load_date) FROM sat_quote_prices s2
+                             WHERE s2.hub_instrument_hk = s.hub_instrument_hk AND s2.trade_date = s.trade_date
+                               AND s2.load_date <= TIMESTAMP '{AS_OF}')""",
+        "sat_quote_prices",
+    ),
+)
+def q_sat_as_of(spark, sf_dir):
+    """E5 (EXT): every satellite grain as it stood at a point in time."""
+    sat = sat_quotes(tv.raw_quotes(spark, sf_dir))
+    return A.satellite_as_of(sat, QUOTE_GRAIN, F.lit(AS_OF).cast("timestamp_ntz"))
