@@ -848,7 +848,7 @@ def q_stream_raw_quotes(spark, sf_dir):
     X.drain_messages_to_raw(
         spark, f"{base}/landing", f"{base}/raw", f"{base}/quarantine", f"{base}/_checkpoint", S.RAW_QUOTES_KEY, S.RAW_QUOTES
     )
-    return spark.read.schema(S.RAW_QUOTES).parquet(f"{base}/raw")
+    return X.read_loaded(spark, f"{base}/raw", S.RAW_QUOTES)
 
 
 def _event_stream(spark, sf_dir):
@@ -877,7 +877,7 @@ def q_stream_sat_delta(spark, sf_dir):
     X.satellite_stream(
         spark, source, f"{base}/sat", f"{base}/_checkpoint", QUOTE_GRAIN, SAT_QUOTE_COLS, S.SAT_QUOTE_PRICES, quote_versions
     )
-    return spark.read.schema(S.SAT_QUOTE_PRICES).parquet(f"{base}/sat")
+    return X.read_loaded(spark, f"{base}/sat", S.SAT_QUOTE_PRICES)
 
 
 @register(

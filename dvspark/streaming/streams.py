@@ -17,9 +17,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from dvspark.functions.cols import event_time, wall_clock
+from dvspark.operators import publish as P
 from dvspark.operators import raw as R
 from dvspark.operators import vault as V
 from dvspark.schemas import PRICE
@@ -27,17 +28,29 @@ from dvspark.session import session_tz
 from dvspark.sources import messages as MSG
 
 
+def _read_target(spark: SparkSession, path: str, schema: StructType, exclude_load: str | None = None) -> DataFrame | None:
+    """The stored table without the rows of ``exclude_load`` (the batch being (re)written)."""
+    if not _exists(spark, path):
+        return None
+    df = spark.read.schema(StructType([*schema.fields, StructField("load_id", StringType(), True)])).parquet(path)
+    if exclude_load is not None:
+        df = df.where(F.col("load_id") != exclude_load)
+    return df.select(*[f.name for f in schema.fields])
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")) or (
-        fs.exists(p) and len([s for s in fs.listStatus(p) if s.getPath().getName().endswith(".parquet")]) > 0
-    )
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
 
+def batch_load_id(batch_id: int) -> str:
+    return f"batch-{batch_id:09d}"
 
-def _read_target(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else None
+
+def read_loaded(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table written by the stream sinks, without its ``load_id`` column."""
+    return _read_target(spark, path, schema)
 
 
 def drain_messages_to_raw(
@@ -53,18 +66,22 @@ def drain_messages_to_raw(
     """Landed JSON messages (one per line) -> raw table, first arrival wins.
 
     Each micro-batch is decoded (bad messages to ``quarantine``), reduced to
-    first arrivals and anti-joined with the stored table before the append,
-    so replays and duplicate deliveries never create a second row.
+    first arrivals and anti-joined with the stored table, then written under
+    its own ``load_id`` partition in dynamic-overwrite mode.  The anti join
+    ignores the batch's own partition, so a batch replayed after a failure
+    (even after a half-finished write) recomputes and rewrites exactly the
+    same rows: exactly-once on top of an at-least-once source.
     """
     tz = session_tz(spark)
     stream = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(landing)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        load_id = batch_load_id(batch_id)
         good, bad = MSG.decode_quote_messages(batch, tz=tz, value_col="value")
-        existing = _read_target(spark, target, schema)
+        existing = _read_target(spark, target, schema, exclude_load=load_id)
         new_rows = R.first_wins(good, key, existing).select(*[f.name for f in schema.fields])
-        new_rows.write.mode("append").parquet(target)
-        bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine)
+        P.append_partition(new_rows, target, load_id)
+        P.append_partition(bad, quarantine, load_id)
 
     q = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
@@ -91,12 +108,18 @@ def satellite_stream(
     schema: StructType,
     prepare,
 ):
-    """Per micro-batch, the satellite delta (T3/T7) against the stored satellite."""
+    """Per micro-batch, the satellite delta (T3/T7) against the stored satellite.
+
+    Same write protocol as :func:`drain_messages_to_raw`: one ``load_id``
+    partition per batch, compared only with other loads, so a replay is a
+    no-op rewrite.
+    """
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        existing = _read_target(spark, target, schema)
+        load_id = batch_load_id(batch_id)
+        existing = _read_target(spark, target, schema, exclude_load=load_id)
         delta = V.satellite_delta(prepare(batch).select(*columns), existing, grain)
-        delta.select(*columns).write.mode("append").parquet(target)
+        P.append_partition(delta.select(*columns), target, load_id)
 
     q = source.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
