@@ -791,7 +791,7 @@ REFRESH_RUN_2 = "2024-02-02 20:00:00"
 @register("publish_by_date", O.sql("SELECT * FROM mart_quotes_all", "mart_quotes_all"))
 def q_publish_by_date(spark, sf_dir):
     """M4: publish every day, then re-publish the newest day (a retry); read the table back."""
-    mart = quotes_mart_all(spark, sf_dir)
+    mart = S.check_contract(quotes_mart_all(spark, sf_dir), S.DM_QUOTES_DAILY)  # M7 before any write
     path = work_path(spark, "dm_quotes_daily")
     P.publish_by_date(mart, path, "trade_date")
     newest = mart.select(F.max("trade_date")).scalar()

@@ -95,3 +95,18 @@ def test_checks_orphans_duplicates_counts(spark):
     sat = spark.createDataFrame([(dt.date(2025, 6, 3),)], "trade_date date")
     got = {r.check_date.day: (r.hub_rows, r.sat_rows, r.status) for r in Q.vault_counts(hub, sat).collect()}
     assert got == {1: (1, 0, "ok"), 2: (0, 0, "skip"), 3: (0, 1, "ok")}
+
+
+def test_contract_check(spark):
+    import pytest
+
+    from dvspark.sources import jdbc
+
+    ok = spark.createDataFrame([("USD", "RUB", Decimal("90.5"), dt.date(2025, 6, 6), "cbr")], S.DM_FX_RATES)
+    assert S.check_contract(ok, S.DM_FX_RATES).columns == [f.name for f in S.DM_FX_RATES.fields]
+    with pytest.raises(S.ContractError):
+        S.check_contract(ok.withColumn("rate", F.col("rate").cast("double")), S.DM_FX_RATES)
+    with pytest.raises(S.ContractError):
+        S.check_contract(ok.drop("source"), S.DM_FX_RATES)
+    opts = jdbc.jdbc_options("jdbc:postgresql://db/dwh", "u", "p")
+    assert opts["batchsize"] == "1000" and opts["isolationLevel"] == "READ_COMMITTED"
