@@ -119,11 +119,16 @@ def prepare_satellite(
     attributes: Sequence[str],
     load_date="loaded_at",
     record_source="source",
+    parent_key: Column | None = None,
 ) -> DataFrame:
-    """Add parent hash key, hash_diff, load_date and record_source to raw rows."""
+    """Add parent hash key, hash_diff, load_date and record_source to raw rows.
+
+    The parent key is ``hash_key(parent_bk)`` for a hub parent, or the given
+    ``parent_key`` expression (e.g. a link key over two hub keys).
+    """
     return batch.select(
         "*",
-        hash_key(parent_bk).alias(parent_hk),
+        (hash_key(parent_bk) if parent_key is None else parent_key).alias(parent_hk),
         hash_diff(*attributes).alias("hash_diff"),
         as_col(load_date).alias("_load_date"),
         as_col(record_source).alias("_record_source"),

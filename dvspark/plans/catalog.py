@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dvspark import schemas as S
@@ -78,10 +78,8 @@ def lnk_rate_currency(rates: DataFrame) -> DataFrame:
 def rate_versions(rates: DataFrame) -> DataFrame:
     from dvspark.functions.hashing import hash_key, hash_key_composite
 
-    keyed = rates.withColumn(
-        "lnk_rate_currency_hk", hash_key_composite(hash_key("base_currency"), hash_key("target_currency"))
-    )
-    return V.prepare_satellite(keyed, "_unused_hk", "base_currency", S.RATE_HASH_COLUMNS).drop("_unused_hk")
+    lnk = hash_key_composite(hash_key("base_currency"), hash_key("target_currency"))
+    return V.prepare_satellite(rates, "lnk_rate_currency_hk", None, S.RATE_HASH_COLUMNS, parent_key=lnk)
 
 
 def sat_rates(rates: DataFrame) -> DataFrame:
@@ -827,7 +825,7 @@ def q_mart_refresh_log(spark, sf_dir):
     root = work_path(spark, "mart_refresh_log")
     run1 = entries.withColumn("refreshed_at", F.lit(REFRESH_RUN_1).cast("timestamp_ntz"))
     P.upsert_versioned(spark, root, run1, ["mart_name", "execution_date"], "refreshed_at", S.MART_REFRESH_LOG)
-    newest = F.max("execution_date").over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("mart_name"))
+    newest = F.max("execution_date").over(Window.partitionBy("mart_name"))
     run2 = (
         entries.withColumn("_newest", newest)
         .where(F.col("execution_date") == F.col("_newest"))
