@@ -141,17 +141,17 @@ def prepare_satellite(
     )
 
 
-def satellite_history(versions: DataFrame, grain: Sequence[str]) -> DataFrame:
+def satellite_history(versions: DataFrame, grain: Sequence[str], prefer: Sequence[Column] = ()) -> DataFrame:
     """Keep a version iff its hash_diff differs from the previous version of its grain.
 
     Equivalent to loading the batches one by one in ``load_date`` order with
     the delta rule (T3).  Two versions with the same (grain, load_date) -
-    two sources in one load - are reduced to the one with the smallest
-    ``record_source`` first.  Both windows partition by ``grain`` only, so
-    the plan has a single exchange and a single sort.
+    two sources in one load - are reduced to one first: ``prefer`` orderings,
+    then the smallest ``record_source``.  Both windows partition by ``grain``
+    only, so the plan has a single exchange and a single sort.
     """
     grain = list(grain)
-    by_load = Window.partitionBy(*grain).orderBy("load_date", "record_source")
+    by_load = Window.partitionBy(*grain).orderBy("load_date", *prefer, "record_source")
     w = Window.partitionBy(*grain).orderBy("load_date")
     one_per_load = versions.withColumn("_prev_ld", F.lag("load_date").over(by_load)).where(
         F.col("_prev_ld").isNull() | (F.col("_prev_ld") != F.col("load_date"))
@@ -187,24 +187,26 @@ def latest_version(
 def satellite_delta(batch: DataFrame, existing: DataFrame | None, grain: Sequence[str]) -> DataFrame:
     """T3 generalised: rows of ``batch`` (already prepared) that the satellite lacks.
 
-    Inside the batch, versions are reduced with :func:`satellite_history`;
-    the first surviving version of each grain is then compared with the
-    newest stored version (T2) through a left join on the grain: kept when
-    no stored version exists or the hash differs.  Both join sides are
-    partitioned by the grain already, so the join adds no exchange.
+    The stored versions of the grains the batch touches (left semi join on
+    the grain) and the batch versions are merged into one sequence per grain
+    and reduced with :func:`satellite_history`; the surviving batch rows are
+    the delta.  So every new version is compared with its true predecessor
+    in ``load_date`` order - the newest stored version for an in-order load
+    (the reference rule), an older one for a late arrival.  On equal
+    ``load_date`` the stored version wins, so re-sending a stored load adds
+    nothing.  A stored version made redundant by a late arrival stays (the
+    table is append-only); :func:`satellite_history` over all rows is the
+    exact view.
     """
     grain = list(grain)
-    hist = satellite_history(batch, grain)
     if existing is None:
-        return hist
-    first_w = Window.partitionBy(*grain).orderBy("load_date")
-    hist = hist.withColumn("_first", F.lag("load_date").over(first_w).isNull())
-    last = latest_version(existing.select(*grain, "load_date", "hash_diff"), grain).select(
-        *grain, F.col("hash_diff").alias("_old_hd")
-    )
-    joined = hist.join(last, grain, "left")
-    keep = ~F.col("_first") | F.col("_old_hd").isNull() | (F.col("_old_hd") != F.col("hash_diff"))
-    return joined.where(keep).drop("_first", "_old_hd")
+        return satellite_history(batch, grain)
+    cols = batch.columns
+    touched = batch.select(*grain).distinct()
+    stored = existing.join(touched, grain, "left_semi").select(*cols).withColumn("_new", F.lit(False))
+    merged = stored.unionByName(batch.select(*cols).withColumn("_new", F.lit(True)))
+    hist = satellite_history(merged, grain, prefer=[F.col("_new").asc()])
+    return hist.where(F.col("_new")).drop("_new")
 
 
 def load_satellite(

@@ -146,3 +146,13 @@ def test_point_in_time_version(spark):
     sat = prepared(spark, [q("A", "1", 5), q("A", "2", 9)])
     pit = V.latest_version(sat, C.QUOTE_GRAIN, as_of=F.lit("2025-06-06 06:00:00").cast("timestamp_ntz"))
     assert [str(r.close_price) for r in pit.collect()] == ["1.000000"]
+
+
+def test_late_arrival_is_compared_with_its_true_predecessor(spark):
+    stored = V.satellite_history(prepared(spark, [q("A", "1", 1), q("A", "2", 5)]), C.QUOTE_GRAIN)
+    late_same_as_t1 = prepared(spark, [q("A", "1", 3)])  # between t1 and t5, equal to t1 -> nothing new
+    assert V.satellite_delta(late_same_as_t1, stored, C.QUOTE_GRAIN).count() == 0
+    late_new = prepared(spark, [q("A", "7", 3)])  # differs from t1 (its predecessor) -> new version
+    assert [str(r.close_price) for r in V.satellite_delta(late_new, stored, C.QUOTE_GRAIN).collect()] == ["7.000000"]
+    resent = prepared(spark, [q("A", "9", 5)])  # same load_date as a stored version: stored wins
+    assert V.satellite_delta(resent, stored, C.QUOTE_GRAIN).count() == 0
