@@ -47,11 +47,20 @@ def test_satellite_history_single_exchange(spark):
     assert hist - base == 1
 
 
-def test_latest_uses_group_limit_before_shuffle(spark):
-    plan = spark.sparkContext._jvm  # keep flake quiet
+def test_latest_uses_group_limit(spark):
     sat = C.sat_quotes(C.tv.raw_quotes(spark, SF_SMALL))
     text = C.V.latest_version(sat, C.QUOTE_GRAIN)._jdf.queryExecution().optimizedPlan().toString()
-    assert "WindowGroupLimit" in text and plan is not None
+    assert "WindowGroupLimit" in text
+
+
+def test_first_wins_limits_before_the_shuffle(spark):
+    from dvspark import schemas as S
+    from dvspark.operators import raw as R
+
+    raw = C.tv.raw_quotes(spark, SF_SMALL)
+    plan = _plan(R.first_wins(raw.unionByName(raw), S.RAW_QUOTES_KEY))
+    below_exchange = plan.split("Exchange hashpartitioning(symbol")[1]
+    assert "WindowGroupLimit" in below_exchange  # partial top-1 runs map-side
 
 
 def test_dated_scans_push_filters_to_parquet(spark):
