@@ -41,8 +41,12 @@ RATE_GRAIN = ["lnk_rate_currency_hk", "rate_date"]
 
 
 # ------------------------------------------------------------ vault builders
+def hub_instrument_from(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    return V.load_hub(raw, "symbol", "hub_instrument_hk", "instrument_bk", existing=existing)
+
+
 def hub_instrument(raw: DataFrame) -> DataFrame:
-    return V.load_hub(raw, "symbol", "hub_instrument_hk", "instrument_bk")
+    return hub_instrument_from(raw)
 
 
 def quote_versions(raw: DataFrame) -> DataFrame:
@@ -59,22 +63,31 @@ def sat_details(instruments: DataFrame) -> DataFrame:
     return V.scd2(hist, ["hub_instrument_hk"]).select(*[f.name for f in S.SAT_INSTRUMENT_DETAILS.fields])
 
 
-def hub_currency(rates: DataFrame) -> DataFrame:
+def hub_currency_from(rates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     codes = rates.select(F.col("base_currency").alias("currency_code"), "loaded_at", "source").unionByName(
         rates.select(F.col("target_currency").alias("currency_code"), "loaded_at", "source")
     )
-    return V.load_hub(codes, "currency_code", "hub_currency_hk", "currency_code")
+    return V.load_hub(codes, "currency_code", "hub_currency_hk", "currency_code", existing=existing)
 
 
-def lnk_rate_currency(rates: DataFrame) -> DataFrame:
+def hub_currency(rates: DataFrame) -> DataFrame:
+    return hub_currency_from(rates)
+
+
+def lnk_rate_currency_from(rates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     links, _ = V.load_link(
         rates,
         [("hub_currency_hk_base", "base_currency"), ("hub_currency_hk_target", "target_currency")],
         "lnk_rate_currency_hk",
+        existing=existing,
     )
     return links
 
 
+def lnk_rate_currency(rates: DataFrame) -> DataFrame:
+    return lnk_rate_currency_from(rates)
+
+
 def rate_versions(rates: DataFrame) -> DataFrame:
     from dvspark.functions.hashing import hash_key, hash_key_composite
 
