@@ -14,10 +14,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dvspark import schemas as S
+from dvspark.functions.hashing import hash_diff, hash_key, hash_key_composite
+from dvspark.operators import analytics as A
 from dvspark.operators import marts as M
+from dvspark.operators import publish as P
+from dvspark.operators import quality as Q
+from dvspark.operators import raw as R
 from dvspark.operators import vault as V
 from dvspark.plans import oracle as O
+from dvspark.session import session_tz, work_path
+from dvspark.sources import messages as MSG
+from dvspark.sources import quotes_json as QJ
+from dvspark.sources import rates_xml as RX
 from dvspark.sources import testviews as tv
+from dvspark.streaming import streams as X
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,8 +99,6 @@ def lnk_rate_currency(rates: DataFrame) -> DataFrame:
 
 
 def rate_versions(rates: DataFrame) -> DataFrame:
-    from dvspark.functions.hashing import hash_key, hash_key_composite
-
     lnk = hash_key_composite(hash_key("base_currency"), hash_key("target_currency"))
     return V.prepare_satellite(rates, "lnk_rate_currency_hk", None, S.RATE_HASH_COLUMNS, parent_key=lnk)
 
@@ -112,8 +120,6 @@ def fx_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------- hashing
 @register("hash_diff", O.sql(f"SELECT symbol, trade_date, source, {O._hd(*O.QUOTE_ATTRS)} AS hash_diff FROM raw_quotes", "raw_quotes"))
 def q_hash_diff(spark, sf_dir):
-    from dvspark.functions.hashing import hash_diff
-
     raw = tv.raw_quotes(spark, sf_dir)
     return raw.select("symbol", "trade_date", "source", hash_diff(*S.QUOTE_HASH_COLUMNS).alias("hash_diff"))
 
@@ -193,9 +199,6 @@ def q_fx_cross_rates(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ raw layer
-from dvspark.functions.hashing import hash_key, hash_key_composite  # noqa: E402
-from dvspark.operators import quality as Q  # noqa: E402
-from dvspark.operators import raw as R  # noqa: E402
 
 RAW_QUOTE_COLS = [f.name for f in S.RAW_QUOTES.fields]
 RAW_RATE_COLS = [f.name for f in S.RAW_RATES.fields]
@@ -675,9 +678,6 @@ def q_volume_anomaly(spark, sf_dir):
 
 
 # ------------------------------------------------------------ parsing sources
-from dvspark.sources import messages as MSG  # noqa: E402
-from dvspark.sources import quotes_json as QJ  # noqa: E402
-from dvspark.sources import rates_xml as RX  # noqa: E402
 
 
 def _quote_docs(spark, sf_dir):
@@ -790,9 +790,6 @@ def q_decode_quote_messages(spark, sf_dir):
 
 
 # ------------------------------------------------------- publish and streams
-from dvspark.operators import publish as P  # noqa: E402
-from dvspark.session import session_tz, work_path  # noqa: E402
-from dvspark.streaming import streams as X  # noqa: E402
 
 # Fixed run timestamps of the two refresh-log runs (parameters, not now()).
 REFRESH_RUN_1 = "2024-02-01 20:00:00"
@@ -943,7 +940,6 @@ def q_quarantine_summary(spark, sf_dir):
 
 
 # --------------------------------------------------- extension analytics (EXT)
-from dvspark.operators import analytics as A  # noqa: E402
 
 AS_OF = "2024-01-15 12:00:00"  # point in time of the E5 query (a parameter)
 
