@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 from dvspark.functions.cols import as_col
 
@@ -32,18 +33,56 @@ def hash_key_composite(*columns) -> Column:
     return F.upper(F.md5(F.concat_ws(KEY_SEPARATOR, *parts)))
 
 
-def hash_diff(*columns) -> Column:
+def plain_decimal(column, scale: int) -> Column:
+    """Exact plain text of a DECIMAL(p, scale): ``0.00000050``, ``-12.500000``.
+
+    Built from the unscaled integer, so it never switches to scientific
+    notation (a non-ANSI ``cast(decimal as string)`` prints ``5.0E-7``) and
+    equals the ANSI cast text whatever the session setting.
+    """
+    c = as_col(column)
+    if scale == 0:
+        return c.cast("decimal(38,0)").cast("string")
+    raw = (F.abs(c) * F.lit(10**scale)).cast("decimal(38,0)").cast("string")
+    # lpad would also truncate longer strings: pad only when short
+    digits = F.when(F.length(raw) <= scale, F.lpad(raw, scale + 1, "0")).otherwise(raw)
+    n = F.length(digits)
+    text = F.concat(
+        F.when(c < 0, F.lit("-")).otherwise(F.lit("")),
+        F.substring(digits, F.lit(1), n - scale),
+        F.lit("."),
+        F.substring(digits, n - scale + 1, F.lit(scale)),
+    )
+    return F.when(c.isNotNull(), text)
+
+
+def hash_text(column, data_type: DataType | None = None) -> Column:
+    """Text form of an attribute inside a hash: plain decimals, otherwise the string cast."""
+    if isinstance(data_type, DecimalType):
+        return plain_decimal(column, data_type.scale)
+    return as_col(column).cast("string")
+
+
+def hash_diff(*columns, types: dict[str, DataType] | None = None) -> Column:
     """H3: change-detection digest; NULL attributes are hashed as the text ``NULL``.
 
     Column order matters.  Never pass doubles: their string form is
-    engine-specific (``1.0E10``); decimals print plainly under ANSI casts.
+    engine-specific (``1.0E10``).  With ``types`` (name -> type, e.g. from the
+    DataFrame schema) decimals are rendered exactly (:func:`plain_decimal`).
     """
-    parts = [F.coalesce(as_col(c).cast("string"), F.lit(NULL_TOKEN)) for c in columns]
+    types = types or {}
+    parts = [
+        F.coalesce(hash_text(c, types.get(c) if isinstance(c, str) else None), F.lit(NULL_TOKEN)) for c in columns
+    ]
     return F.upper(F.md5(F.concat_ws(KEY_SEPARATOR, *parts)))
 
 
+def schema_types(df: DataFrame) -> dict[str, DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
 def with_hash_diff(df: DataFrame, columns: list[str], name: str = "hash_diff") -> DataFrame:
-    return df.withColumn(name, hash_diff(*columns))
+    return df.withColumn(name, hash_diff(*columns, types=schema_types(df)))
 
 
 def add_vault_metadata(df: DataFrame, record_source, load_date) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dvspark.functions.cols import as_col
-from dvspark.functions.hashing import hash_diff, hash_key, hash_key_composite
+from dvspark.functions.hashing import hash_diff, hash_key, hash_key_composite, schema_types
 
 # ----------------------------------------------------------------------- hubs
 
@@ -129,7 +129,7 @@ def prepare_satellite(
     return batch.select(
         "*",
         (hash_key(parent_bk) if parent_key is None else parent_key).alias(parent_hk),
-        hash_diff(*attributes).alias("hash_diff"),
+        hash_diff(*attributes, types=schema_types(batch)).alias("hash_diff"),
         as_col(load_date).alias("_load_date"),
         as_col(record_source).alias("_record_source"),
     ).select(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dvspark import schemas as S
-from dvspark.functions.hashing import hash_diff, hash_key, hash_key_composite
+from dvspark.functions.hashing import hash_diff, hash_key, hash_key_composite, schema_types
 from dvspark.operators import analytics as A
 from dvspark.operators import marts as M
 from dvspark.operators import publish as P
@@ -121,7 +121,7 @@ def fx_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("hash_diff", O.sql(f"SELECT symbol, trade_date, source, {O._hd(*O.QUOTE_ATTRS)} AS hash_diff FROM raw_quotes", "raw_quotes"))
 def q_hash_diff(spark, sf_dir):
     raw = tv.raw_quotes(spark, sf_dir)
-    return raw.select("symbol", "trade_date", "source", hash_diff(*S.QUOTE_HASH_COLUMNS).alias("hash_diff"))
+    return raw.select("symbol", "trade_date", "source", hash_diff(*S.QUOTE_HASH_COLUMNS, types=schema_types(raw)).alias("hash_diff"))
 
 
 # --------------------------------------------------------------------- vault

@@ -40,3 +40,20 @@ def test_vault_metadata_is_a_parameter(spark):
     out = add_vault_metadata(df, "alpha_vantage", F.lit("2025-06-06 18:00:00").cast("timestamp_ntz")).first()
     assert out.record_source == "alpha_vantage"
     assert str(out.load_date) == "2025-06-06 18:00:00"
+
+
+def test_plain_decimal_text_is_session_independent(spark):
+    from dvspark.functions.hashing import plain_decimal
+
+    vals = ["0.00000050", "-123.45000000", "90.50000000", "0E-8", "-0.00000001", "9999999999.99999999"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string").select(F.col("s").cast("decimal(18,8)").alias("d"))
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            got = [r.t for r in df.select(plain_decimal("d", 8).alias("t")).collect()]
+            assert got == ["0.00000050", "-123.45000000", "90.50000000", "0.00000000", "-0.00000001", "9999999999.99999999"]
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+        assert [r.t for r in df.select(F.col("d").cast("string").alias("t")).collect()] == got  # = the ANSI cast
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
