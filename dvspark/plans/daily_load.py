@@ -28,6 +28,10 @@ from dvspark.operators import publish as P
 from dvspark.operators import vault as V
 from dvspark.plans import catalog as C
 
+# Business-date partition column of each table (besides load_id): a daily mart
+# build or delta reads only the partitions of its dates.
+DATE_PARTITION = {"sat_quote_prices": "trade_date", "sat_rate_values": "rate_date"}
+
 VAULT_TABLES = {
     "hub_instrument": S.HUB_INSTRUMENT,
     "hub_currency": S.HUB_CURRENCY,
@@ -71,7 +75,10 @@ def load_vault(
     """One raw -> vault load (H5, H6, L2, T4, T5, T6) of newly landed raw rows."""
 
     def write(name: str, rows: DataFrame) -> None:
-        P.append_partition(rows.select(*[f.name for f in VAULT_TABLES[name].fields]), table_path(root, "vault", name), load_id)
+        parts = [DATE_PARTITION[name]] if name in DATE_PARTITION else []
+        P.append_partition(
+            rows.select(*[f.name for f in VAULT_TABLES[name].fields]), table_path(root, "vault", name), load_id, parts
+        )
 
     def stored(name: str) -> DataFrame | None:
         return read_vault(spark, root, name, exclude_load=load_id)

@@ -55,3 +55,12 @@ def test_fx_load_and_mart(spark, tmp_dir):
     fx = spark.read.schema(S.DM_FX_RATES).parquet(D.table_path(root, "dm", "dm_fx_rates"))
     expected = M.mart_fx_rates(C.sat_rates(rates), C.lnk_rate_currency(rates), C.hub_currency(rates))
     assert _rows(fx.select(*expected.columns)) == _rows(expected)
+
+
+def test_mart_build_prunes_satellite_partitions(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "wh")
+    raw = tv.raw_quotes(spark, SF_SMALL).where(F.col("trade_date") <= "2024-01-02")
+    D.load_vault(spark, root, "bulk", quotes=raw)
+    sat = D.read_vault(spark, root, "sat_quote_prices").where(F.col("trade_date") == F.lit("2024-01-02").cast("date"))
+    plan = sat._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_date" in plan and "(trade_date" in plan.split("PartitionFilters:")[1]
