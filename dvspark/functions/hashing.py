@@ -6,6 +6,8 @@ whole-stage codegen.  Keys are hex MD5 in upper case, 32 characters.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType
@@ -56,11 +58,18 @@ def plain_decimal(column, scale: int) -> Column:
     return F.when(c.isNotNull(), text)
 
 
+# Below this magnitude (and for zero: ``0E-8``) a non-ANSI decimal cast prints
+# scientific notation; at or above it the plain cast is exact and cheap.
+_PLAIN_CAST_FLOOR = Decimal("0.000001")
+
+
 def hash_text(column, data_type: DataType | None = None) -> Column:
     """Text form of an attribute inside a hash: plain decimals, otherwise the string cast."""
-    if isinstance(data_type, DecimalType):
-        return plain_decimal(column, data_type.scale)
-    return as_col(column).cast("string")
+    c = as_col(column)
+    if isinstance(data_type, DecimalType) and data_type.scale > 0:
+        # fast path for ordinary values, exact rendering only where the cast could go scientific
+        return F.when(F.abs(c) >= F.lit(_PLAIN_CAST_FLOOR), c.cast("string")).otherwise(plain_decimal(c, data_type.scale))
+    return c.cast("string")
 
 
 def hash_diff(*columns, types: dict[str, DataType] | None = None) -> Column:

@@ -57,3 +57,21 @@ def test_plain_decimal_text_is_session_independent(spark):
         assert [r.t for r in df.select(F.col("d").cast("string").alias("t")).collect()] == got  # = the ANSI cast
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_hash_text_matches_ansi_cast_in_both_modes(spark):
+    from pyspark.sql.types import DecimalType
+
+    from dvspark.functions.hashing import hash_text
+
+    vals = ["0.00000050", "0", "-0.00000001", "0.00000100", "12.5", "-99999.12345678"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string").select(F.col("s").cast("decimal(18,8)").alias("d"))
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+        want = [r.t for r in df.select(F.col("d").cast("string").alias("t")).collect()]
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            assert [r.t for r in df.select(hash_text("d", DecimalType(18, 8)).alias("t")).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
