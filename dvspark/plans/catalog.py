@@ -859,6 +859,20 @@ def q_stream_raw_quotes(spark, sf_dir):
     return X.read_loaded(spark, f"{base}/raw", S.RAW_QUOTES)
 
 
+@register("stream_raw_rates", O.sql("SELECT * FROM raw_rates", "raw_rates"))
+def q_stream_raw_rates(spark, sf_dir):
+    """X1/S5 for the rates topic: rate messages delivered twice, drained first-wins into raw."""
+    base = work_path(spark, "stream_raw_rates")
+    msgs = MSG.rate_messages(tv.raw_rates(spark, sf_dir), partitions=3).select("message_value")
+    msgs.write.text(f"{base}/landing")
+    msgs.write.mode("append").text(f"{base}/landing")  # the replayed delivery
+    X.drain_messages_to_raw(
+        spark, f"{base}/landing", f"{base}/raw", f"{base}/quarantine", f"{base}/_checkpoint",
+        S.RAW_RATES_KEY, S.RAW_RATES, decode=MSG.decode_rate_messages,
+    )
+    return X.read_loaded(spark, f"{base}/raw", S.RAW_RATES)
+
+
 def _event_stream(spark, sf_dir):
     schema = tv.events_ticks(spark, sf_dir).schema
     return schema, spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)

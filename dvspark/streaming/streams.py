@@ -62,9 +62,13 @@ def drain_messages_to_raw(
     key: Sequence[str],
     schema: StructType,
     max_files_per_trigger: int = 2,
+    decode=None,
 ):
     """Landed JSON messages (one per line) -> raw table, first arrival wins.
 
+    ``decode(batch, tz, value_col) -> (good, bad)``: quote messages by default,
+    :func:`dvspark.sources.messages.decode_rate_messages` for rates.
+
     Each micro-batch is decoded (bad messages to ``quarantine``), reduced to
     first arrivals and anti-joined with the stored table, then written under
     its own ``load_id`` partition in dynamic-overwrite mode.  The anti join
@@ -77,7 +81,7 @@ def drain_messages_to_raw(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         load_id = batch_load_id(batch_id)
-        good, bad = MSG.decode_quote_messages(batch, tz=tz, value_col="value")
+        good, bad = (decode or MSG.decode_quote_messages)(batch, tz=tz, value_col="value")
         existing = _read_target(spark, target, schema, exclude_load=load_id)
         new_rows = R.first_wins(good, key, existing).select(*[f.name for f in schema.fields])
         P.append_partition(new_rows, target, load_id)
