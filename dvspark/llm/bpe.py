@@ -1,7 +1,7 @@
 """Byte-level BPE by merge replay over a block of distinct words, and back to bytes.
 
-A block's texts are split by the tokenizer's pattern; each distinct piece not
-met before becomes a chain of symbols.  An inverted index holds, for every
+A block's texts are split as the tokenizer's pattern does (see ``pieces``);
+each distinct piece not met before becomes a chain of symbols.  An inverted index holds, for every
 token that two neighbours can form, the positions of the left neighbours.
 Tokens are taken in rank order; each merge touches its two neighbours only,
 which enter the index again.  The ids of a text are the ids of its pieces in
@@ -13,6 +13,7 @@ A piece that is itself a token is that token, as the library has it.
 
 Memory: the pieces of one block, and a cache of encoded pieces of at most
 ``CACHE_PIECES`` entries, emptied when full (results don't depend on it).
+Pieces are told apart by a 64-bit hash of their characters and length.
 
 Defined cases: null and empty text give no ids and the hash of no bytes; text
 that is one run without spaces is one piece; repeated rows give repeated rows;
@@ -24,38 +25,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from dvspark.llm.blocks import row_blocks, text_buffers
+from dvspark.llm.pieces import PieceBlock, PieceStore, explicit
 
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
 #: Bytes of text whose new pieces are replayed together.
-REPLAY_BYTES = 8 << 20
-
-# \s of the library's pattern engine: the Unicode property White_Space.
-_WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Below U+0250 these differ between the classes of ``re`` and of the pattern: separators, superscripts, fractions.
-_UNLIKE = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbeɐ-\U0010ffff]")
-
-
-class Splitter:
-    """findall() of a GPT-style pattern; texts of plain characters take the faster engine."""
-
-    def __init__(self, pattern: str):
-        explicit = pattern.replace("[^\\s", f"[^{_WHITE}").replace("\\S", f"[^{_WHITE}]").replace("\\s", f"[{_WHITE}]")
-        self.exact = regex.compile(explicit).findall
-        plain = pattern.replace("[^\\s\\p{L}\\p{N}]+", "(?:[^\\s\\w]|_)+").replace("\\p{L}+", "[^\\W\\d_]+").replace("\\p{N}+", "\\d+")
-        self.plain = re.compile(plain).findall if "\\p{" not in plain else self.exact
-
-    def __call__(self, text: str) -> list[str]:
-        return self.exact(text) if _UNLIKE.search(text) else self.plain(text)
-
+REPLAY_BYTES = 4 << 20
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
@@ -98,8 +79,8 @@ class MergeReplay:
             index[rank].append((at[part], a[part], b[part]))
         return formed
 
-    def encode(self, pieces: list[bytes]) -> list[bytes]:
-        """The ids of each piece, as little-endian unsigned 32-bit integers."""
+    def encode(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """The ids of each piece."""
         sizes = np.array([len(p) for p in pieces], dtype=np.int64)
         ends = np.cumsum(sizes)
         n = int(ends[-1]) if len(ends) else 0
@@ -142,8 +123,8 @@ class MergeReplay:
                 if early.any():
                     again.append(touched[early])
         keep = symbol >= 0
-        ids = symbol[keep].astype("<u4").tobytes()
-        marks = np.concatenate([[0], np.cumsum(keep)]) * 4
+        ids = symbol[keep].astype("<u4")
+        marks = np.concatenate([[0], np.cumsum(keep)])
         cuts = marks[np.concatenate([[0], ends])].tolist() if len(ends) else [0]
         out = [ids[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
         # A merge that made a token of lower rank possible comes before the rest of its own rank: one by one.
@@ -152,39 +133,42 @@ class MergeReplay:
         for k, piece in enumerate(pieces):
             whole = self.ranks.get(piece)
             if whole is not None:
-                out[k] = whole.to_bytes(4, "little")
+                out[k] = np.array([whole], dtype="<u4")
         return out
 
-    def _one_by_one(self, piece: bytes) -> bytes:
+    def _one_by_one(self, piece: bytes) -> np.ndarray:
         parts = [piece[i : i + 1] for i in range(len(piece))]
         while len(parts) > 1:
             rank, i = min((self.ranks.get(x + y, len(self.ranks) + 1), i) for i, (x, y) in enumerate(zip(parts, parts[1:], strict=False)))
             if rank > len(self.ranks):
                 break
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return np.array([self.ranks[p] for p in parts], dtype="<u4").tobytes()
+        return np.array([self.ranks[p] for p in parts], dtype="<u4")
 
 
 class BlockEncoder:
-    """Encodes blocks of texts; ids as little-endian unsigned 32-bit integers."""
+    """Encodes blocks of texts, and decodes blocks of ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.replay = MergeReplay(ranks)
-        self.split = Splitter(pattern)
-        self.cache: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        cache = self.cache
-        pieces = [self.split(text) for text in texts]
-        found = [list(map(cache.get, p)) for p in pieces]
-        new = sorted({p for ps, fs in zip(pieces, found, strict=True) if None in fs for p, f in zip(ps, fs, strict=True) if f is None})
-        cache.update(zip(new, self.replay.encode([p.encode() for p in new]), strict=True))
-        return [b"".join([cache[p] if f is None else f for p, f in zip(ps, fs, strict=True)] if None in fs else fs) for ps, fs in zip(pieces, found, strict=True)]
-
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.replay.token.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        self.exact = explicit(pattern)
+        self.store = PieceStore(lambda new: self.replay.encode([p.encode() for p in new]), "<u4", CACHE_PIECES)
+        tokens = [self.replay.token.get(i, b"") for i in range(max(self.replay.token) + 1)]
+        self.flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        self.begin = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in order, and where each text's begin."""
+        block = PieceBlock(texts, attach=True, single=False, exact=self.exact)
+        ids, out = self.store.values(block)
+        return ids, out[block.first]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        begin, size = self.begin[ids], self.begin[ids + np.uint32(1)]
+        size = size - begin
+        out = np.cumsum(size)
+        index = np.repeat(begin - (out - size), size) + np.arange(out[-1] if len(out) else 0)
+        return self.flat[index].tobytes()
 
 
 _encoders: dict[int, BlockEncoder] = {}
@@ -215,8 +199,9 @@ def bpe_round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_
             _, offsets = text_buffers(batch.column(1))
             for first, last in row_blocks(offsets, REPLAY_BYTES):
                 part = batch.slice(first, last - first)
-                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-                columns = {"doc_id": part.column(0).cast(pa.int64()), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary()) if keep_ids else None, "ids_sha256": pa.array([sha(x) for x in ids], pa.string()), "decoded_sha256": pa.array([sha(encoder.decode(x)) for x in ids], pa.string())}
+                flat, begin = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+                ids = [flat[a:b] for a, b in zip(begin, begin[1:], strict=False)]
+                columns = {"doc_id": part.column(0).cast(pa.int64()), "n_tokens": pa.array(np.diff(begin), pa.int64()), "ids": pa.array([x.tobytes() for x in ids], pa.binary()) if keep_ids else None, "ids_sha256": pa.array([sha(x.tobytes()) for x in ids], pa.string()), "decoded_sha256": pa.array([sha(encoder.decode(x)) for x in ids], pa.string())}
                 yield pa.RecordBatch.from_arrays([columns[n] for n, _ in fields], schema=pa.schema(fields))
 
     schema = "doc_id long, n_tokens long, " + "ids binary, " * keep_ids + "ids_sha256 string, decoded_sha256 string"
