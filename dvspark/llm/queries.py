@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dvspark.llm import bpe
+from dvspark.llm import bpe, prefix_counts
 from dvspark.llm.common import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -17,3 +17,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, keep_ids=False)
+
+
+@query
+def op3_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every text, and where its first 2,048 tokens end, from its prefix counts."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as spec:
+        return prefix_counts.prefix_counts(table(spark, sf_dir, "documents"), spec.read(), budget=2048, keep_changes=False)
