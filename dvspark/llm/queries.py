@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dvspark.llm import bpe, prefix_counts
+from dvspark.llm import bpe, neardup, prefix_counts
 from dvspark.llm.common import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -26,3 +26,9 @@ def op3_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as spec:
         return prefix_counts.prefix_counts(table(spark, sf_dir, "documents"), spec.read(), budget=2048, keep_changes=False)
+
+
+@query
+def op7_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 5-word-shingle similarity 0.85 or more."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
