@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dvspark.llm import bpe, neardup, prefix_counts
-from dvspark.llm.common import ORACLE, QUERIES, query, table
+from dvspark.llm import bpe, neardup, ngram_lm, prefix_counts
+from dvspark.llm.common import ORACLE, QUERIES, fold, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -32,3 +32,11 @@ def op3_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of 5-word-shingle similarity 0.85 or more."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query
+def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney log10 probability of every text, learned from the texts outside fold 2 of 7."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 7) == 2
+    return ngram_lm.score(docs, ngram_lm.train(docs.where(~held_out)), held_out)
