@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dvspark.llm import bpe, neardup, ngram_lm, prefix_counts
+from dvspark.llm import bpe, neardup, ngram_lm, prefix_counts, warc
 from dvspark.llm.common import ORACLE, QUERIES, fold, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -40,3 +40,32 @@ def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 7) == 2
     return ngram_lm.score(docs, ngram_lm.train(docs.where(~held_out)), held_out)
+
+
+@query
+def op9_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to dictionary-compressed archives and read back."""
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+ORACLE["op9_warc_dictionary"] = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h FROM pages
+), d AS (
+  SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS hex FROM p
+), bits AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i: ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'][instr('0123456789abcdef', substr(hex, i::INT, 1))]), '') AS b
+  FROM d
+), digests AS (
+  SELECT page_id, payload_bytes, hex, array_to_string(list_transform(range(0, 32), lambda k: substr('{_BASE32}', (1 + 16 * substr(b, (5*k+1)::INT, 1)::INT + 8 * substr(b, (5*k+2)::INT, 1)::INT + 4 * substr(b, (5*k+3)::INT, 1)::INT + 2 * substr(b, (5*k+4)::INT, 1)::INT + substr(b, (5*k+5)::INT, 1)::INT)::INT, 1)), '') AS payload_digest
+  FROM bits
+), latest AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex) AS m FROM digests
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN page_id < m THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < m THEN m END AS refers_to
+FROM latest
+"""
