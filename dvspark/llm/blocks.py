@@ -77,7 +77,7 @@ def row_blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[
 
 
 class WordBlock:
-    """Words of some rows: 64-bit hash of each, and where each row's words begin."""
+    """Words of some rows: 64-bit hash and byte span of each, and where each row's words begin."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True):
         base = int(offsets[0])
@@ -87,6 +87,7 @@ class WordBlock:
         self.rows = len(offsets) - 1
         if n == 0:
             self.hash = np.zeros(0, np.uint64)
+            self.starts = self.ends = np.zeros(0, np.int64)
             self.first = np.zeros(self.rows + 1, np.int64)
             return
         word = ~_SPACE[bytes_]
@@ -97,6 +98,7 @@ class WordBlock:
         end = word.copy()
         end[:-1] &= ~word[1:] | edge[1:n]
         starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
+        self.starts, self.ends = starts, ends
         values = (_LOWER[bytes_] if lower else bytes_).astype(np.uint64)
         values += np.uint64(1)
         values *= _power(_P, n)

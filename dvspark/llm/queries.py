@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dvspark.llm import bpe, neardup, ngram_lm, prefix_counts, warc
+from dvspark.llm import bpe, line_crf, neardup, ngram_lm, prefix_counts, warc
 from dvspark.llm.common import ORACLE, QUERIES, fold, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -69,3 +70,13 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
        CASE WHEN page_id < m THEN m END AS refers_to
 FROM latest
 """
+
+
+@query
+def op2_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from its lines' marginals, learned from the labels outside fold 2 of 4."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    model = line_crf.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = line_crf.score(docs.select("text", "doc_id", held_out.alias("held_out")), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= line_crf.CUT).cast("int").alias("predicted"))
