@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dvspark.llm import bpe, line_crf, neardup, ngram_lm, prefix_counts, warc
+from dvspark.llm import bpe, langid, line_crf, neardup, ngram_lm, prefix_counts, warc
 from dvspark.llm.common import ORACLE, QUERIES, fold, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -80,3 +80,13 @@ def op2_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = line_crf.train(docs, table(spark, sf_dir, "labels"), ~held_out)
     scored = line_crf.score(docs.select("text", "doc_id", held_out.alias("held_out")), model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= line_crf.CUT).cast("int").alias("predicted"))
+
+
+@query
+def op4_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by its spans, learned from the texts outside fold 0 of 5."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    model = langid.train(docs, ~held_out)
+    found = langid.predict(docs.select("text", "doc_id", held_out.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"), F.col("lang_spans").alias("n_spans"))
