@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dvspark.llm import bpe, langid, line_crf, neardup, ngram_lm, prefix_counts, warc
+from dvspark.llm import bpe, kmeans_tree, langid, line_crf, neardup, ngram_lm, prefix_counts, warc
 from dvspark.llm.common import ORACLE, QUERIES, fold, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -90,3 +90,9 @@ def op4_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs, ~held_out)
     found = langid.predict(docs.select("text", "doc_id", held_out.alias("held_out")), model)
     return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"), F.col("lang_spans").alias("n_spans"))
+
+
+@query
+def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found for every vec_id divisible by 100."""
+    return kmeans_tree.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
