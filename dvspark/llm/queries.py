@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dvspark.llm import bpe, kmeans_tree, langid, line_crf, neardup, ngram_lm, prefix_counts, warc
+from dvspark.llm import bpe, kmeans_tree, langid, line_crf, neardup, ngram_lm, prefix_counts, templates, warc
 from dvspark.llm.common import ORACLE, QUERIES, fold, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -96,3 +96,9 @@ def op4_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors found for every vec_id divisible by 100."""
     return kmeans_tree.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query
+def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share template windows with benchmark items, and which of them the items contaminate."""
+    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
