@@ -31,6 +31,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from dvspark.llm.pieces import PieceBlock, PieceStore, explicit
 
 CACHE_WORDS = 1_000_000
 _NEVER = 1 << 30
-BLOCK = 4 << 20
+BLOCK = 6 << 20
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -59,7 +60,7 @@ class WordEndBpe:
         self.rank = {pair: k for k, pair in enumerate(merges)}
         self.letters = byte_alphabet()
         self.longest = max(map(len, vocabulary))
-        self.left_as_is: dict[tuple[str, str], bool] = {}
+        self.rows: dict[str, tuple[str, dict[str, bool], dict[str, bool]]] = {}
         self.made: dict[str, tuple[str, str]] = {}
         for pair in merges:
             self.made.setdefault(pair[0] + pair[1], pair)
@@ -97,48 +98,75 @@ class WordEndBpe:
         the two stay apart if the pair at the border never comes first.  Of
         equal ranks the left one comes first.
         """
-        found = self.left_as_is.get((a, b))
+        rank, left, right, i, j = self.rank, self._spine(a, 1), self._spine(b, 0), 0, 0
+        while True:
+            (x, x_goes), (y, y_goes) = left[i], right[j]
+            border = rank.get((x, y), _NEVER)
+            if border < x_goes and border <= y_goes and border < _NEVER:
+                return False
+            if x_goes == y_goes == _NEVER:
+                return True
+            if x_goes <= y_goes:
+                i += 1
+            else:
+                j += 1
+
+    def _row(self, token: str) -> tuple[str, dict[str, bool], dict[str, bool]]:
+        """A token, and which inner and closing tokens are known to stand behind it, or not."""
+        found = self.rows.get(token)
         if found is None:
-            if len(self.left_as_is) > 2 * CACHE_WORDS:
-                self.left_as_is.clear()
-            rank, left, right, i, j = self.rank, self._spine(a, 1), self._spine(b, 0), 0, 0
-            while True:
-                (x, x_goes), (y, y_goes) = left[i], right[j]
-                border = rank.get((x, y), _NEVER)
-                if border < x_goes and border <= y_goes and border < _NEVER:
-                    found = False
-                elif x_goes == y_goes == _NEVER:
-                    found = True
-                elif x_goes <= y_goes:
-                    i += 1
-                    continue
-                else:
-                    j += 1
-                    continue
-                break
-            self.left_as_is[a, b] = found
+            found = self.rows[token] = (token, {}, {})
         return found
 
-    def counts(self, word: str) -> list[int]:
-        """Tokens of each non-empty prefix of the word, each closed by the word end."""
-        text = "".join(map(self.letters.__getitem__, word.encode("utf-8", "surrogatepass")))
-        n = len(text)
-        last, count = [""] * (n + 1), [0] * (n + 1)
-        inner, closing, longest, stands, end = self.inner, self.closing, self.longest, self._stands, self.end
-        for i in range(1, n):
-            for j in range(max(0, i - longest), i):
-                t = text[j:i]
-                if t in inner and (j == 0 or stands(last[j], t)):
-                    last[i], count[i] = t, count[j] + 1
-                    break
-        cuts = range(1, n + 1) if n == len(word) else np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in word]).tolist()
-        out = []
-        for i in cuts:
-            for j in range(max(0, i - longest), i):
-                t = text[j:i]
-                if t in closing and (j == 0 or stands(last[j], t + end)):
-                    out.append(count[j] + 1)
-                    break
+    def counts(self, words: list[str]) -> list[list[int]]:
+        """For each word, the tokens of each of its non-empty prefixes, each closed by the word end.
+
+        Words are taken in alphabetical order; what a word shares with the one
+        before it is not counted again.
+        """
+        inner, closing, longest, end, letters, stands = self.inner, self.closing, self.longest, self.end, self.letters, self._stands
+        if sum(len(row[1]) + len(row[2]) for row in self.rows.values()) > 4 * CACHE_WORDS:
+            self.rows.clear()
+        out: list[list[int]] = [[] for _ in words]
+        # By position in the word: the last inner token up to it, how many there are, and the count if the word ended there.
+        row, count, closed, text = [("", {}, {})], [0], {}, ""
+        for k in sorted(range(len(words)), key=words.__getitem__):
+            word, earlier = words[k], text
+            text = "".join([letters[b] for b in word.encode("utf-8", "surrogatepass")])
+            n, same = len(text), 0
+            most = min(n, len(earlier))
+            while same < most and text[same] == earlier[same]:
+                same += 1
+            del row[same + 1 :], count[same + 1 :]
+            for i in range(len(row), n):
+                for j in range(i - longest if i > longest else 0, i):
+                    t = text[j:i]
+                    if t in inner:
+                        token, known, _ = row[j]
+                        fits = j == 0 or known.get(t)
+                        if fits is None:
+                            fits = known[t] = stands(token, t)
+                        if fits:
+                            row.append(self._row(t))
+                            count.append(count[j] + 1)
+                            break
+            cuts = range(1, n + 1) if n == len(word) else accumulate([len(c.encode("utf-8", "surrogatepass")) for c in word])
+            mine = out[k]
+            for i in cuts:
+                if i <= same and i in closed:
+                    mine.append(closed[i])
+                    continue
+                for j in range(i - longest if i > longest else 0, i):
+                    t = text[j:i]
+                    if t in closing:
+                        token, _, known = row[j]
+                        fits = j == 0 or known.get(t)
+                        if fits is None:
+                            fits = known[t] = stands(token, t + end)
+                        if fits:
+                            closed[i] = count[j] + 1
+                            mine.append(closed[i])
+                            break
         return out
 
 
@@ -156,10 +184,9 @@ class PrefixCounter:
 
     def _changes(self, words: list[str]) -> list[np.ndarray]:
         out = []
-        for word in words:
-            counts = self.bpe.counts(word)
+        for word, counts in zip(words, self.bpe.counts(words), strict=True):
             if len(word) == 3 and word in ("'re", "'ve", "'ll"):  # cut after the first letter it is two words
-                counts[1] = counts[0] + self.bpe.counts(word[1])[0]
+                counts[1] = counts[0] + self.bpe.counts([word[1]])[0][0]
             out.append(np.array([b - a for a, b in zip([0, *counts], counts, strict=False)], "i1"))
         return out
 
