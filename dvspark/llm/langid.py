@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dvspark.llm.blocks import row_blocks, text_buffers
 
@@ -219,10 +220,12 @@ def train(docs: DataFrame, usable: Column) -> LanguageModel:
     return LanguageModel(languages, cells, scripts)
 
 
-def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """All columns of ``docs`` but its text (named ``text``), with lang_pred, lang_score and lang_spans in front."""
+def predict(docs: DataFrame, model: LanguageModel, prefix: str = "lang_", keep_text: bool = False) -> DataFrame:
+    """``prefix``pred, ``prefix``score, ``prefix``spans, then the columns of ``docs``; its ``text`` only if kept (then fourth)."""
     rest = [f for f in docs.schema.fields if f.name != "text"]
-    schema = ", ".join(["lang_pred string", "lang_score double", "lang_spans int", *(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)])
+    found_fields = [T.StructField(prefix + "pred", T.StringType()), T.StructField(prefix + "score", T.DoubleType()), T.StructField(prefix + "spans", T.IntegerType())]
+    schema = T.StructType([*found_fields, *([docs.schema["text"]] if keep_text else []), *rest])
+    names, first_kept = schema.names, 0 if keep_text else 1
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,6 +233,6 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
             _, offsets = text_buffers(batch.column(0))
             for lo, hi in row_blocks(offsets, BLOCK):
                 found = held.value.predict([t or "" for t in batch.column(0).slice(lo, hi - lo).to_pylist()])
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.string(), pa.float64(), pa.int32()), strict=True)] + [batch.column(k).slice(lo, hi - lo) for k in range(1, batch.num_columns)], names=["lang_pred", "lang_score", "lang_spans", *batch.schema.names[1:]])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.string(), pa.float64(), pa.int32()), strict=True)] + [batch.column(k).slice(lo, hi - lo) for k in range(first_kept, batch.num_columns)], names=names)
 
-    return docs.select("text", *(f"`{f.name}`" for f in rest)).mapInArrow(run, schema)
+    return docs.select("text", *(F.col(f"`{f.name}`") for f in rest)).mapInArrow(run, schema)

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dvspark.llm.blocks import WordBlock, mix, row_blocks, text_buffers
 
@@ -234,17 +235,18 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Crf | None:
     return fit(x, np.concatenate(size), first, np.array([1 if r.quality == 1 else 0 for r in found]))
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: Crf | None) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], model: Crf | None, names: list[str], first_kept: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_buffers(batch.column(0))
         for lo, hi in row_blocks(offsets):
             x, size, first = line_features(data, offsets[lo : hi + 1])
             score = np.full(hi - lo, CUT) if model is None else model.texts(x, size, first)
-            yield pa.RecordBatch.from_arrays([pa.array(score, pa.float64()), *(batch.column(k).slice(lo, hi - lo) for k in range(1, batch.num_columns))], names=["score", *batch.schema.names[1:]])
+            yield pa.RecordBatch.from_arrays([pa.array(score, pa.float64()), *(batch.column(k).slice(lo, hi - lo) for k in range(first_kept, batch.num_columns))], names=names)
 
 
-def score(docs: DataFrame, model: Crf | None) -> DataFrame:
-    """All columns of ``docs`` but its text (named ``text``) with ``score`` in front; keep the text under another name to have it back."""
+def score(docs: DataFrame, model: Crf | None, name: str = "score", keep_text: bool = False) -> DataFrame:
+    """``name`` (the score), then the columns of ``docs``; its ``text`` only if kept (then second)."""
     rest = [f for f in docs.schema.fields if f.name != "text"]
-    schema = ", ".join(["score double", *(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)])
-    return docs.select("text", *(f"`{f.name}`" for f in rest)).mapInArrow(lambda batches: _scored(batches, model), schema)
+    kept = ["text"] * keep_text + [f.name for f in rest]
+    schema = T.StructType([T.StructField(name, T.DoubleType()), *([docs.schema["text"]] if keep_text else []), *rest])
+    return docs.select("text", *(F.col(f"`{f.name}`") for f in rest)).mapInArrow(lambda batches: _scored(batches, model, [name, *kept], 0 if keep_text else 1), schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dvspark.llm import bpe, kmeans_tree, langid, line_crf, neardup, ngram_lm, prefix_counts, templates, warc
+from dvspark.llm import bpe, kmeans_tree, langid, line_crf, neardup, ngram_lm, prefix_counts, quotes, templates, warc
 from dvspark.llm.common import ORACLE, QUERIES, fold, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -102,3 +102,9 @@ def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share template windows with benchmark items, and which of them the items contaminate."""
     return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without its quotes, behind the message that it answers."""
+    return quotes.reply_ordered(table(spark, sf_dir, "conversations"))
