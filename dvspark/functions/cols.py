@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,11 +19,30 @@ def as_col(value, literal: bool = False) -> Column:
     return F.lit(value)
 
 
+def utc_now() -> Column:
+    """The current instant as a UTC wall clock, whatever the session's zone."""
+    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
+
+
 def hours_after(day_col, hours: int) -> Column:
     """Wall-clock timestamp (NTZ) ``hours`` after midnight of a DATE column."""
     return as_col(day_col).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hours))
 
 
+def unread_files(spark: SparkSession, path: str, docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, text) of the files below ``path`` that gave no document: empty, or cut off inside their only element.
+
+    Bytes are shown one character each (ISO 8859-1), so nothing of them is lost.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    same_form = lambda c: F.regexp_replace(F.url_decode(c), "^file:/+", "file:/")
+    # Scans skip files of no bytes, so the names come from the listing that planning makes anyway.
+    names = spark.createDataFrame([(n,) for n in files.inputFiles()], "doc_id string").select(same_form(F.col("doc_id")).alias("doc_id"))
+    lost = names.join(docs.select(same_form(F.col(doc_id)).alias("doc_id")).distinct(), "doc_id", "left_anti")
+    texts = files.select(same_form(F.col("path")).alias("doc_id"), F.decode("content", "ISO-8859-1").alias("text"))
+    return lost.join(texts, "doc_id", "left").withColumn("text", F.coalesce("text", F.lit("")))
+
+
 def event_time(ts_ntz, tz: str) -> Column:
     """NTZ wall clock -> TIMESTAMP instant with the same UTC wall clock.
 

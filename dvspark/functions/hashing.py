@@ -88,18 +88,3 @@ def hash_diff(*columns, types: dict[str, DataType] | None = None) -> Column:
 
 def schema_types(df: DataFrame) -> dict[str, DataType]:
     return {f.name: f.dataType for f in df.schema.fields}
-
-
-def with_hash_diff(df: DataFrame, columns: list[str], name: str = "hash_diff") -> DataFrame:
-    return df.withColumn(name, hash_diff(*columns, types=schema_types(df)))
-
-
-def add_vault_metadata(df: DataFrame, record_source, load_date) -> DataFrame:
-    """H4: stamp ``load_date`` and ``record_source``.
-
-    ``load_date`` is a parameter (literal, Column or column name) rather than
-    ``current_timestamp()`` so that a retried load writes identical rows.
-    """
-    return df.withColumn("load_date", as_col(load_date, literal=True)).withColumn(
-        "record_source", as_col(record_source, literal=True)
-    )

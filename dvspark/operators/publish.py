@@ -9,24 +9,27 @@ install) the guarantees come from Spark's commit protocol:
   a dynamic overwrite with stale data, so such dates are deleted
   explicitly (the ``DELETE WHERE date = :d`` half of DELETE + INSERT).
   The set of dates written is taken from an ``Observation`` of the same
-  job - one action, no extra scan.
+  job - one action, no extra scan.  Rows are rebalanced by date first, so a
+  date has few files and a large one several tasks.
 * ``upsert_versioned``: small keyed tables (the refresh log) are merged
-  copy-on-write into a new numbered version folder; readers take the
-  newest complete version.  A failed run leaves the previous one intact.
-* ``append_partition``: vault loads write their rows under their own
-  ``load_id`` partition in dynamic-overwrite mode, so re-running a load
-  replaces only that load.
+  copy-on-write into a folder of their own, which becomes the next numbered
+  version when complete; readers take the newest version.  A failed run
+  leaves the previous one intact and does not block the next.
+* ``append_partition``: loads write their rows under their own ``load_id``
+  partition and remove what an earlier attempt of that load left elsewhere in
+  it, so re-running a load replaces it as a whole.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import re
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def _fs(spark: SparkSession, path: str):
@@ -49,7 +52,7 @@ def publish_by_date(
     """
     spark = spark or df.sparkSession
     obs = Observation("published_dates")
-    observed = df.observe(obs, F.collect_set(F.col(date_col)).alias("dates"))
+    observed = df.hint("rebalance", F.col(date_col)).observe(obs, F.collect_set(F.col(date_col)).alias("dates"))
     (
         observed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -72,6 +75,17 @@ def read_published(spark: SparkSession, path: str, schema: StructType) -> DataFr
     return spark.read.schema(schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, p, jvm = _fs(spark, source)
+    if not fs.rename(p, jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{target} can't be made from {source}")
+
+
 _VERSION = re.compile(r"^version=(\d+)$")
 
 
@@ -79,12 +93,7 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     fs, p, _ = _fs(spark, root)
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        m = _VERSION.match(st.getPath().getName())
-        if m and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
+    return sorted(int(m.group(1)) for st in fs.listStatus(p) if (m := _VERSION.match(st.getPath().getName())))
 
 
 def read_versioned(spark: SparkSession, root: str, schema: StructType) -> DataFrame | None:
@@ -98,25 +107,60 @@ def upsert_versioned(
     spark: SparkSession, root: str, new_rows: DataFrame, key: Sequence[str], order_col: str, schema: StructType
 ) -> str:
     """M5: merge ``new_rows`` into the newest version by ``key``; the greater
-    ``order_col`` wins (new rows win ties).  Writes ``version=<n+1>``."""
+    ``order_col`` wins (new rows win ties).  Makes ``version=<n+1>``.
+
+    The rows are written to a folder under another name and renamed when the
+    job has succeeded, so a version that exists is complete and a crash leaves
+    nothing that the next run could trip over.
+    """
     current = read_versioned(spark, root, schema)
     cols = [f.name for f in schema.fields]
     incoming = new_rows.select(*cols).withColumn("_new", F.lit(1))
     merged = incoming if current is None else current.withColumn("_new", F.lit(0)).unionByName(incoming)
     w = Window.partitionBy(*key).orderBy(F.col(order_col).desc(), F.col("_new").desc())
     latest = merged.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(*cols)
-    versions = _versions(spark, root)
-    target = f"{root.rstrip('/')}/version={(versions[-1] + 1) if versions else 1}"
-    latest.write.mode("errorifexists").parquet(target)
+    root = root.rstrip("/")
+    writing = f"{root}/_writing-{uuid.uuid4().hex}"
+    latest.write.mode("errorifexists").parquet(writing)
+    target = f"{root}/version={max(_versions(spark, root), default=0) + 1}"
+    rename(spark, writing, target)
     return target
 
 
 def append_partition(df: DataFrame, path: str, load_id: str, partition_cols: Sequence[str] = ()) -> None:
-    """Write a load's rows under ``load_id=<id>`` (dynamic overwrite = retry-safe)."""
-    (
-        df.withColumn("load_id", F.lit(load_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id", *partition_cols)
-        .parquet(path)
-    )
+    """Write a load's rows as ``load_id=<id>``, replacing all that the load wrote before.
+
+    The values of the (at most one) further partition column are observed in
+    the writing job; partitions of the load that it no longer has are removed.
+    """
+    spark = df.sparkSession
+    parts = list(partition_cols)
+    value = F.col(parts[0]) if parts else F.lit(True)
+    obs = Observation("written")
+    rows = df.hint("rebalance", value) if parts else df
+    rows = rows.withColumn("load_id", F.lit(load_id)).observe(obs, F.collect_set(value.cast("string")).alias("values"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id", *parts).parquet(path)
+    written = set(obs.get.get("values") or [])
+    fs, root, jvm = _fs(spark, path)
+    folder = jvm.org.apache.hadoop.fs.Path(root, f"load_id={load_id}")
+    if not fs.exists(folder):
+        return
+    if not written:
+        fs.delete(folder, True)
+    elif parts:
+        for st in fs.listStatus(folder):
+            name = st.getPath().getName()
+            if name.startswith(f"{parts[0]}=") and name.partition("=")[2] not in written:
+                fs.delete(st.getPath(), True)
+
+
+def read_loads(spark: SparkSession, path: str, schema: StructType, exclude_load: str | None = None, only_load: str | None = None) -> DataFrame | None:
+    """A table written by :func:`append_partition`: all loads, all but one, or one; ``None`` if never written."""
+    if not exists(spark, path):
+        return None
+    df = spark.read.schema(StructType([*schema.fields, StructField("load_id", StringType(), True)])).parquet(path)
+    if exclude_load is not None:
+        df = df.where(F.col("load_id") != exclude_load)
+    if only_load is not None:
+        df = df.where(F.col("load_id") == only_load)
+    return df.select(*[f.name for f in schema.fields])

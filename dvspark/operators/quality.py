@@ -54,6 +54,18 @@ def rate_rules() -> list[Rule]:
     ]
 
 
+def instrument_rules() -> list[Rule]:
+    """The message boundary: all five texts are required and have their stored lengths."""
+    return [
+    ("symbol_required", F.col("symbol").isNotNull() & (F.trim("symbol") != "")),
+    ("symbol_max_20", F.length("symbol") <= 20),
+    ("name_required", F.col("instrument_name").isNotNull() & (F.length("instrument_name") <= 255)),
+    ("exchange_required", F.col("exchange").isNotNull() & (F.length("exchange") <= 50)),
+    ("asset_type_required", F.col("asset_type").isNotNull() & (F.length("asset_type") <= 50)),
+    ("source_required", F.col("source").isNotNull() & (F.length("source") <= 100)),
+    ]
+
+
 def violations(rules: Sequence[Rule]) -> Column:
     """Array of the names of the rules a row breaks (empty when valid)."""
     marks = F.array(*[F.when(~_valid(pred), F.lit(name)) for name, pred in rules])
@@ -94,15 +106,17 @@ def rule_summary(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
 def orphan_check(name: str, child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose key has no parent row -> (check_name, child_rows, orphan_rows).
 
-    The parent side is reduced to distinct keys first (a hub is unique
-    already), so the left join cannot multiply child rows.
+    Children are counted per key before the join (partial aggregates cut a hot
+    key down map-side), parents reduced to distinct keys, so both sides are
+    unique and no key's rows meet in one task.
     """
     p = parent.select(F.col(parent_key).alias("_pk")).distinct().withColumn("_hit", F.lit(True))
-    j = child.select(F.col(child_key).alias("_pk")).join(p, "_pk", "left")
+    j = child.groupBy(F.col(child_key).alias("_pk")).agg(F.count(F.lit(1)).alias("_n")).join(p, "_pk", "left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
     return j.agg(
         F.lit(name).alias("check_name"),
-        F.count(F.lit(1)).alias("child_rows"),
-        F.count(F.when(F.col("_hit").isNull(), F.lit(1))).alias("orphan_rows"),
+        total(F.col("_n")).alias("child_rows"),
+        total(F.when(F.col("_hit").isNull(), F.col("_n"))).alias("orphan_rows"),
     )
 
 

@@ -37,23 +37,25 @@ def load_hub(
     A key seen several times (or from several sources) becomes one row whose
     ``load_date``/``record_source`` are those of its earliest arrival (tie:
     smallest source).  NULL keys never enter a hub.  The grouping is a
-    partial + final aggregate, so repeated keys collapse before the shuffle.
+    partial + final aggregate on the hash key itself: repeated keys collapse
+    before the shuffle, and the anti join with the stored hub reuses it.
     """
     bk = as_col(business_key)
     first = (
         batch.where(bk.isNotNull())
-        .groupBy(bk.alias(bk_name))
+        .groupBy(hash_key(bk).alias(hk_name))
         .agg(
+            F.min(bk).alias(bk_name),
             F.min(
                 F.struct(
                     as_col(load_date).alias("load_date"),
                     as_col(record_source).alias("record_source"),
                 )
-            ).alias("_first")
+            ).alias("_first"),
         )
     )
     hub = first.select(
-        hash_key(bk_name).alias(hk_name),
+        hk_name,
         F.col(bk_name),
         F.col("_first.load_date").alias("load_date"),
         F.col("_first.record_source").alias("record_source"),
@@ -147,11 +149,11 @@ def satellite_history(versions: DataFrame, grain: Sequence[str], prefer: Sequenc
     Equivalent to loading the batches one by one in ``load_date`` order with
     the delta rule (T3).  Two versions with the same (grain, load_date) -
     two sources in one load - are reduced to one first: ``prefer`` orderings,
-    then the smallest ``record_source``.  Both windows partition by ``grain``
+    then the smallest ``record_source`` and ``hash_diff``.  Both windows partition by ``grain``
     only, so the plan has a single exchange and a single sort.
     """
     grain = list(grain)
-    by_load = Window.partitionBy(*grain).orderBy("load_date", *prefer, "record_source")
+    by_load = Window.partitionBy(*grain).orderBy("load_date", *prefer, "record_source", "hash_diff")
     w = Window.partitionBy(*grain).orderBy("load_date")
     one_per_load = versions.withColumn("_prev_ld", F.lag("load_date").over(by_load)).where(
         F.col("_prev_ld").isNull() | (F.col("_prev_ld") != F.col("load_date"))
@@ -184,29 +186,60 @@ def latest_version(
     return sat.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def satellite_delta(batch: DataFrame, existing: DataFrame | None, grain: Sequence[str]) -> DataFrame:
-    """T3 generalised: rows of ``batch`` (already prepared) that the satellite lacks.
+def within_dates(stored: DataFrame, batch: DataFrame, date_col: str) -> DataFrame:
+    """``stored`` between the first and last business date of ``batch``.
 
-    The stored versions of the grains the batch touches (left semi join on
-    the grain) and the batch versions are merged into one sequence per grain
-    and reduced with :func:`satellite_history`; the surviving batch rows are
-    the delta.  So every new version is compared with its true predecessor
-    in ``load_date`` order - the newest stored version for an in-order load
-    (the reference rule), an older one for a late arrival.  On equal
-    ``load_date`` the stored version wins, so re-sending a stored load adds
-    nothing.  A stored version made redundant by a late arrival stays (the
-    table is append-only); :func:`satellite_history` over all rows is the
-    exact view.
+    The bounds are scalar subqueries of one plan, so a scan of a table
+    partitioned by ``date_col`` reads the batch's days only.
+    """
+    lo, hi = batch.select(F.min(date_col)).scalar(), batch.select(F.max(date_col)).scalar()
+    return stored.where((F.col(date_col) >= lo) & (F.col(date_col) <= hi))
+
+
+def satellite_delta(
+    batch: DataFrame,
+    existing: DataFrame | None,
+    grain: Sequence[str],
+    arrivals: DataFrame | None = None,
+    date_col: str | None = None,
+) -> DataFrame:
+    """T3 generalised: rows that the satellite lacks once ``batch`` (already prepared) has arrived.
+
+    ``arrivals``: the versions of all earlier loads as they arrived (from the
+    stored raw zone).  The touched grains are then recomputed from all that
+    arrived, so a load that comes late is put in its place: it is compared
+    with its true predecessor, and a version that an earlier load had dropped
+    as unchanged is appended if the late one made it a change again.  The
+    table is append-only, so a stored version may become redundant;
+    :func:`satellite_history` over the stored rows is the exact view.
+
+    Without ``arrivals`` the stored versions stand for them, which is the same
+    as long as loads arrive in ``load_date`` order.  On equal ``load_date``
+    what came first wins, so re-sending a load adds nothing.
+
+    ``date_col``: business date by which the stored sides are partitioned;
+    they are read between the batch's first and last date only.
     """
     grain = list(grain)
-    if existing is None:
-        return satellite_history(batch, grain)
     cols = batch.columns
-    touched = batch.select(*grain).distinct()
-    stored = existing.join(touched, grain, "left_semi").select(*cols).withColumn("_new", F.lit(False))
-    merged = stored.unionByName(batch.select(*cols).withColumn("_new", F.lit(True)))
-    hist = satellite_history(merged, grain, prefer=[F.col("_new").asc()])
-    return hist.where(F.col("_new")).drop("_new")
+    if date_col is not None:
+        existing = within_dates(existing, batch, date_col) if existing is not None else None
+        arrivals = within_dates(arrivals, batch, date_col) if arrivals is not None else None
+    earlier = arrivals if arrivals is not None else existing
+    if earlier is None:
+        history = satellite_history(batch, grain)
+    else:
+        touched = batch.select(*grain).distinct()
+        before = earlier.join(touched, grain, "left_semi").select(*cols).withColumn("_new", F.lit(False))
+        merged = before.unionByName(batch.select(*cols).withColumn("_new", F.lit(True)))
+        history = satellite_history(merged, grain, prefer=[F.col("_new").asc()])
+        if arrivals is None:
+            return history.where(F.col("_new")).drop("_new")
+        history = history.drop("_new")
+    if existing is None:
+        return history
+    version = [*grain, "load_date", "hash_diff"]
+    return history.join(existing.select(*version), version, "left_anti").select(*cols)
 
 
 def load_satellite(
@@ -216,11 +249,13 @@ def load_satellite(
     columns: Sequence[str],
     hub: DataFrame | None = None,
     parent_hk: str | None = None,
+    arrivals: DataFrame | None = None,
+    date_col: str | None = None,
 ) -> DataFrame:
     """T4/T5: rows to append = T1 (optional) -> T3 delta, projected to the table contract."""
     if hub is not None:
         batch = enrich_with_hub(batch, hub, parent_hk or grain[0])
-    return satellite_delta(batch, existing, grain).select(*columns)
+    return satellite_delta(batch, existing, grain, arrivals, date_col).select(*columns)
 
 
 def scd2(history: DataFrame, key: Sequence[str]) -> DataFrame:

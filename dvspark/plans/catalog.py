@@ -9,8 +9,9 @@ by side; ``None`` as oracle marks a query that has no SQL statement.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dvspark import schemas as S
@@ -21,6 +22,24 @@ from dvspark.operators import publish as P
 from dvspark.operators import quality as Q
 from dvspark.operators import raw as R
 from dvspark.operators import vault as V
+from dvspark.operators.warehouse import (
+    QUOTE_GRAIN,
+    RATE_GRAIN,
+    SAT_QUOTE_COLS,
+    SAT_RATE_COLS,
+    hub_currency,
+    hub_instrument,
+    hub_market,
+    lnk_quote_instrument,
+    lnk_rate_currency,
+    normalize_rate_direction,
+    quote_versions,
+    rate_versions,
+    sat_details,
+    sat_quotes,
+    sat_rates,
+)
+from dvspark.plans import daily_load as D
 from dvspark.plans import oracle as O
 from dvspark.session import session_tz, work_path
 from dvspark.sources import messages as MSG
@@ -44,77 +63,20 @@ def register(name: str, oracle: str | None):
     return deco
 
 
-SAT_QUOTE_COLS = [f.name for f in S.SAT_QUOTE_PRICES.fields]
-SAT_RATE_COLS = [f.name for f in S.SAT_RATE_VALUES.fields]
-QUOTE_GRAIN = ["hub_instrument_hk", "trade_date"]
-RATE_GRAIN = ["lnk_rate_currency_hk", "rate_date"]
-
-
-# ------------------------------------------------------------ vault builders
-def hub_instrument_from(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    return V.load_hub(raw, "symbol", "hub_instrument_hk", "instrument_bk", existing=existing)
-
-
-def hub_instrument(raw: DataFrame) -> DataFrame:
-    return hub_instrument_from(raw)
-
-
-def quote_versions(raw: DataFrame) -> DataFrame:
-    return V.prepare_satellite(raw, "hub_instrument_hk", "symbol", S.QUOTE_HASH_COLUMNS)
-
-
-def sat_quotes(raw: DataFrame) -> DataFrame:
-    return V.satellite_history(quote_versions(raw), QUOTE_GRAIN).select(*SAT_QUOTE_COLS)
-
-
-def sat_details(instruments: DataFrame) -> DataFrame:
-    versions = V.prepare_satellite(instruments, "hub_instrument_hk", "symbol", S.DETAILS_HASH_COLUMNS)
-    hist = V.satellite_history(versions, ["hub_instrument_hk"])
-    return V.scd2(hist, ["hub_instrument_hk"]).select(*[f.name for f in S.SAT_INSTRUMENT_DETAILS.fields])
-
-
-def hub_currency_from(rates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    codes = rates.select(F.col("base_currency").alias("currency_code"), "loaded_at", "source").unionByName(
-        rates.select(F.col("target_currency").alias("currency_code"), "loaded_at", "source")
-    )
-    return V.load_hub(codes, "currency_code", "hub_currency_hk", "currency_code", existing=existing)
-
-
-def hub_currency(rates: DataFrame) -> DataFrame:
-    return hub_currency_from(rates)
-
-
-def lnk_rate_currency_from(rates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    links, _ = V.load_link(
-        rates,
-        [("hub_currency_hk_base", "base_currency"), ("hub_currency_hk_target", "target_currency")],
-        "lnk_rate_currency_hk",
-        existing=existing,
-    )
-    return links
-
-
-def lnk_rate_currency(rates: DataFrame) -> DataFrame:
-    return lnk_rate_currency_from(rates)
-
-
-def rate_versions(rates: DataFrame) -> DataFrame:
-    lnk = hash_key_composite(hash_key("base_currency"), hash_key("target_currency"))
-    return V.prepare_satellite(rates, "lnk_rate_currency_hk", None, S.RATE_HASH_COLUMNS, parent_key=lnk)
-
-
-def sat_rates(rates: DataFrame) -> DataFrame:
-    return V.satellite_history(rate_versions(rates), RATE_GRAIN).select(*SAT_RATE_COLS)
+def _run_time() -> Column:
+    """When the catalog's marts are built: a fixed parameter, so a rebuild gives the same rows."""
+    return F.lit(O.MART_LOADED_AT).cast("timestamp_ntz")
 
 
 def quotes_mart_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = tv.raw_quotes(spark, sf_dir)
-    return M.mart_quotes_daily(sat_quotes(raw), hub_instrument(raw), sat_details(tv.raw_instruments(spark, sf_dir)))
+    details = sat_details(tv.raw_instruments(spark, sf_dir))
+    return M.mart_quotes_daily(sat_quotes(raw), hub_instrument(raw), details, loaded_at=_run_time())
 
 
 def fx_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = tv.raw_rates(spark, sf_dir)
-    return M.mart_fx_rates(sat_rates(rates), lnk_rate_currency(rates), hub_currency(rates))
+    return M.mart_fx_rates(sat_rates(rates), lnk_rate_currency(rates), hub_currency(rates), loaded_at=_run_time())
 
 
 # ------------------------------------------------------------------- hashing
@@ -135,9 +97,37 @@ def q_sat_quote_history(spark, sf_dir):
     return sat_quotes(tv.raw_quotes(spark, sf_dir))
 
 
-@register("sat_instrument_details", O.sql("SELECT * FROM sat_instrument_details", "sat_instrument_details"))
+O.cte(
+    "renamed_versions",
+    ("raw_instruments",),
+    f"""
+    WITH twice AS (
+      SELECT * FROM raw_instruments
+      UNION ALL
+      SELECT * REPLACE (loaded_at + INTERVAL 1 DAY AS loaded_at, asset_type || ' (moved)' AS asset_type) FROM raw_instruments WHERE exchange IS NOT NULL
+      UNION ALL
+      SELECT * REPLACE (loaded_at + INTERVAL 1 DAY AS loaded_at) FROM raw_instruments WHERE exchange IS NULL
+    )
+    SELECT upper(md5(symbol)) AS hub_instrument_hk, loaded_at AS load_date, source AS record_source,
+           {O._hd('instrument_name', 'exchange', 'asset_type')} AS hash_diff, instrument_name, exchange, asset_type
+    FROM twice""",
+)
+
+
+@register(
+    "sat_instrument_details",
+    O.sql(
+        f"""SELECT *, min(load_date) OVER (PARTITION BY hub_instrument_hk ORDER BY load_date
+                                           ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS load_end_date
+            FROM ({O._t7('renamed_versions', 'hub_instrument_hk')})""",
+        "renamed_versions",
+    ),
+)
 def q_sat_instrument_details(spark, sf_dir):
-    return sat_details(tv.raw_instruments(spark, sf_dir))
+    """Delivered twice, a day apart; where there is an exchange the asset type has changed, so the first version ends."""
+    raw = tv.raw_instruments(spark, sf_dir)
+    moved = F.when(F.col("exchange").isNotNull(), F.concat("asset_type", F.lit(" (moved)"))).otherwise(F.col("asset_type"))
+    return sat_details(replayed(raw, "1 DAY", asset_type=moved))
 
 
 @register("hub_currency", O.sql("SELECT * FROM hub_currency", "hub_currency"))
@@ -169,12 +159,12 @@ def q_mart_quotes_backfill(spark, sf_dir):
     ),
 )
 def q_mart_quotes_daily(spark, sf_dir):
-    """M1 for the execution date = the newest trade date landed in raw."""
+    """M1 for the execution date = the newest trade date landed in raw; the day's quotes alone are read."""
     raw = tv.raw_quotes(spark, sf_dir)
     exec_date = raw.select(F.max("trade_date")).scalar()
-    return M.mart_quotes_daily(
-        sat_quotes(raw), hub_instrument(raw), sat_details(tv.raw_instruments(spark, sf_dir)), trade_date=exec_date
-    )
+    day = raw.where(F.col("trade_date") == exec_date)
+    details = sat_details(tv.raw_instruments(spark, sf_dir))
+    return M.mart_quotes_daily(sat_quotes(day), hub_instrument(day), details, loaded_at=_run_time())
 
 
 @register("mart_fx_rates", O.sql("SELECT * FROM mart_fx_rates", "mart_fx_rates"))
@@ -243,22 +233,6 @@ def q_raw_instruments(spark, sf_dir):
     return R.load_raw(batch, S.RAW_INSTRUMENTS_KEY).select(*RAW_INSTRUMENT_COLS)
 
 
-def normalize_rate_direction(rates: DataFrame, quoted_base_per_target: bool) -> DataFrame:
-    """§1.5: ``rate`` = units of base per one unit of target.
-
-    A feed quoting the opposite way (units of *target* per base: USD->RUB =
-    90.5) is swapped on ingestion - base and target exchange places, the
-    number is kept.  Never on read.
-    """
-    if quoted_base_per_target:
-        return rates
-    return rates.select(
-        F.col("target_currency").alias("base_currency"),
-        F.col("base_currency").alias("target_currency"),
-        *[c for c in rates.columns if c not in ("base_currency", "target_currency")],
-    )
-
-
 @register("raw_rates_union", O.sql("SELECT * FROM raw_rates", "raw_rates"))
 def q_raw_rates_union(spark, sf_dir):
     """The cbr feed plus the exchange-rate API feed, which quotes USD->RUB style."""
@@ -315,19 +289,6 @@ def q_hash_key_composite(spark, sf_dir):
 
 
 # ------------------------------------------------------------- more vault ops
-def hub_market(instruments: DataFrame) -> DataFrame:
-    return V.load_hub(instruments, "exchange", "hub_market_hk", "market_code")
-
-
-def lnk_quote_instrument(instruments: DataFrame) -> DataFrame:
-    links, _ = V.load_link(
-        instruments,
-        [("hub_instrument_hk", "symbol"), ("hub_market_hk", "exchange")],
-        "lnk_quote_instrument_hk",
-    )
-    return links
-
-
 O.cte(
     "hub_market",
     ("raw_instruments",),
@@ -348,17 +309,6 @@ O.cte(
         "(SELECT * FROM raw_instruments WHERE symbol IS NOT NULL AND exchange IS NOT NULL)",
     ),
 )
-O.cte(
-    "hub_registered",
-    ("raw_instruments",),
-    O._first_per(
-        "symbol",
-        "upper(md5(symbol)) AS hub_instrument_hk, symbol AS instrument_bk, loaded_at AS load_date, source AS record_source",
-        "raw_instruments",
-    ),
-)
-
-
 @register("hub_market", O.sql("SELECT * FROM hub_market", "hub_market"))
 def q_hub_market(spark, sf_dir):
     return hub_market(tv.raw_instruments(spark, sf_dir))
@@ -373,24 +323,23 @@ def q_lnk_quote_instrument(spark, sf_dir):
     "quotes_with_hub",
     O.sql(
         """SELECT q.*, upper(md5(q.symbol)) AS hub_instrument_hk FROM raw_quotes q
-           WHERE upper(md5(q.symbol)) IN (SELECT hub_instrument_hk FROM hub_registered)""",
+           WHERE q.symbol IN (SELECT symbol FROM raw_quotes WHERE source = 'intraday' AND trade_date = (SELECT min(trade_date) FROM raw_quotes))""",
         "raw_quotes",
-        "hub_registered",
     ),
 )
 def q_quotes_with_hub(spark, sf_dir):
-    """Quotes whose instrument is registered in the hub fed by reference data."""
-    hub = V.load_hub(tv.raw_instruments(spark, sf_dir), "symbol", "hub_instrument_hk", "instrument_bk")
-    raw = tv.raw_quotes(spark, sf_dir).withColumn("hub_instrument_hk", hash_key("symbol"))
-    return V.enrich_with_hub(raw, hub, "hub_instrument_hk")
+    """All quotes against a hub that the first day's morning load alone has fed."""
+    raw = tv.raw_quotes(spark, sf_dir)
+    first_day = raw.select(F.min("trade_date")).scalar()
+    hub = hub_instrument(raw.where((F.col("source") == tv.INTRADAY_SOURCE) & (F.col("trade_date") == first_day)))
+    return V.enrich_with_hub(raw.withColumn("hub_instrument_hk", hash_key("symbol")), hub, "hub_instrument_hk")
 
 
 @register(
     "sat_latest",
     O.sql(
-        """SELECT * FROM sat_quote_prices s
-           WHERE s.load_date = (SELECT max(s2.load_date) FROM sat_quote_prices s2
-                                WHERE s2.hub_instrument_hk = s.hub_instrument_hk AND s2.trade_date = s.trade_date)""",
+        """SELECT * FROM sat_quote_prices
+           QUALIFY row_number() OVER (PARTITION BY hub_instrument_hk, trade_date ORDER BY load_date DESC) = 1""",
         "sat_quote_prices",
     ),
 )
@@ -402,16 +351,19 @@ def q_sat_latest(spark, sf_dir):
 @register(
     "latest_by_max",
     O.sql(
-        """SELECT * FROM sat_quote_versions s
-           WHERE s.load_date = (SELECT max(s2.load_date) FROM sat_quote_versions s2
-                                WHERE s2.hub_instrument_hk = s.hub_instrument_hk AND s2.trade_date = s.trade_date)""",
+        """WITH restated AS (SELECT * REPLACE ('vendor' AS record_source, close_price + 1 AS close_price) FROM sat_quote_versions),
+                everything AS (SELECT * FROM sat_quote_versions UNION ALL SELECT * FROM restated),
+                newest AS (SELECT hub_instrument_hk, trade_date, max(load_date) AS load_date FROM everything GROUP BY ALL)
+           SELECT e.* REPLACE (CAST(close_price AS DECIMAL(18,6)) AS close_price)
+           FROM everything e JOIN newest USING (hub_instrument_hk, trade_date, load_date)""",
         "sat_quote_versions",
     ),
 )
 def q_latest_by_max(spark, sf_dir):
-    """M2: every version at MAX(load_date) per grain - ties kept (rank = 1)."""
+    """M2: every version at MAX(load_date) per grain; a second vendor restates each bar at the same time, so all are ties."""
     versions = quote_versions(tv.raw_quotes(spark, sf_dir)).select(*SAT_QUOTE_COLS)
-    return V.latest_version(versions, QUOTE_GRAIN, keep_ties=True)
+    restated = versions.withColumns({"record_source": F.lit("vendor"), "close_price": (F.col("close_price") + 1).cast(S.PRICE)})
+    return V.latest_version(versions.unionByName(restated), QUOTE_GRAIN, keep_ties=True)
 
 
 O.cte(
@@ -454,6 +406,42 @@ def q_sat_quote_prices(spark, sf_dir):
     return existing.select(*SAT_QUOTE_COLS).unionByName(appended)
 
 
+O.cte(
+    "late_versions",
+    ("sat_quote_versions",),
+    f"""
+    SELECT * REPLACE (load_date - INTERVAL 6 HOUR AS load_date, 'late' AS record_source, CAST(close_price + 7 AS DECIMAL(18,6)) AS close_price,
+                      {O._hd('open_price', 'high_price', 'low_price', 'CAST(close_price + 7 AS DECIMAL(18,6))', 'volume')} AS hash_diff)
+    FROM sat_quote_versions WHERE record_source = 'eod'""",
+)
+
+
+@register(
+    "sat_late_arrival",
+    O.sql(
+        f"SELECT * FROM ({O._t7('(SELECT * FROM sat_quote_versions UNION ALL SELECT * FROM late_versions)', 'hub_instrument_hk, trade_date')})",
+        "sat_quote_versions",
+        "late_versions",
+    ),
+)
+def q_sat_late_arrival(spark, sf_dir):
+    """T3 after a late load: restatements dated between morning and evening come last of all.
+
+    The evening's versions had been dropped where they changed nothing; the
+    late load makes them changes again.  Stored rows plus delta = bulk history.
+    """
+    raw, existing, batch = _intraday_then_eod(spark, sf_dir)
+    in_order = V.satellite_delta(batch, existing, QUOTE_GRAIN, date_col="trade_date")
+    satellite = existing.select(*SAT_QUOTE_COLS).unionByName(in_order.select(*SAT_QUOTE_COLS))
+    late_raw = raw.where(F.col("source") == tv.EOD_SOURCE).withColumns(
+        {"loaded_at": F.col("loaded_at") - F.expr("INTERVAL 6 HOUR"), "source": F.lit("late"), "close_price": (F.col("close_price") + 7).cast(S.PRICE)}
+    )
+    late = quote_versions(late_raw).select(*SAT_QUOTE_COLS)
+    arrived = quote_versions(raw).select(*SAT_QUOTE_COLS)
+    delta = V.satellite_delta(late, satellite, QUOTE_GRAIN, arrivals=arrived, date_col="trade_date")
+    return V.satellite_history(satellite.unionByName(delta.select(*SAT_QUOTE_COLS)), QUOTE_GRAIN)
+
+
 # ------------------------------------------------------------------- quality
 def _quote_vault(spark, sf_dir):
     raw = tv.raw_quotes(spark, sf_dir)
@@ -778,8 +766,29 @@ QUOTE_MESSAGE_SQL = """
 
 @register("quote_messages", O.sql(QUOTE_MESSAGE_SQL, "raw_quotes"))
 def q_quote_messages(spark, sf_dir):
-    """Keyed JSON messages, decimals as strings, 3 topic partitions by key."""
-    return MSG.quote_messages(tv.raw_quotes(spark, sf_dir), partitions=3)
+    """Keyed JSON messages, decimals as strings; the key decides the topic partition."""
+    return MSG.quote_messages(tv.raw_quotes(spark, sf_dir))
+
+
+RATE_MESSAGE_SQL = """
+    SELECT target_currency || ':' || CAST(rate_date AS VARCHAR) AS message_key,
+           CAST(json_object('base_currency', base_currency, 'target_currency', target_currency, 'rate', CAST(rate AS VARCHAR),
+                            'rate_date', CAST(rate_date AS VARCHAR), 'source', source,
+                            'loaded_at', strftime(loaded_at, '%Y-%m-%dT%H:%M:%S') || '+00:00') AS VARCHAR) AS message_value
+    FROM raw_rates"""
+
+
+@register("rate_messages", O.sql(RATE_MESSAGE_SQL, "raw_rates"))
+def q_rate_messages(spark, sf_dir):
+    """S8/P10 for rates: keyed by currency and day."""
+    return MSG.rate_messages(tv.raw_rates(spark, sf_dir))
+
+
+@register("instrument_messages", O.sql("SELECT * FROM raw_instruments WHERE exchange IS NOT NULL", "raw_instruments"))
+def q_instrument_messages(spark, sf_dir):
+    """P9-P11 for instruments: encoded, decoded and checked at the boundary, which requires every field."""
+    good, _ = MSG.decode_instrument_messages(MSG.instrument_messages(tv.raw_instruments(spark, sf_dir)), tz=session_tz(spark))
+    return Q.validate(good, Q.instrument_rules())[0].select(*RAW_INSTRUMENT_COLS)
 
 
 @register("decode_quote_messages", O.sql("SELECT * FROM raw_quotes", "raw_quotes"))
@@ -850,11 +859,11 @@ def q_mart_refresh_log(spark, sf_dir):
 def q_stream_raw_quotes(spark, sf_dir):
     """Quote messages delivered twice (at-least-once) drained into raw, first wins."""
     base = work_path(spark, "stream_raw_quotes")
-    msgs = MSG.quote_messages(tv.raw_quotes(spark, sf_dir), partitions=3).select("message_value")
+    msgs = MSG.quote_messages(tv.raw_quotes(spark, sf_dir)).select("message_value")
     msgs.write.text(f"{base}/landing")
     msgs.write.mode("append").text(f"{base}/landing")  # the replayed delivery
     X.drain_messages_to_raw(
-        spark, f"{base}/landing", f"{base}/raw", f"{base}/quarantine", f"{base}/_checkpoint", S.RAW_QUOTES_KEY, S.RAW_QUOTES
+        spark, f"{base}/landing", f"{base}/raw", f"{base}/quarantine", f"{base}/_checkpoint", S.RAW_QUOTES_KEY, S.RAW_QUOTES, "trade_date"
     )
     return X.read_loaded(spark, f"{base}/raw", S.RAW_QUOTES)
 
@@ -863,7 +872,7 @@ def q_stream_raw_quotes(spark, sf_dir):
 def q_stream_raw_rates(spark, sf_dir):
     """X1/S5 for the rates topic: rate messages delivered twice, drained first-wins into raw."""
     base = work_path(spark, "stream_raw_rates")
-    msgs = MSG.rate_messages(tv.raw_rates(spark, sf_dir), partitions=3).select("message_value")
+    msgs = MSG.rate_messages(tv.raw_rates(spark, sf_dir)).select("message_value")
     msgs.write.text(f"{base}/landing")
     msgs.write.mode("append").text(f"{base}/landing")  # the replayed delivery
     X.drain_messages_to_raw(
@@ -880,12 +889,13 @@ def _event_stream(spark, sf_dir):
 
 @register("stream_dedup", "SELECT * FROM events")
 def q_stream_dedup(spark, sf_dir):
-    """The event stream read twice and unioned; duplicates dropped within a 1-hour watermark."""
+    """The event stream read twice and unioned, then all of it delivered again: one row per event."""
     schema, s1 = _event_stream(spark, sf_dir)
     _, s2 = _event_stream(spark, sf_dir)
     base = work_path(spark, "stream_dedup")
-    X.run_to_parquet(X.dedup_stream(s1.unionByName(s2), ["event_id"], "ts", "1 hour", session_tz(spark)), f"{base}/out", f"{base}/_checkpoint")
-    return spark.read.schema(schema).parquet(f"{base}/out")
+    for k, stream in enumerate((s1.unionByName(s2), _event_stream(spark, sf_dir)[1])):
+        X.first_wins_stream(spark, stream, f"{base}/out", f"{base}/_checkpoint-{k}", ["event_id"], "ts", ["ts"], name=f"delivery-{k}")
+    return P.read_loads(spark, f"{base}/out", schema)
 
 
 @register("stream_sat_delta", O.sql("SELECT * FROM sat_quote_prices", "sat_quote_prices"))
@@ -895,9 +905,10 @@ def q_stream_sat_delta(spark, sf_dir):
     raw = tv.raw_quotes(spark, sf_dir)
     raw.where(F.col("source") == tv.INTRADAY_SOURCE).write.parquet(f"{base}/landing")
     raw.where(F.col("source") == tv.EOD_SOURCE).write.mode("append").parquet(f"{base}/landing")
+    # One file a trigger: several micro-batches, as small deliveries make them.
     source = spark.readStream.schema(S.RAW_QUOTES).option("maxFilesPerTrigger", 1).parquet(f"{base}/landing")
     X.satellite_stream(
-        spark, source, f"{base}/sat", f"{base}/_checkpoint", QUOTE_GRAIN, SAT_QUOTE_COLS, S.SAT_QUOTE_PRICES, quote_versions
+        spark, source, f"{base}/sat", f"{base}/_checkpoint", QUOTE_GRAIN, SAT_QUOTE_COLS, S.SAT_QUOTE_PRICES, quote_versions, "trade_date"
     )
     return X.read_loaded(spark, f"{base}/sat", S.SAT_QUOTE_PRICES)
 
@@ -905,23 +916,21 @@ def q_stream_sat_delta(spark, sf_dir):
 @register(
     "stream_ohlc",
     """
-    SELECT * FROM (
-      SELECT CAST(user_id AS VARCHAR) AS symbol, CAST(ts AS DATE) AS trade_date,
-             arg_min(CAST(value AS DECIMAL(18,6)), (ts, event_id)) AS open_price,
-             max(CAST(value AS DECIMAL(18,6))) AS high_price,
-             min(CAST(value AS DECIMAL(18,6))) AS low_price,
-             arg_max(CAST(value AS DECIMAL(18,6)), (ts, event_id)) AS close_price,
-             count(*) AS volume
-      FROM events GROUP BY user_id, CAST(ts AS DATE)
-    ) WHERE CAST(trade_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+    SELECT CAST(user_id AS VARCHAR) AS symbol, CAST(ts AS DATE) AS trade_date,
+           arg_min(CAST(value AS DECIMAL(18,6)), (ts, event_id)) AS open_price,
+           max(CAST(value AS DECIMAL(18,6))) AS high_price,
+           min(CAST(value AS DECIMAL(18,6))) AS low_price,
+           arg_max(CAST(value AS DECIMAL(18,6)), (ts, event_id)) AS close_price,
+           count(*) AS volume
+    FROM events GROUP BY user_id, CAST(ts AS DATE)""",
 )
 def q_stream_ohlc(spark, sf_dir):
-    """Daily OHLC bars from the tick stream; the still-open last day is not emitted."""
+    """Daily OHLC bars from the tick stream, the still-open last day included."""
     _, ticks = _event_stream(spark, sf_dir)
     base = work_path(spark, "stream_ohlc")
-    bars = X.ohlc_bars(ticks, session_tz(spark))
-    X.run_to_parquet(bars, f"{base}/out", f"{base}/_checkpoint")
-    return spark.read.schema(bars.schema).parquet(f"{base}/out")
+    X.ohlc_stream(spark, ticks, f"{base}/ticks", f"{base}/bars", f"{base}/_checkpoint")
+    bars = X.ohlc_of_ticks(tv.events_ticks(spark, sf_dir)).schema
+    return spark.read.schema(bars).parquet(f"{base}/bars").select(*bars.names)
 
 
 @register(
@@ -953,6 +962,36 @@ def q_quarantine_summary(spark, sf_dir):
     )
 
 
+# ------------------------------------------------------------ one whole run
+RUN_TIMES = ("2024-02-01 12:00:00", O.MART_LOADED_AT)  # of the morning's and the evening's run
+
+
+@register("warehouse_end_to_end", O.sql("SELECT * FROM mart_quotes_all", "mart_quotes_all"))
+def q_warehouse_end_to_end(spark, sf_dir):
+    """Landed JSON responses, rate XML and instrument messages -> raw -> vault -> gates -> marts, in two runs.
+
+    The files hold all quotes, instruments and rates, each response in its
+    own file, and are read by the readers a user has.
+    """
+    base = work_path(spark, "warehouse")
+    responses = QJ.responses_from_quotes(tv.raw_quotes(spark, sf_dir))
+    one_file = ["source", "symbol", "period"]
+    responses.repartition(*one_file).write.partitionBy(*one_file).text(f"{base}/landing/quotes")
+    rates = tv.rate_quotes(spark, sf_dir).where(F.col("source") == tv.CBR_SOURCE)
+    RX.valcurs_from_quotes(rates).select("xml_text").write.text(f"{base}/landing/rates")
+    listed = tv.raw_instruments(spark, sf_dir)
+    MSG.instrument_messages(listed.withColumn("exchange", F.coalesce("exchange", F.lit(M.UNKNOWN)))).select("message_value").write.text(f"{base}/landing/instruments")
+    source = F.regexp_extract("doc_id", "source=([^/]+)/", 1)
+    first = {"rates": f"{base}/landing/rates", "instruments": f"{base}/landing/instruments"}
+    for k, name in enumerate((tv.INTRADAY_SOURCE, tv.EOD_SOURCE)):
+        status = D.run_load(
+            spark, f"{base}/wh", name, datetime.fromisoformat(RUN_TIMES[k]), quotes=f"{base}/landing/quotes/source={name}", quote_source=source, **(first if k == 0 else {})
+        )
+        if status != "ok":
+            raise ValueError(f"run {name}: {status}")
+    return P.read_published(spark, D.table_path(f"{base}/wh", "dm", "dm_quotes_daily"), S.DM_QUOTES_DAILY)
+
+
 # --------------------------------------------------- extension analytics (EXT)
 
 AS_OF = "2024-01-15 12:00:00"  # point in time of the E5 query (a parameter)
@@ -1035,10 +1074,8 @@ def q_top_movers(spark, sf_dir):
     "sat_as_of",
     O.sql(
         f"""
-        SELECT * FROM sat_quote_prices s
-        WHERE s.load_date = (SELECT max(s2.load_date) FROM sat_quote_prices s2
-                             WHERE s2.hub_instrument_hk = s.hub_instrument_hk AND s2.trade_date = s.trade_date
-                               AND s2.load_date <= TIMESTAMP '{AS_OF}')""",
+        SELECT * FROM (SELECT * FROM sat_quote_prices WHERE load_date <= TIMESTAMP '{AS_OF}')
+        QUALIFY rank() OVER (PARTITION BY hub_instrument_hk, trade_date ORDER BY load_date DESC) = 1""",
         "sat_quote_prices",
     ),
 )

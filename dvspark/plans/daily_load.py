@@ -1,67 +1,156 @@
-"""Stored-table jobs: the raw -> vault load and the mart build of one run.
+"""Stored-table jobs: landed files -> raw -> vault -> gates -> marts of one run.
 
-What the reference schedules as separate jobs (hub load, satellite load,
-mart SQL, refresh log), as two functions over Parquet tables below one
-warehouse root (zones ``vault/`` and ``dm/``):
+What the reference schedules as separate tasks, as functions over Parquet
+tables below one warehouse root (zones ``raw/``, ``vault/``, ``dm/``):
 
-* ``load_vault`` appends the hubs, links and satellites of one load.  Every
-  table gets a ``load_id=<id>`` partition written in dynamic-overwrite mode,
-  and comparisons ignore the load's own partition, so a retried load
-  rewrites exactly the same rows.
-* ``build_marts`` publishes the daily quotes and FX marts for the given
-  dates (replace-by-date) and upserts the refresh log.
+* ``land_raw`` reads landed quote JSON, rate XML and instrument messages,
+  checks every row, quarantines the bad ones and appends first arrivals;
+* ``load_vault`` appends the hubs, links and satellites of one load;
+* ``check_load`` counts what the load brought and checks its keys and
+  references; ``run_load`` skips the marts of a load without rows and stops
+  on a violation;
+* ``build_marts`` publishes the daily quotes and FX marts for the given dates
+  (replace-by-date) and upserts the refresh log.
 
-No data passes through the driver; the only actions are the writes.
+Every table but the marts gets a ``load_id=<id>`` partition that a retried
+load replaces as a whole, and comparisons ignore the load's own partition.
+Quote tables are also partitioned by trade date and read between a load's
+dates only; rates are some dozens of rows a day and are not.
+No data passes through the driver; the actions are the writes and the gates'
+counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from dvspark import schemas as S
 from dvspark.operators import marts as M
 from dvspark.operators import publish as P
+from dvspark.operators import quality as Q
+from dvspark.operators import raw as R
 from dvspark.operators import vault as V
-from dvspark.plans import catalog as C
+from dvspark.operators import warehouse as W
+from dvspark.session import session_tz
+from dvspark.sources import messages as MSG
+from dvspark.sources import quotes_json as QJ
+from dvspark.sources import rates_xml as RX
 
-# Business-date partition column of each table (besides load_id): a daily mart
-# build or delta reads only the partitions of its dates.
-DATE_PARTITION = {"sat_quote_prices": "trade_date", "sat_rate_values": "rate_date"}
+# Business-date partition column of each table (besides load_id).
+DATE_PARTITION = {"raw_quotes": "trade_date", "sat_quote_prices": "trade_date"}
 
+RAW_TABLES = {
+    "raw_quotes": (S.RAW_QUOTES, S.RAW_QUOTES_KEY),
+    "raw_rates": (S.RAW_RATES, S.RAW_RATES_KEY),
+    "raw_instruments": (S.RAW_INSTRUMENTS, S.RAW_INSTRUMENTS_KEY),
+}
 VAULT_TABLES = {
     "hub_instrument": S.HUB_INSTRUMENT,
+    "hub_market": S.HUB_MARKET,
     "hub_currency": S.HUB_CURRENCY,
+    "lnk_quote_instrument": S.LNK_QUOTE_INSTRUMENT,
     "lnk_rate_currency": S.LNK_RATE_CURRENCY,
     "sat_quote_prices": S.SAT_QUOTE_PRICES,
     "sat_rate_values": S.SAT_RATE_VALUES,
     "sat_instrument_details": S.SAT_INSTRUMENT_DETAILS,
 }
+#: Primary key of each vault table.
+KEYS = {
+    "hub_instrument": ["hub_instrument_hk"],
+    "hub_market": ["hub_market_hk"],
+    "hub_currency": ["hub_currency_hk"],
+    "lnk_quote_instrument": ["lnk_quote_instrument_hk"],
+    "lnk_rate_currency": ["lnk_rate_currency_hk"],
+    "sat_quote_prices": ["hub_instrument_hk", "trade_date", "load_date"],
+    "sat_rate_values": ["lnk_rate_currency_hk", "rate_date", "load_date"],
+    "sat_instrument_details": ["hub_instrument_hk", "load_date"],
+}
+#: (child, key, parent, key).  Reference data may come before an instrument's first quote, so its
+#: satellite and its link are not held against the hub here (``vault_orphans`` counts them).
+REFERENCES = [
+    ("sat_quote_prices", "hub_instrument_hk", "hub_instrument", "hub_instrument_hk"),
+    ("sat_rate_values", "lnk_rate_currency_hk", "lnk_rate_currency", "lnk_rate_currency_hk"),
+    ("lnk_quote_instrument", "hub_market_hk", "hub_market", "hub_market_hk"),
+    ("lnk_rate_currency", "hub_currency_hk_base", "hub_currency", "hub_currency_hk"),
+    ("lnk_rate_currency", "hub_currency_hk_target", "hub_currency", "hub_currency_hk"),
+]
+
+
+class GateError(RuntimeError):
+    """A load broke a key or a reference; its marts are not built."""
 
 
 def table_path(root: str, zone: str, name: str) -> str:
     return f"{root.rstrip('/')}/{zone}/{name}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _read(spark: SparkSession, root: str, zone: str, name: str, **which) -> DataFrame | None:
+    schema = VAULT_TABLES[name] if zone == "vault" else RAW_TABLES[name][0]
+    return P.read_loads(spark, table_path(root, zone, name), schema, **which)
+
+
+def read_raw(spark: SparkSession, root: str, name: str, exclude_load: str | None = None, only_load: str | None = None) -> DataFrame | None:
+    return _read(spark, root, "raw", name, exclude_load=exclude_load, only_load=only_load)
 
 
 def read_vault(spark: SparkSession, root: str, name: str, exclude_load: str | None = None) -> DataFrame | None:
     """A vault table, optionally without the rows of one load (``None`` if never written)."""
-    path = table_path(root, "vault", name)
-    if not _exists(spark, path):
-        return None
-    schema = VAULT_TABLES[name]
-    df = spark.read.schema(StructType([*schema.fields, StructField("load_id", StringType(), True)])).parquet(path)
-    if exclude_load is not None:
-        df = df.where(F.col("load_id") != exclude_load)
-    return df.select(*[f.name for f in schema.fields])
+    return _read(spark, root, "vault", name, exclude_load=exclude_load)
+
+
+def _append(root: str, zone: str, name: str, rows: DataFrame, load_id: str) -> None:
+    schema = VAULT_TABLES[name] if zone == "vault" else RAW_TABLES[name][0]
+    parts = [DATE_PARTITION[name]] if name in DATE_PARTITION else []
+    P.append_partition(rows.select(*[f.name for f in schema.fields]), table_path(root, zone, name), load_id, parts)
+
+
+def land_raw(
+    spark: SparkSession,
+    root: str,
+    load_id: str,
+    loaded_at: Column,
+    quotes: str | None = None,
+    rates: str | None = None,
+    instruments: str | None = None,
+    quote_source: Column | None = None,
+    rate_source: Column | None = None,
+) -> None:
+    """Landed folders of one load -> raw zone, bad documents and rows -> ``raw/quarantine``.
+
+    ``loaded_at``: the run's time (a parameter, so a retry lands the same
+    rows).  Sources default to the feeds' own names and may be columns over
+    the document's path ``doc_id``.
+    """
+    bad: list[DataFrame] = []
+
+    def land(name: str, parsed: DataFrame, rejected: DataFrame, rules: list, stage: str) -> None:
+        schema, key = RAW_TABLES[name]
+        good, broken = Q.validate(parsed.select(*[f.name for f in schema.fields]), rules)
+        held = good.persist()
+        try:
+            existing = read_raw(spark, root, name, exclude_load=load_id)
+            if existing is not None and name in DATE_PARTITION:
+                existing = V.within_dates(existing, held, DATE_PARTITION[name])
+            _append(root, "raw", name, R.first_wins(held, key, existing), load_id)
+        finally:
+            held.unpersist()
+        bad.append(rejected.select(F.lit(stage).alias("stage"), "reason", "source", "payload"))
+        bad.append(broken.select(F.lit(stage + "_rules").alias("stage"), "reason", "source", F.to_json(F.struct(*schema.names)).alias("payload")))
+
+    if quotes is not None:
+        docs = QJ.read_quote_responses(spark, quotes)
+        land("raw_quotes", *QJ.parse_quote_responses(docs, mode="all", source=quote_source, loaded_at=loaded_at), Q.quote_rules(), "quotes_json")
+    if rates is not None:
+        land("raw_rates", *RX.parse_valcurs(RX.read_rates_xml(spark, rates), source=rate_source, loaded_at=loaded_at), Q.rate_rules(), "rates_xml")
+    if instruments is not None:
+        messages = spark.read.text(instruments).withColumnRenamed("value", "message_value")
+        good, rejected = MSG.decode_instrument_messages(messages, tz=session_tz(spark), default_loaded_at=loaded_at)
+        land("raw_instruments", good, rejected, Q.instrument_rules(), "instrument_messages")
+    if bad:
+        P.append_partition(Q.union_all(bad), table_path(root, "raw", "quarantine"), load_id)
 
 
 def load_vault(
@@ -72,77 +161,107 @@ def load_vault(
     rates: DataFrame | None = None,
     instruments: DataFrame | None = None,
 ) -> None:
-    """One raw -> vault load (H5, H6, L2, T4, T5, T6) of newly landed raw rows."""
+    """One raw -> vault load (H5-H7, L1, L2, T4, T5, T6) of newly landed raw rows.
+
+    Versions of earlier loads come from the stored raw zone where there is
+    one, so a load that arrives late is put in its place.
+    """
 
     def write(name: str, rows: DataFrame) -> None:
-        parts = [DATE_PARTITION[name]] if name in DATE_PARTITION else []
-        P.append_partition(
-            rows.select(*[f.name for f in VAULT_TABLES[name].fields]), table_path(root, "vault", name), load_id, parts
-        )
+        _append(root, "vault", name, rows, load_id)
 
     def stored(name: str) -> DataFrame | None:
         return read_vault(spark, root, name, exclude_load=load_id)
 
+    def arrived(name: str, versions, columns: Sequence[str]) -> DataFrame | None:
+        raw = read_raw(spark, root, name, exclude_load=load_id)
+        return versions(raw).select(*columns) if raw is not None else None
+
     if quotes is not None:
-        write("hub_instrument", C.hub_instrument_from(quotes, stored("hub_instrument")))
-        versions = C.quote_versions(quotes).select(*C.SAT_QUOTE_COLS)
-        write("sat_quote_prices", V.satellite_delta(versions, stored("sat_quote_prices"), C.QUOTE_GRAIN))
+        write("hub_instrument", W.hub_instrument(quotes, stored("hub_instrument")))
+        versions = W.quote_versions(quotes).select(*W.SAT_QUOTE_COLS)
+        write("sat_quote_prices", V.satellite_delta(versions, stored("sat_quote_prices"), W.QUOTE_GRAIN, arrived("raw_quotes", W.quote_versions, W.SAT_QUOTE_COLS), "trade_date"))
     if rates is not None:
-        write("hub_currency", C.hub_currency_from(rates, stored("hub_currency")))
-        write("lnk_rate_currency", C.lnk_rate_currency_from(rates, stored("lnk_rate_currency")))
-        versions = C.rate_versions(rates).select(*C.SAT_RATE_COLS)
-        write("sat_rate_values", V.satellite_delta(versions, stored("sat_rate_values"), C.RATE_GRAIN))
+        write("hub_currency", W.hub_currency(rates, stored("hub_currency")))
+        write("lnk_rate_currency", W.lnk_rate_currency(rates, stored("lnk_rate_currency")))
+        versions = W.rate_versions(rates).select(*W.SAT_RATE_COLS)
+        write("sat_rate_values", V.satellite_delta(versions, stored("sat_rate_values"), W.RATE_GRAIN, arrived("raw_rates", W.rate_versions, W.SAT_RATE_COLS)))
     if instruments is not None:
-        # SCD2: end dates are derived on read (``current_details``), the table stores versions only.
-        versions = V.prepare_satellite(instruments, "hub_instrument_hk", "symbol", S.DETAILS_HASH_COLUMNS)
-        details = V.satellite_delta(
-            versions.select("hub_instrument_hk", "load_date", "record_source", "hash_diff", *S.DETAILS_HASH_COLUMNS),
-            _details_versions(stored("sat_instrument_details")),
-            ["hub_instrument_hk"],
-        )
+        write("hub_market", W.hub_market(instruments, stored("hub_market")))
+        write("lnk_quote_instrument", W.lnk_quote_instrument(instruments, stored("lnk_quote_instrument")))
+        # SCD2: end dates are derived on read (``details_view``), the table stores versions only.
+        versions = W.details_versions(instruments)
+        before = stored("sat_instrument_details")
+        details = V.satellite_delta(versions, before.select(*versions.columns) if before is not None else None, ["hub_instrument_hk"])
         write("sat_instrument_details", details.withColumn("load_end_date", F.lit(None).cast("timestamp_ntz")))
 
 
-def _details_versions(df: DataFrame | None) -> DataFrame | None:
-    if df is None:
-        return None
-    return df.select("hub_instrument_hk", "load_date", "record_source", "hash_diff", *S.DETAILS_HASH_COLUMNS)
-
-
 def details_view(spark: SparkSession, root: str) -> DataFrame | None:
     """T6 on read: every stored version end-dated by its successor."""
     stored = read_vault(spark, root, "sat_instrument_details")
     if stored is None:
         return None
-    return V.scd2(stored.drop("load_end_date"), ["hub_instrument_hk"]).select(
-        *[f.name for f in S.SAT_INSTRUMENT_DETAILS.fields]
-    )
+    history = V.satellite_history(stored.drop("load_end_date"), ["hub_instrument_hk"])
+    return V.scd2(history, ["hub_instrument_hk"]).select(*[f.name for f in S.SAT_INSTRUMENT_DETAILS.fields])
 
 
-def build_marts(
-    spark: SparkSession, root: str, dates: Sequence, refreshed_at, fx: bool = True
-) -> None:
-    """M1/M3 for ``dates`` from the stored vault, replace-by-date publish, M5 log upsert."""
-    day_list = [F.lit(d).cast("date") for d in dates]
-    sat = read_vault(spark, root, "sat_quote_prices")
-    hub = read_vault(spark, root, "hub_instrument")
+def check_load(spark: SparkSession, root: str, load_id: str) -> DataFrame:
+    """G1, T8, T9 over the stored vault: (gate, subject, n) with the load's rows, duplicate keys and orphans per table."""
+    parts = []
+    tables = {name: df for name in VAULT_TABLES if (df := read_vault(spark, root, name)) is not None}
+    for name in tables:
+        rows = P.read_loads(spark, table_path(root, "vault", name), VAULT_TABLES[name], only_load=load_id)
+        parts.append(rows.agg(F.lit("rows").alias("gate"), F.lit(name).alias("subject"), F.count(F.lit(1)).alias("n")))
+        parts.append(Q.duplicate_check(name, tables[name], KEYS[name]).select(F.lit("duplicates").alias("gate"), F.col("table_name").alias("subject"), F.col("duplicate_keys").alias("n")))
+    for child, key, parent, parent_key in REFERENCES:
+        if child in tables:
+            above = tables.get(parent, spark.createDataFrame([], VAULT_TABLES[parent]))
+            parts.append(Q.orphan_check(f"{child}.{key}", tables[child], key, above, parent_key).select(F.lit("orphans").alias("gate"), F.col("check_name").alias("subject"), F.col("orphan_rows").alias("n")))
+    return Q.union_all(parts) if parts else spark.createDataFrame([], "gate string, subject string, n long")
+
+
+def run_load(spark: SparkSession, root: str, load_id: str, refreshed_at, **landed) -> str:
+    """One scheduled run: land, load, check, and build the marts of the dates the load touched.
+
+    Returns ``ok``, or ``skip`` where the load brought nothing new (no mart is
+    built); raises :class:`GateError` on duplicate keys or orphans.
+    """
+    run_time = F.lit(refreshed_at).cast("timestamp_ntz")
+    land_raw(spark, root, load_id, run_time, **landed)
+    raw = {name: read_raw(spark, root, name, only_load=load_id) for name in RAW_TABLES}
+    load_vault(spark, root, load_id, quotes=raw["raw_quotes"], rates=raw["raw_rates"], instruments=raw["raw_instruments"])
+    gates = check_load(spark, root, load_id).where("n > 0").collect()  # a row for each table and reference
+    broken = [f"{g.subject}: {g.n} {g.gate}" for g in gates if g.gate != "rows"]
+    if broken:
+        raise GateError("; ".join(broken))
+    if not gates:
+        return "skip"
+    days = raw["raw_quotes"].select("trade_date").distinct().collect() if raw["raw_quotes"] is not None else []  # calendar days
+    fx_days = raw["raw_rates"].select("rate_date").distinct().collect() if raw["raw_rates"] is not None else []
+    build_marts(spark, root, sorted(r[0] for r in days), refreshed_at, fx_dates=sorted(r[0] for r in fx_days))
+    return "ok"
+
+
+def build_marts(spark: SparkSession, root: str, dates: Sequence, refreshed_at, fx: bool = True, fx_dates: Sequence | None = None) -> None:
+    """M1/M3 for ``dates`` (rates: ``fx_dates``, the same by default) from the stored vault, replace-by-date publish, M5 log upsert."""
+    run_time = F.lit(refreshed_at).cast("timestamp_ntz")
+    fx_dates = list(dates) if fx_dates is None else list(fx_dates)
+    sat, hub = read_vault(spark, root, "sat_quote_prices"), read_vault(spark, root, "hub_instrument")
     entries = []
-    if sat is not None and hub is not None:
-        mart = M.mart_quotes_daily(sat.where(F.col("trade_date").isin(*day_list)), hub, details_view(spark, root))
-        mart = S.check_contract(mart, S.DM_QUOTES_DAILY)
+    if dates and sat is not None and hub is not None:
+        of_days = V.satellite_history(sat.where(F.col("trade_date").isin(list(dates))), W.QUOTE_GRAIN)
+        mart = S.check_contract(M.mart_quotes_daily(of_days, hub, details_view(spark, root), loaded_at=run_time), S.DM_QUOTES_DAILY)
         P.publish_by_date(mart, table_path(root, "dm", "dm_quotes_daily"), "trade_date", dates=list(dates), spark=spark)
-        entries.append("dm_quotes_daily")
+        entries += [("dm_quotes_daily", d) for d in dates]
     sat_r = read_vault(spark, root, "sat_rate_values")
-    if fx and sat_r is not None:
+    if fx and fx_dates and sat_r is not None:
         link, hubc = read_vault(spark, root, "lnk_rate_currency"), read_vault(spark, root, "hub_currency")
-        fx_mart = S.check_contract(
-            M.mart_fx_rates(sat_r.where(F.col("rate_date").isin(*day_list)), link, hubc), S.DM_FX_RATES
-        )
-        P.publish_by_date(fx_mart, table_path(root, "dm", "dm_fx_rates"), "rate_date", dates=list(dates), spark=spark)
-        entries.append("dm_fx_rates")
+        of_days = V.satellite_history(sat_r.where(F.col("rate_date").isin(fx_dates)), W.RATE_GRAIN)
+        fx_mart = S.check_contract(M.mart_fx_rates(of_days, link, hubc, loaded_at=run_time), S.DM_FX_RATES)
+        P.publish_by_date(fx_mart, table_path(root, "dm", "dm_fx_rates"), "rate_date", dates=fx_dates, spark=spark)
+        entries += [("dm_fx_rates", d) for d in fx_dates]
     if entries:
-        log = spark.createDataFrame([(m, d) for m in entries for d in dates], "mart_name string, execution_date date")
-        log = log.withColumn("refreshed_at", F.lit(refreshed_at).cast("timestamp_ntz"))
+        log = spark.createDataFrame(entries, "mart_name string, execution_date date").withColumn("refreshed_at", run_time)
         P.upsert_versioned(
             spark, table_path(root, "dm", "mart_refresh_log"), log, ["mart_name", "execution_date"], "refreshed_at", S.MART_REFRESH_LOG
         )

@@ -124,8 +124,8 @@ SAT_INSTRUMENT_DETAILS = _s(
     ("record_source", StringType(), False),
     ("hash_diff", StringType(), False),
     ("instrument_name", StringType(), False),
-    ("exchange", StringType(), False),
-    ("asset_type", StringType(), False),
+    ("exchange", StringType(), True),
+    ("asset_type", StringType(), True),
 )
 
 # Attribute lists hashed into hash_diff, in this order (fixed values).
@@ -147,6 +147,7 @@ DM_QUOTES_DAILY = _s(
     ("volume", LongType(), True),
     ("daily_return_pct", RETURN_PCT, True),
     ("price_range", PRICE, True),
+    ("loaded_at", TS, False),
 )
 DM_FX_RATES = _s(
     ("base_currency", StringType(), False),
@@ -154,6 +155,7 @@ DM_FX_RATES = _s(
     ("rate", RATE, False),
     ("rate_date", DateType(), False),
     ("source", StringType(), True),
+    ("loaded_at", TS, False),
 )
 MART_REFRESH_LOG = _s(
     ("mart_name", StringType(), False),
@@ -170,6 +172,7 @@ QUOTES_RESPONSE = StructType(
         StructField("Error Message", StringType(), True),
         StructField("Note", StringType(), True),
         StructField("Information", StringType(), True),
+        StructField("_corrupt_record", StringType(), True),  # text of an unreadable document
     ]
 )
 # FX XML (rowTag ValCurs): root attribute Date plus repeated Valute elements.
@@ -188,6 +191,7 @@ RATES_XML = StructType(
         StructField("_Date", StringType(), True),
         StructField("_name", StringType(), True),
         StructField("Valute", ArrayType(VALUTE), True),
+        StructField("_corrupt_record", StringType(), True),  # text of an unreadable document
     ]
 )
 # Raw-layer messages: every field as text, decimals serialised as strings.
@@ -210,6 +214,14 @@ RATE_MESSAGE = _s(
     ("source", StringType(), True),
     ("loaded_at", StringType(), True),
 )
+INSTRUMENT_MESSAGE = _s(
+    ("symbol", StringType(), True),
+    ("name", StringType(), True),
+    ("exchange", StringType(), True),
+    ("asset_type", StringType(), True),
+    ("source", StringType(), True),
+    ("loaded_at", StringType(), True),
+)
 
 
 class ContractError(ValueError):

@@ -2,13 +2,15 @@
 
 Jobs never pick a machine-local folder on their own: anything that must be
 written (published marts, stream checkpoints, lineage cuts) goes below the
-folder the cluster names in ``spark.checkpoint.dir``.  Only when that setting
-is absent (local tests, the bench) do we create one and register it.
+folder the cluster names in ``spark.checkpoint.dir``.  Without that setting a
+cluster job stops with an error; a local session (tests, the bench), where all
+tasks run in one process, gets a temporary one.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -53,7 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Local runs only: no cluster told us where the shared folder is.
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # One process, as in tests: its temporary folder is shared with itself.
         configured = tempfile.mkdtemp(prefix="dvspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -15,11 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
-from dvspark.functions.cols import event_time, wall_clock
+from dvspark.functions.cols import event_time, utc_now
 from dvspark.operators import publish as P
 from dvspark.operators import raw as R
 from dvspark.operators import vault as V
@@ -28,29 +28,37 @@ from dvspark.session import session_tz
 from dvspark.sources import messages as MSG
 
 
-def _read_target(spark: SparkSession, path: str, schema: StructType, exclude_load: str | None = None) -> DataFrame | None:
-    """The stored table without the rows of ``exclude_load`` (the batch being (re)written)."""
-    if not _exists(spark, path):
-        return None
-    df = spark.read.schema(StructType([*schema.fields, StructField("load_id", StringType(), True)])).parquet(path)
-    if exclude_load is not None:
-        df = df.where(F.col("load_id") != exclude_load)
-    return df.select(*[f.name for f in schema.fields])
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def batch_load_id(batch_id: int) -> str:
     return f"batch-{batch_id:09d}"
 
 
 def read_loaded(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A table written by the stream sinks, without its ``load_id`` column."""
-    return _read_target(spark, path, schema)
+    return P.read_loads(spark, path, schema)
+
+
+def _run_time(spark: SparkSession, checkpoint: str, load_id: str) -> Column:
+    """When a batch first ran: recorded beside the checkpoint, so a replay of the batch reads the same time."""
+    path = f"{checkpoint.rstrip('/')}-run-times/{load_id}"
+    if not P.exists(spark, path):
+        spark.range(1).select(utc_now().alias("run_at")).coalesce(1).write.parquet(path + "-writing", mode="overwrite")
+        P.rename(spark, path + "-writing", path)
+    return F.lit(spark.read.schema("run_at timestamp_ntz").parquet(path).first().run_at).cast("timestamp_ntz")
+
+
+def _drain(stream: DataFrame, load_batch, checkpoint: str):
+    q = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
+
+
+def _first_wins_load(spark: SparkSession, rows: DataFrame, target: str, load_id: str, key: Sequence[str], schema: StructType, date_col: str | None, order_by=("loaded_at",)) -> None:
+    """Appends the first arrivals that other loads of the table lack; by ``date_col``, its stored rows are read between the batch's dates only."""
+    existing = P.read_loads(spark, target, schema, exclude_load=load_id)
+    if existing is not None and date_col is not None:
+        existing = V.within_dates(existing, rows, date_col)
+    new_rows = R.first_wins(rows, key, existing, order_by).select(*[f.name for f in schema.fields])
+    P.append_partition(new_rows, target, load_id, [date_col] if date_col else [])
 
 
 def drain_messages_to_raw(
@@ -61,39 +69,67 @@ def drain_messages_to_raw(
     checkpoint: str,
     key: Sequence[str],
     schema: StructType,
-    max_files_per_trigger: int = 2,
+    date_col: str | None = None,
+    max_files_per_trigger: int = 64,
     decode=None,
 ):
     """Landed JSON messages (one per line) -> raw table, first arrival wins.
 
-    ``decode(batch, tz, value_col) -> (good, bad)``: quote messages by default,
-    :func:`dvspark.sources.messages.decode_rate_messages` for rates.
+    ``date_col``: business date to store by; none for the few dozen rates a day.
+
+    ``decode(batch, tz, value_col, default_loaded_at) -> (good, bad)``: quote
+    messages by default, :func:`dvspark.sources.messages.decode_rate_messages`
+    for rates.
 
-    Each micro-batch is decoded (bad messages to ``quarantine``), reduced to
-    first arrivals and anti-joined with the stored table, then written under
-    its own ``load_id`` partition in dynamic-overwrite mode.  The anti join
-    ignores the batch's own partition, so a batch replayed after a failure
-    (even after a half-finished write) recomputes and rewrites exactly the
-    same rows: exactly-once on top of an at-least-once source.
+    Each micro-batch is read once, decoded (bad messages to ``quarantine``),
+    reduced to first arrivals and anti-joined with the stored days it touches,
+    then written under its own ``load_id``.  The anti join ignores the batch's
+    own partition and the default ``loaded_at`` is the batch's recorded run
+    time, so a batch replayed after a failure (even after a half-finished
+    write) recomputes and rewrites exactly the same rows.
     """
     tz = session_tz(spark)
     stream = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(landing)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         load_id = batch_load_id(batch_id)
-        good, bad = (decode or MSG.decode_quote_messages)(batch, tz=tz, value_col="value")
-        existing = _read_target(spark, target, schema, exclude_load=load_id)
-        new_rows = R.first_wins(good, key, existing).select(*[f.name for f in schema.fields])
-        P.append_partition(new_rows, target, load_id)
-        P.append_partition(bad, quarantine, load_id)
+        batch = batch.persist()
+        try:
+            good, bad = (decode or MSG.decode_quote_messages)(batch, tz=tz, value_col="value", default_loaded_at=_run_time(spark, checkpoint, load_id))
+            _first_wins_load(spark, good, target, load_id, key, schema, date_col)
+            P.append_partition(bad, quarantine, load_id)
+        finally:
+            batch.unpersist()
+
+    return _drain(stream, load_batch, checkpoint)
 
-    q = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return q
+
+def first_wins_stream(spark: SparkSession, events: DataFrame, target: str, checkpoint: str, key: Sequence[str], ts_col: str, order_by: Sequence[str], name: str = "events"):
+    """An event stream into a table by event day, one row per key, however late a row or its copy comes.
+
+    The stored table is the memory, so no watermark decides what is lost;
+    rows of a key carry the same event time, so a batch looks at its days only.
+    ``name`` tells the loads of several streams into one table apart.
+    """
+    day = "event_date"
+    schema = StructType([*events.schema.fields, StructField(day, DateType(), True)])
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.withColumn(day, F.to_date(ts_col)).persist()
+        try:
+            _first_wins_load(spark, batch, target, f"{name}-{batch_load_id(batch_id)}", key, schema, day, order_by)
+        finally:
+            batch.unpersist()
+
+    return _drain(events, load_batch, checkpoint)
 
 
 def dedup_stream(events: DataFrame, key: Sequence[str], ts_col: str, delay: str, tz: str) -> DataFrame:
-    """Drop duplicate keys within the watermark (state bounded by ``delay``)."""
+    """X2 inside a stream: drop copies that come within ``delay`` (bounded state).
+
+    Rows behind the watermark go with it; where none may be lost, end the
+    stream in :func:`first_wins_stream`.
+    """
     return (
         events.withColumn("_et", event_time(ts_col, tz))
         .withWatermark("_et", delay)
@@ -111,38 +147,41 @@ def satellite_stream(
     columns: Sequence[str],
     schema: StructType,
     prepare,
+    date_col: str,
 ):
     """Per micro-batch, the satellite delta (T3/T7) against the stored satellite.
 
-    Same write protocol as :func:`drain_messages_to_raw`: one ``load_id``
-    partition per batch, compared only with other loads, so a replay is a
-    no-op rewrite.
+    The versions of each batch are kept as they arrived (``<target>-arrivals``,
+    by load and date), so a late one is put in its place; both tables are read
+    between the batch's dates only.  One ``load_id`` per batch, compared only
+    with other loads, so a replay is a no-op rewrite.
     """
+    arrived = f"{target.rstrip('/')}-arrivals"
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         load_id = batch_load_id(batch_id)
-        existing = _read_target(spark, target, schema, exclude_load=load_id)
-        delta = V.satellite_delta(prepare(batch).select(*columns), existing, grain)
-        P.append_partition(delta.select(*columns), target, load_id)
-
-    q = source.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return q
-
-
-def ohlc_bars(ticks: DataFrame, tz: str, delay: str = "1 hour", window: str = "1 day") -> DataFrame:
-    """Daily OHLC bars per user from ticks, event-time windows, append mode.
-
-    A bar is emitted once the watermark (newest event time - ``delay``)
-    passes the end of its day; later ticks for a closed day are dropped.
-    open/close are the value of the first/last tick by (ts, event_id).
-    """
-    px = F.col("value").cast(PRICE)
-    order = F.struct("ts", "event_id")
+        versions = prepare(batch).select(*columns).persist()
+        try:
+            P.append_partition(versions, arrived, load_id, [date_col])
+            delta = V.satellite_delta(
+                versions,
+                P.read_loads(spark, target, schema, exclude_load=load_id),
+                grain,
+                arrivals=P.read_loads(spark, arrived, schema, exclude_load=load_id),
+                date_col=date_col,
+            )
+            P.append_partition(delta.select(*columns), target, load_id, [date_col])
+        finally:
+            versions.unpersist()
+
+    return _drain(source, load_batch, checkpoint)
+
+
+def ohlc_of_ticks(ticks: DataFrame) -> DataFrame:
+    """Daily bars of a batch of ticks; open and close by (ts, event_id)."""
+    px, order = F.col("value").cast(PRICE), F.struct("ts", "event_id")
     return (
-        ticks.withColumn("_et", event_time("ts", tz))
-        .withWatermark("_et", delay)
-        .groupBy(F.window("_et", window).alias("w"), F.col("user_id"))
+        ticks.groupBy(F.col("user_id").cast("string").alias("symbol"), F.to_date("ts").alias("trade_date"))
         .agg(
             F.min_by(px, order).alias("open_price"),
             F.max(px).alias("high_price"),
@@ -150,18 +189,32 @@ def ohlc_bars(ticks: DataFrame, tz: str, delay: str = "1 hour", window: str = "1
             F.max_by(px, order).alias("close_price"),
             F.count(F.lit(1)).alias("volume"),
         )
-        .select(
-            F.col("user_id").cast("string").alias("symbol"),
-            F.to_date(wall_clock(F.col("w.start"), tz)).alias("trade_date"),
-            "open_price",
-            "high_price",
-            "low_price",
-            "close_price",
-            "volume",
-        )
     )
 
 
+def ohlc_stream(spark: SparkSession, ticks: DataFrame, stored: str, target: str, checkpoint: str):
+    """Ticks -> daily bars, the open day and late ticks included.
+
+    Ticks are kept by load and day; after each batch the bars of the days it
+    touched are computed again from all their ticks and replace those days of
+    the bar table.  A late tick so corrects its closed day, and the open day
+    has a bar that grows.
+    """
+    schema = StructType([*ticks.schema.fields, StructField("trade_date", DateType(), True)])
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.withColumn("trade_date", F.to_date("ts")).persist()
+        try:
+            P.append_partition(batch, stored, batch_load_id(batch_id), ["trade_date"])
+            days = batch.select("trade_date").distinct()
+            touched = V.within_dates(P.read_loads(spark, stored, schema), batch, "trade_date").join(days, "trade_date", "left_semi")
+            P.publish_by_date(ohlc_of_ticks(touched.drop("trade_date")), target, "trade_date", spark=spark)
+        finally:
+            batch.unpersist()
+
+    return _drain(ticks, load_batch, checkpoint)
+
+
 def run_to_parquet(df: DataFrame, target: str, checkpoint: str, mode: str = "append"):
     """Drain a streaming DataFrame into a Parquet sink and wait for it."""
     q = (

@@ -1,12 +1,16 @@
 """Stored-table jobs: day-by-day loads equal the bulk catalog; a retried load changes nothing."""
 
 import datetime as dt
+import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from dvspark import schemas as S
 from dvspark.operators import marts as M
+from dvspark.operators import publish as P
+from dvspark.operators import vault as V
 from dvspark.plans import catalog as C
 from dvspark.plans import daily_load as D
 from dvspark.sources import testviews as tv
@@ -39,7 +43,8 @@ def test_daily_loads_equal_bulk_and_retry_is_a_no_op(spark, tmp_dir):
 
     D.build_marts(spark, root, days, dt.datetime(2024, 1, 4, 20), fx=False)
     mart = spark.read.schema(S.DM_QUOTES_DAILY).parquet(D.table_path(root, "dm", "dm_quotes_daily"))
-    expected = M.mart_quotes_daily(C.sat_quotes(raw), C.hub_instrument(raw), C.sat_details(inst))
+    run = F.lit("2024-01-04 20:00:00").cast("timestamp_ntz")
+    expected = M.mart_quotes_daily(C.sat_quotes(raw), C.hub_instrument(raw), C.sat_details(inst), loaded_at=run)
     assert _rows(mart.select(*expected.columns)) == _rows(expected)
     log = spark.read.schema(S.MART_REFRESH_LOG).parquet(D.table_path(root, "dm", "mart_refresh_log") + "/version=1")
     assert log.count() == len(days)
@@ -53,7 +58,8 @@ def test_fx_load_and_mart(spark, tmp_dir):
     dates = [r.rate_date for r in rates.select("rate_date").distinct().collect()]
     D.build_marts(spark, root, dates, dt.datetime(1995, 2, 1, 20))
     fx = spark.read.schema(S.DM_FX_RATES).parquet(D.table_path(root, "dm", "dm_fx_rates"))
-    expected = M.mart_fx_rates(C.sat_rates(rates), C.lnk_rate_currency(rates), C.hub_currency(rates))
+    run = F.lit("1995-02-01 20:00:00").cast("timestamp_ntz")
+    expected = M.mart_fx_rates(C.sat_rates(rates), C.lnk_rate_currency(rates), C.hub_currency(rates), loaded_at=run)
     assert _rows(fx.select(*expected.columns)) == _rows(expected)
 
 
@@ -64,3 +70,54 @@ def test_mart_build_prunes_satellite_partitions(spark, tmp_dir):
     sat = D.read_vault(spark, root, "sat_quote_prices").where(F.col("trade_date") == F.lit("2024-01-02").cast("date"))
     plan = sat._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(trade_date" in plan and "(trade_date" in plan.split("PartitionFilters:")[1]
+
+
+def test_stored_scan_of_a_delta_is_bounded_by_the_batch_dates(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "wh")
+    raw = tv.raw_quotes(spark, SF_SMALL).where(F.col("trade_date") <= "2024-01-02")
+    D.load_vault(spark, root, "bulk", quotes=raw)
+    batch = C.quote_versions(raw.where(F.col("trade_date") == "2024-01-02")).select(*C.SAT_QUOTE_COLS)
+    delta = V.satellite_delta(batch, D.read_vault(spark, root, "sat_quote_prices"), C.QUOTE_GRAIN, date_col="trade_date")
+    plan = delta._jdf.queryExecution().executedPlan().toString()
+    assert any("trade_date" in p.split("\n")[0] and "Subquery subquery" in p.split("\n")[0] for p in plan.split("PartitionFilters: [")[1:])
+
+
+def test_corrected_retry_replaces_its_load(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    raw = tv.raw_quotes(spark, SF_SMALL).where(F.col("trade_date") <= "2024-01-03")
+    P.append_partition(raw, path, "l1", ["trade_date"])
+    P.append_partition(raw.where(F.col("trade_date") == "2024-01-03"), path, "l2", ["trade_date"])
+    fewer = raw.where(F.col("trade_date") <= "2024-01-02")
+    P.append_partition(fewer, path, "l1", ["trade_date"])  # corrected: a day less
+    assert _rows(P.read_loads(spark, path, S.RAW_QUOTES, only_load="l1")) == _rows(fewer)
+    P.append_partition(raw.limit(0), path, "l1", ["trade_date"])  # corrected: nothing
+    assert P.read_loads(spark, path, S.RAW_QUOTES, only_load="l1").count() == 0
+    assert P.read_loads(spark, path, S.RAW_QUOTES, only_load="l2").count() > 0
+
+
+def test_refresh_log_goes_on_after_a_crash(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "log")
+    row = lambda day: spark.createDataFrame([("m", dt.date(2023, 3, day), dt.datetime(2023, 3, day, 20))], S.MART_REFRESH_LOG)
+    key = ["mart_name", "execution_date"]
+    P.upsert_versioned(spark, root, row(1), key, "refreshed_at", S.MART_REFRESH_LOG)
+    row(9).write.parquet(os.path.join(root, "_writing-of-a-run-that-died"))
+    P.upsert_versioned(spark, root, row(2), key, "refreshed_at", S.MART_REFRESH_LOG)
+    P.upsert_versioned(spark, root, row(2), key, "refreshed_at", S.MART_REFRESH_LOG)
+    assert sorted(r.execution_date.day for r in P.read_versioned(spark, root, S.MART_REFRESH_LOG).collect()) == [1, 2]
+
+
+def test_gates_stop_a_broken_load_and_skip_an_empty_one(spark, tmp_dir):
+    root, landing = os.path.join(tmp_dir, "wh"), os.path.join(tmp_dir, "quotes")
+    os.makedirs(landing)
+    body = {"Time Series (Daily)": {"2023-03-14": {"1. open": "4", "2. high": "5", "3. low": "3", "4. close": "4", "5. volume": "9"}}}
+    with open(os.path.join(landing, "ZQX.json"), "w") as out:
+        json.dump(body, out)
+    when = dt.datetime(2023, 3, 14, 20)
+    assert D.run_load(spark, root, "a", when, quotes=landing) == "ok"
+    assert D.run_load(spark, root, "b", when, quotes=landing) == "skip"  # the same bars again: nothing new
+    P.append_partition(D.read_vault(spark, root, "hub_instrument"), D.table_path(root, "vault", "hub_instrument"), "copy")
+    body["Time Series (Daily)"]["2023-03-15"] = body["Time Series (Daily)"]["2023-03-14"]
+    with open(os.path.join(landing, "ZQX.json"), "w") as out:
+        json.dump(body, out)
+    with pytest.raises(D.GateError, match="hub_instrument: 1 duplicates"):
+        D.run_load(spark, root, "c", when, quotes=landing)

@@ -41,3 +41,28 @@ def test_incremental_equals_bulk(spark, versions):
         stored = spark.createDataFrame(stored_rows, schema) if stored_rows else None
         stored_rows += V.satellite_delta(batch, stored, C.QUOTE_GRAIN).collect()
     assert sorted(tuple(r) for r in stored_rows) == bulk
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(version, min_size=1, max_size=12), st.randoms(use_true_random=False))
+def test_loads_in_any_order_equal_bulk(spark, versions, order):
+    """Loads that arrive late: the history over the stored rows is that of all versions at once."""
+    p = Decimal("1.000000")
+    data = [
+        (sym, p, p, p, Decimal(c), 1, dt.date(2025, 6, day), src, dt.datetime(2025, 6, 10, hour))
+        for sym, day, hour, c, src in versions
+    ]
+    prepared = C.quote_versions(spark.createDataFrame(data, QUOTE_DDL)).select(*C.SAT_QUOTE_COLS)
+    schema, all_versions = prepared.schema, prepared.collect()
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    loads = sorted({r.load_date for r in all_versions})
+    order.shuffle(loads)
+    stored: list = []
+    arrived: list = []
+    for load in loads:
+        batch = [r for r in all_versions if r.load_date == load]
+        stored += V.satellite_delta(frame(batch), frame(stored), C.QUOTE_GRAIN, arrivals=frame(arrived)).collect()
+        arrived += batch
+    seen = V.satellite_history(frame(stored), C.QUOTE_GRAIN).collect()
+    bulk = V.satellite_history(frame(all_versions), C.QUOTE_GRAIN).collect()
+    assert sorted(map(tuple, seen)) == sorted(map(tuple, bulk))

@@ -35,7 +35,7 @@ def test_satellite_stream_replay_is_a_no_op(spark, tmp_dir):
 
     def run():
         src = spark.readStream.schema(S.RAW_QUOTES).option("maxFilesPerTrigger", 1).parquet(landing)
-        X.satellite_stream(spark, src, target, ckpt, C.QUOTE_GRAIN, C.SAT_QUOTE_COLS, S.SAT_QUOTE_PRICES, C.quote_versions)
+        X.satellite_stream(spark, src, target, ckpt, C.QUOTE_GRAIN, C.SAT_QUOTE_COLS, S.SAT_QUOTE_PRICES, C.quote_versions, "trade_date")
         return _rows(X.read_loaded(spark, target, S.SAT_QUOTE_PRICES))
 
     first = run()
@@ -47,12 +47,12 @@ def test_satellite_stream_replay_is_a_no_op(spark, tmp_dir):
 def test_raw_drain_replay_and_duplicates(spark, tmp_dir):
     raw = tv.raw_quotes(spark, SF_SMALL)
     landing, target, bad, ckpt = (os.path.join(tmp_dir, n) for n in ("landing", "raw", "bad", "_ckpt"))
-    msgs = MSG.quote_messages(raw, partitions=2).select("message_value")
+    msgs = MSG.quote_messages(raw).select("message_value")
     msgs.write.text(landing)
     msgs.write.mode("append").text(landing)  # delivered twice
 
     def run():
-        X.drain_messages_to_raw(spark, landing, target, bad, ckpt, S.RAW_QUOTES_KEY, S.RAW_QUOTES)
+        X.drain_messages_to_raw(spark, landing, target, bad, ckpt, S.RAW_QUOTES_KEY, S.RAW_QUOTES, "trade_date")
         return _rows(X.read_loaded(spark, target, S.RAW_QUOTES))
 
     first = run()
@@ -71,4 +71,46 @@ def test_ohlc_stream_in_other_session_time_zone(spark, tmp_dir):
         spark.conf.set("spark.sql.session.timeZone", old)
     ev = tv.events_ticks(spark, SF_SMALL)
     all_days = {r.d for r in ev.select(F.to_date("ts").alias("d")).distinct().collect()}
-    assert days == all_days - {max(all_days)}  # calendar days of the wall clock; the open last day waits
+    assert days == all_days  # calendar days of the wall clock, the open last day too
+
+
+def _halves(spark, tmp_dir):
+    """The older and the newer half of the events, and a folder to land them in."""
+    ev = tv.events_ticks(spark, SF_SMALL)
+    middle = ev.select(F.expr("percentile_approx(unix_micros(ts::timestamp), 0.5)")).first()[0]
+    at = F.expr("unix_micros(ts::timestamp)")
+    return ev, ev.where(at <= middle), ev.where(at > middle), os.path.join(tmp_dir, "landing")
+
+
+def test_events_that_land_late_are_not_lost(spark, tmp_dir):
+    ev, older, newer, landing = _halves(spark, tmp_dir)
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "_ckpt")
+    for part in (newer, older, newer):  # newest first, then all again
+        part.write.mode("append").parquet(landing)
+        X.first_wins_stream(spark, spark.readStream.schema(ev.schema).parquet(landing), out, ckpt, ["event_id"], "ts", ["ts"])
+    assert _rows(X.read_loaded(spark, out, ev.schema)) == _rows(ev)
+
+
+def test_bars_of_late_ticks_are_corrected(spark, tmp_dir):
+    ev, older, newer, landing = _halves(spark, tmp_dir)
+    paths = [os.path.join(tmp_dir, n) for n in ("ticks", "bars", "_ckpt")]
+    for part in (newer, older):
+        part.write.mode("append").parquet(landing)
+        X.ohlc_stream(spark, spark.readStream.schema(ev.schema).parquet(landing), *paths)
+    expected = X.ohlc_of_ticks(ev)
+    assert _rows(spark.read.schema(expected.schema).parquet(paths[1]).select(*expected.columns)) == _rows(expected)
+
+
+def test_replayed_batch_keeps_its_default_time(spark, tmp_dir):
+    landing, target, bad, ckpt = (os.path.join(tmp_dir, n) for n in ("landing", "raw", "bad", "_ckpt"))
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.json"), "w") as out:
+        out.write('{"symbol": "Q7", "open": "4", "high": "5", "low": "3", "close": "4", "volume": 9, "trade_date": "2023-03-03", "source": "s"}\n')
+
+    def run():
+        X.drain_messages_to_raw(spark, landing, target, bad, ckpt, S.RAW_QUOTES_KEY, S.RAW_QUOTES, "trade_date")
+        return _rows(X.read_loaded(spark, target, S.RAW_QUOTES))
+
+    first = run()
+    _drop_last_commit(ckpt)
+    assert len(first) == 1 and run() == first
