@@ -138,9 +138,10 @@ class MergeReplay:
 
     def _one_by_one(self, piece: bytes) -> np.ndarray:
         parts = [piece[i : i + 1] for i in range(len(piece))]
+        never = 1 << 62
         while len(parts) > 1:
-            rank, i = min((self.ranks.get(x + y, len(self.ranks) + 1), i) for i, (x, y) in enumerate(zip(parts, parts[1:], strict=False)))
-            if rank > len(self.ranks):
+            rank, i = min((self.ranks.get(x + y, never), i) for i, (x, y) in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank == never:
                 break
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return np.array([self.ranks[p] for p in parts], dtype="<u4")

@@ -3,7 +3,7 @@
 Writer: each task takes its pages, builds a Zstandard dictionary from the
 records it is about to archive, puts it in a leading skippable frame (magic
 0x184D2A5D) and compresses every record as a frame of its own, so any record
-can be read alone given its offset.  An archive is closed at ``ARCHIVE_BYTES``
+can be read alone given its offset.  An archive is closed at ``archive_bytes``
 of content and a new one begun, with its own dictionary.  Files appear in the
 shared folder when complete; a task that runs twice leaves a file that the
 list of archives doesn't name.
@@ -106,7 +106,7 @@ def archive(records: list[bytes]) -> bytes:
     return out.getvalue()
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], folder: str, archive_bytes: int) -> Iterator[pa.RecordBatch]:
     held: list[bytes] = []
     size = 0
 
@@ -120,18 +120,18 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Record
         for page_id, url, html, refers_to in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
             held.append(record(page_id, url, html.encode("utf-8", "surrogatepass"), refers_to))
             size += len(held[-1])
-            if size >= ARCHIVE_BYTES:
+            if size >= archive_bytes:
                 yield flush()
                 held, size = [], 0
     if held:
         yield flush()
 
 
-def write_archives(pages: DataFrame, folder: str | None = None, least: int = 0) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str | None = None, least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes the pages; returns path, records, bytes, stored_bytes of each archive."""
     folder = folder or work_path(pages.sparkSession, "warc")
     schema = "path string, records long, bytes long, stored_bytes long"
-    return stored(with_revisits(pages, least).mapInArrow(lambda batches: _write(batches, folder), schema), "warc-list")
+    return stored(with_revisits(pages, least).mapInArrow(lambda batches: _write(batches, folder, archive_bytes), schema), "warc-list")
 
 
 def read_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
