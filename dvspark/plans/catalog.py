@@ -42,6 +42,7 @@ from dvspark.operators.warehouse import (
 from dvspark.plans import daily_load as D
 from dvspark.plans import oracle as O
 from dvspark.session import session_tz, work_path
+from dvspark.sources import dirtyviews as dv
 from dvspark.sources import messages as MSG
 from dvspark.sources import quotes_json as QJ
 from dvspark.sources import rates_xml as RX
@@ -233,14 +234,21 @@ def q_raw_instruments(spark, sf_dir):
     return R.load_raw(batch, S.RAW_INSTRUMENTS_KEY).select(*RAW_INSTRUMENT_COLS)
 
 
-@register("raw_rates_union", O.sql("SELECT * FROM raw_rates", "raw_rates"))
+@register(
+    "raw_rates_union",
+    O.sql(
+        """SELECT base_currency, target_currency, rate, rate_date, source, loaded_at FROM raw_rates WHERE source = 'cbr'
+           UNION ALL
+           SELECT target_currency, base_currency, rate, rate_date, source, loaded_at FROM raw_rates WHERE source <> 'cbr'""",
+        "raw_rates",
+    ),
+)
 def q_raw_rates_union(spark, sf_dir):
-    """The cbr feed plus the exchange-rate API feed, which quotes USD->RUB style."""
+    """Two feeds in one table; the second quotes the other way round and is swapped once, on ingestion."""
     raw = tv.raw_rates(spark, sf_dir)
     cbr = raw.where(F.col("source") == tv.CBR_SOURCE)
-    api_as_delivered = normalize_rate_direction(raw.where(F.col("source") == tv.API_SOURCE), False)
-    api = normalize_rate_direction(api_as_delivered, False)
-    both = cbr.unionByName(api.select(*RAW_RATE_COLS))
+    as_delivered = raw.where(F.col("source") == tv.API_SOURCE)
+    both = cbr.unionByName(normalize_rate_direction(as_delivered, False).select(*RAW_RATE_COLS))
     return R.load_raw(both, S.RAW_RATES_KEY).select(*RAW_RATE_COLS)
 
 
@@ -443,6 +451,13 @@ def q_sat_late_arrival(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- quality
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A derived table written once below the shared folder."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _quote_vault(spark, sf_dir):
     raw = tv.raw_quotes(spark, sf_dir)
     inst = tv.raw_instruments(spark, sf_dir)
@@ -461,6 +476,10 @@ def _quote_vault(spark, sf_dir):
                count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM hub_instrument h WHERE h.hub_instrument_hk = c.hub_instrument_hk))
         FROM sat_instrument_details c
         UNION ALL
+        SELECT 'lnk_quote_instrument->hub_instrument', count(*),
+               count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM hub_instrument h WHERE h.hub_instrument_hk = c.hub_instrument_hk))
+        FROM lnk_quote_instrument c
+        UNION ALL
         SELECT 'lnk_quote_instrument->hub_market', count(*),
                count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM hub_market h WHERE h.hub_market_hk = c.hub_market_hk))
         FROM lnk_quote_instrument c
@@ -495,6 +514,7 @@ def q_vault_orphans(spark, sf_dir):
         [
             Q.orphan_check("sat_quote_prices->hub_instrument", sat, "hub_instrument_hk", hub, "hub_instrument_hk"),
             Q.orphan_check("sat_instrument_details->hub_instrument", details, "hub_instrument_hk", hub, "hub_instrument_hk"),
+            Q.orphan_check("lnk_quote_instrument->hub_instrument", lnk_quote_instrument(inst), "hub_instrument_hk", hub, "hub_instrument_hk"),
             Q.orphan_check("lnk_quote_instrument->hub_market", lnk_quote_instrument(inst), "hub_market_hk", hub_market(inst), "hub_market_hk"),
             Q.orphan_check("lnk_rate_currency->hub_currency(base)", lnk, "hub_currency_hk_base", hc, "hub_currency_hk"),
             Q.orphan_check("lnk_rate_currency->hub_currency(target)", lnk, "hub_currency_hk_target", hc, "hub_currency_hk"),
@@ -510,7 +530,12 @@ def _dup_sql(name: str, table: str, key: str) -> str:
 
 
 _DUP_CHECKS = [
+    ("raw_quotes_delivered_twice", "(SELECT * FROM raw_quotes UNION ALL SELECT * FROM raw_quotes WHERE source = 'eod')", "symbol, trade_date, source"),
     ("raw_quotes", "raw_quotes", "symbol, trade_date, source"),
+    ("raw_instruments", "raw_instruments", "symbol, source"),
+    ("hub_market", "hub_market", "hub_market_hk"),
+    ("lnk_quote_instrument", "lnk_quote_instrument", "lnk_quote_instrument_hk"),
+    ("mart_refresh_log", "(SELECT DISTINCT 'dm_quotes_daily' AS mart_name, trade_date AS execution_date FROM raw_quotes)", "mart_name, execution_date"),
     ("raw_rates", "raw_rates", "base_currency, target_currency, rate_date, source"),
     ("hub_instrument", "hub_instrument", "hub_instrument_hk"),
     ("hub_currency", "hub_currency", "hub_currency_hk"),
@@ -527,24 +552,33 @@ _DUP_CHECKS = [
     "vault_duplicates",
     O.sql(
         "\nUNION ALL\n".join(_dup_sql(*c) for c in _DUP_CHECKS),
-        *sorted({c[1] for c in _DUP_CHECKS}),
+        *sorted({c[1] for c in _DUP_CHECKS if not c[1].startswith("(")}),
     ),
 )
 def q_vault_duplicates(spark, sf_dir):
-    """Primary-key uniqueness of raw, vault and mart tables."""
+    """Primary-key uniqueness of raw, vault and mart tables, and of a raw table whose evening load came twice.
+
+    The tables that several checks build on are written once, as the stored warehouse has them.
+    """
     raw, inst, hub, sat, details = _quote_vault(spark, sf_dir)
     rates = tv.raw_rates(spark, sf_dir)
+    sat, rate_sat = _stored(sat, "sat_quote_prices"), _stored(sat_rates(rates), "sat_rate_values")
     frames = {
+        "raw_quotes_delivered_twice": raw.unionByName(raw.where(F.col("source") == tv.EOD_SOURCE)),
+        "raw_instruments": inst,
+        "hub_market": hub_market(inst),
+        "lnk_quote_instrument": lnk_quote_instrument(inst),
+        "mart_refresh_log": raw.select(F.lit("dm_quotes_daily").alias("mart_name"), F.col("trade_date").alias("execution_date")).distinct(),
         "raw_quotes": raw,
         "raw_rates": rates,
         "hub_instrument": hub,
         "hub_currency": hub_currency(rates),
         "lnk_rate_currency": lnk_rate_currency(rates),
         "sat_quote_prices": sat,
-        "sat_rate_values": sat_rates(rates),
+        "sat_rate_values": rate_sat,
         "sat_instrument_details": details,
         "dm_quotes_daily": M.mart_quotes_daily(sat, hub, details),
-        "dm_fx_rates": M.mart_fx_rates(sat_rates(rates), lnk_rate_currency(rates), hub_currency(rates)),
+        "dm_fx_rates": M.mart_fx_rates(rate_sat, lnk_rate_currency(rates), hub_currency(rates)),
     }
     return Q.union_all(
         [Q.duplicate_check(name, frames[name], [k.strip() for k in key.split(",")]) for name, _, key in _DUP_CHECKS]
@@ -583,14 +617,41 @@ RATE_RULES_SQL = [
 ]
 
 
+O.cte(
+    "quote_defects",
+    ("raw_quotes",),
+    """
+    SELECT defect,
+           CASE defect WHEN 'long_symbol' THEN repeat(symbol, 25) WHEN 'no_symbol' THEN ' ' ELSE symbol END AS symbol,
+           CASE WHEN defect = 'above_high' THEN high_price + 1 ELSE open_price END AS open_price, high_price,
+           CASE WHEN defect = 'negative' THEN -1 ELSE low_price END AS low_price,
+           CASE WHEN defect <> 'no_close' THEN close_price END AS close_price,
+           CASE defect WHEN 'no_volume' THEN NULL WHEN 'lost_volume' THEN -5 ELSE volume END AS volume,
+           CASE WHEN defect <> 'no_date' THEN trade_date END AS trade_date,
+           CASE WHEN defect <> 'no_source' THEN source END AS source, loaded_at
+    FROM raw_quotes CROSS JOIN (VALUES ('clean'), ('negative'), ('above_high'), ('no_volume'), ('lost_volume'), ('no_date'), ('no_close'),
+                                       ('no_source'), ('long_symbol'), ('no_symbol')) v(defect)""",
+)
+O.cte(
+    "rate_defects",
+    ("raw_rates",),
+    """
+    SELECT defect, base_currency,
+           CASE defect WHEN 'same' THEN base_currency WHEN 'no_code' THEN NULL WHEN 'long_code' THEN repeat(base_currency, 5) ELSE target_currency END AS target_currency,
+           CASE WHEN defect = 'zero' THEN 0 ELSE rate END AS rate, CASE WHEN defect <> 'no_date' THEN rate_date END AS rate_date,
+           CASE WHEN defect <> 'no_source' THEN source END AS source, loaded_at
+    FROM raw_rates CROSS JOIN (VALUES ('clean'), ('zero'), ('same'), ('no_code'), ('long_code'), ('no_date'), ('no_source')) v(defect)""",
+)
+
+
 @register(
     "dq_summary",
-    O.sql(_rule_sql("raw_quotes", QUOTE_RULES_SQL) + "\nUNION ALL\n" + _rule_sql("raw_rates", RATE_RULES_SQL), "raw_quotes", "raw_rates"),
+    O.sql(_rule_sql("quote_defects", QUOTE_RULES_SQL) + "\nUNION ALL\n" + _rule_sql("rate_defects", RATE_RULES_SQL), "quote_defects", "rate_defects"),
 )
 def q_dq_summary(spark, sf_dir):
-    """Per-rule violation counts for raw quotes and rates."""
-    return Q.rule_summary(tv.raw_quotes(spark, sf_dir), "raw_quotes", Q.quote_rules()).unionByName(
-        Q.rule_summary(tv.raw_rates(spark, sf_dir), "raw_rates", Q.rate_rules())
+    """Per-rule violation counts of quotes and rates and of their defective copies."""
+    return Q.rule_summary(dv.defective_quotes(tv.raw_quotes(spark, sf_dir)), "quote_defects", Q.quote_rules()).unionByName(
+        Q.rule_summary(dv.defective_rates(tv.raw_rates(spark, sf_dir)), "rate_defects", Q.rate_rules())
     )
 
 
@@ -601,32 +662,42 @@ def _violations_sql(rules):
 
 @register(
     "dq_row_rules",
-    O.sql(f"SELECT symbol, trade_date, source, {_violations_sql(QUOTE_RULES_SQL)} AS violations FROM raw_quotes", "raw_quotes"),
+    O.sql(f"SELECT defect, symbol, trade_date, source, {_violations_sql(QUOTE_RULES_SQL)} AS violations FROM quote_defects", "quote_defects"),
 )
 def q_dq_row_rules(spark, sf_dir):
-    """Every raw quote with the list of rules it breaks (empty = clean)."""
-    raw = tv.raw_quotes(spark, sf_dir)
-    return raw.select("symbol", "trade_date", "source", F.array_join(Q.violations(Q.quote_rules()), ",").alias("violations"))
+    """Every raw quote and its defective copies with the list of rules each breaks (empty = clean)."""
+    rows = dv.defective_quotes(tv.raw_quotes(spark, sf_dir))
+    return rows.select("defect", "symbol", "trade_date", "source", F.array_join(Q.violations(Q.quote_rules()), ",").alias("violations"))
+
+
+O.cte(
+    "raw_stretched",
+    ("raw_quotes",),
+    """
+    SELECT * REPLACE (trade_date + CAST(trade_date - DATE '2024-01-01' AS INTEGER) AS trade_date, loaded_at + to_days(CAST(trade_date - DATE '2024-01-01' AS INTEGER)) AS loaded_at)
+    FROM raw_quotes""",
+)
 
 
 @register(
     "vault_counts",
     O.sql(
         """
-        WITH h AS (SELECT CAST(load_date AS DATE) AS d, count(*) AS n FROM hub_instrument GROUP BY 1),
-             s AS (SELECT trade_date AS d, count(*) AS n FROM sat_quote_prices GROUP BY 1),
+        WITH f AS (SELECT min(loaded_at) AS t FROM raw_stretched GROUP BY symbol),
+             h AS (SELECT CAST(t AS DATE) AS d, count(*) AS n FROM f GROUP BY 1),
+             s AS (SELECT trade_date + CAST(trade_date - DATE '2024-01-01' AS INTEGER) AS d, count(*) AS n FROM sat_quote_prices GROUP BY 1),
              b AS (SELECT min(d) AS lo, max(d) AS hi FROM (SELECT d FROM h UNION ALL SELECT d FROM s)),
              spine AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM b)
         SELECT spine.d AS check_date, coalesce(h.n, 0) AS hub_rows, coalesce(s.n, 0) AS sat_rows,
                CASE WHEN coalesce(h.n, 0) = 0 AND coalesce(s.n, 0) = 0 THEN 'skip' ELSE 'ok' END AS status
         FROM spine LEFT JOIN h ON spine.d = h.d LEFT JOIN s ON spine.d = s.d""",
-        "hub_instrument",
+        "raw_stretched",
         "sat_quote_prices",
     ),
 )
 def q_vault_counts(spark, sf_dir):
-    """G1: post-load counts per day, ``skip`` when a day loaded nothing."""
-    raw = tv.raw_quotes(spark, sf_dir)
+    """G1: post-load counts per day, ``skip`` when a day loaded nothing (every second day has no delivery)."""
+    raw = dv.stretched(tv.raw_quotes(spark, sf_dir))
     return Q.vault_counts(hub_instrument(raw), sat_quotes(raw))
 
 
@@ -634,24 +705,24 @@ def q_vault_counts(spark, sf_dir):
     "input_freshness",
     O.sql(
         """
-        WITH c AS (SELECT source, trade_date AS d, count(*) AS n FROM raw_quotes GROUP BY 1, 2),
+        WITH c AS (SELECT source, trade_date AS d, count(*) AS n FROM raw_stretched GROUP BY 1, 2),
              spine AS (SELECT source, CAST(unnest(generate_series(min(d), (SELECT max(d) FROM c), INTERVAL 1 DAY)) AS DATE) AS d
                        FROM c GROUP BY source)
         SELECT spine.source, spine.d AS check_date, coalesce(c.n, 0) AS n_rows, coalesce(c.n, 0) > 0 AS fresh
         FROM spine LEFT JOIN c ON spine.source = c.source AND spine.d = c.d""",
-        "raw_quotes",
+        "raw_stretched",
     ),
 )
 def q_input_freshness(spark, sf_dir):
-    """Rows landed per source and day up to the newest day."""
-    return Q.input_freshness(tv.raw_quotes(spark, sf_dir))
+    """Rows landed per source and day up to the newest day, every second day without a delivery."""
+    return Q.input_freshness(dv.stretched(tv.raw_quotes(spark, sf_dir)))
 
 
 @register(
     "volume_anomaly",
     O.sql(
         """
-        WITH d AS (SELECT source, trade_date AS check_date, count(*) AS n_rows FROM raw_quotes GROUP BY 1, 2),
+        WITH d AS (SELECT source, trade_date AS check_date, count(*) * CASE WHEN day(trade_date) = 15 THEN 3 ELSE 1 END AS n_rows FROM raw_quotes GROUP BY 1, 2),
              w AS (SELECT *, avg(n_rows) OVER (PARTITION BY source ORDER BY check_date
                                                ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS a FROM d)
         SELECT source, check_date, n_rows, CAST(a AS DECIMAL(18,4)) AS trailing_avg,
@@ -661,8 +732,8 @@ def q_input_freshness(spark, sf_dir):
     ),
 )
 def q_volume_anomaly(spark, sf_dir):
-    """Daily landed rows against the trailing 7-day mean."""
-    return Q.volume_anomaly(tv.raw_quotes(spark, sf_dir))
+    """Daily landed rows against the trailing 7-day mean; one day came three times."""
+    return Q.volume_anomaly(dv.thrice_on_a_day(tv.raw_quotes(spark, sf_dir)))
 
 
 # ------------------------------------------------------------ parsing sources
@@ -696,35 +767,68 @@ def q_latest_quote_per_symbol(spark, sf_dir):
     return quotes.drop("loaded_at")
 
 
+def _bad_quote_docs(spark, sf_dir):
+    """Error bodies, empty, truncated and defective responses beside the clean ones."""
+    raw = tv.raw_quotes(spark, sf_dir)
+    whole = dv.defective_documents(QJ.responses_from_quotes(raw))
+    return QJ.documents_from_text(whole), QJ.documents_from_text(dv.defective_days(raw))
+
+
 @register(
     "quotes_json_status",
     O.sql(
-        """SELECT symbol, source, strftime(trade_date, '%Y-%m') AS period, 'ok' AS status, count(*) AS n_days
-           FROM raw_quotes GROUP BY 1, 2, 3""",
+        """SELECT symbol, source, strftime(trade_date, '%Y-%m') AS period, defect, any_value(status) AS status,
+                  CASE WHEN defect = 'clean' THEN count(*) ELSE 0 END AS n_days
+           FROM raw_quotes CROSS JOIN (VALUES ('clean', 'ok'), ('cut', 'corrupt_document'), ('error', 'api_error'), ('note', 'rate_limit'),
+                                              ('info', 'rate_limit'), ('empty', 'empty_series')) v(defect, status)
+           GROUP BY 1, 2, 3, 4""",
         "raw_quotes",
     ),
 )
 def q_quotes_json_status(spark, sf_dir):
-    """Triage status of every response document."""
-    docs = _quote_docs(spark, sf_dir)
+    """Triage status of every response document and of its defective forms."""
+    docs, _ = _bad_quote_docs(spark, sf_dir)
     return docs.select(
         "symbol",
         "source",
         "period",
+        "defect",
         QJ.response_status(F.col("body")).alias("status"),
         F.coalesce(F.size(F.col("body")[QJ.SERIES]), F.lit(0)).cast("bigint").alias("n_days"),
     )
 
 
-@register(
-    "quarantine_quotes",
-    "SELECT CAST(NULL AS VARCHAR) AS symbol, CAST(NULL AS VARCHAR) AS trade_date_text, CAST(NULL AS VARCHAR) AS reason, "
-    "CAST(NULL AS VARCHAR) AS source, CAST(NULL AS VARCHAR) AS payload WHERE false",
+O.cte(
+    "quote_doc_keys",
+    ("raw_quotes",),
+    "SELECT DISTINCT symbol, source, strftime(trade_date, '%Y-%m') AS period FROM raw_quotes",
 )
+O.cte(
+    "bad_quote_documents",
+    ("quote_doc_keys",),
+    """
+    SELECT symbol, CAST(NULL AS VARCHAR) AS trade_date_text, reason, source, payload
+    FROM quote_doc_keys CROSS JOIN (VALUES ('corrupt_document', '{"Meta Data":{"2. Sy'), ('api_error', '{"Error Message":"unknown symbol"}'),
+      ('rate_limit', '{"Note":"slow down"}'), ('rate_limit', '{"Information":"slow down"}'),
+      ('empty_series', '{"Meta Data":{},"Time Series (Daily)":{}}')) v(reason, payload)""",
+)
+O.cte(
+    "bad_quote_days",
+    ("raw_quotes",),
+    """
+    SELECT symbol, CASE WHEN defect = 'bad_date' THEN 'day ' ELSE '' END || CAST(trade_date AS VARCHAR) AS trade_date_text, reason, source,
+           '{"1. open":"' || CASE WHEN defect = 'word_price' THEN 'n/a' ELSE CAST(open_price AS VARCHAR) END || '","2. high":"' || high_price || '","3. low":"' || low_price || '"'
+             || CASE WHEN defect = 'no_close' THEN '' ELSE ',"4. close":"' || close_price || '"' END
+             || ',"5. volume":"' || volume || CASE WHEN defect = 'part_volume' THEN '.5' ELSE '' END || '"}' AS payload
+    FROM raw_quotes CROSS JOIN (VALUES ('no_close', 'missing_field'), ('part_volume', 'bad_number'), ('bad_date', 'bad_date'), ('word_price', 'bad_number')) v(defect, reason)""",
+)
+
+
+@register("quarantine_quotes", O.sql("SELECT * FROM bad_quote_documents UNION ALL SELECT * FROM bad_quote_days", "bad_quote_documents", "bad_quote_days"))
 def q_quarantine_quotes(spark, sf_dir):
-    """Quarantined documents and day rows (none for well-formed responses; error paths in tests)."""
-    _, bad = QJ.parse_quote_responses(_quote_docs(spark, sf_dir), mode="all", source="source")
-    return bad
+    """Quarantined documents and day rows, with their text; the clean ones beside them pass."""
+    bad = [QJ.parse_quote_responses(docs, mode="all", source="source")[1] for docs in _bad_quote_docs(spark, sf_dir)]
+    return Q.union_all(bad)
 
 
 def _rate_docs(spark, sf_dir):
@@ -935,22 +1039,55 @@ def q_stream_ohlc(spark, sf_dir):
 
 @register(
     "quarantine_summary",
-    "SELECT CAST(NULL AS VARCHAR) AS stage, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS source, "
-    "CAST(NULL AS BIGINT) AS n_rows WHERE false",
+    O.sql(
+        """
+        WITH rules AS (
+          SELECT 'quote_rules' AS stage, v.* FROM (VALUES ('negative', 'prices_non_negative'), ('above_high', 'high_is_max'), ('no_volume', 'volume_required'),
+            ('lost_volume', 'volume_non_negative'), ('no_date', 'trade_date_required'), ('no_close', 'prices_required'), ('no_source', 'source_required'),
+            ('long_symbol', 'symbol_max_20'), ('no_symbol', 'symbol_required')) v(defect, reason)
+          UNION ALL
+          SELECT 'rate_rules', v.* FROM (VALUES ('zero', 'rate_positive'), ('same', 'distinct_currencies'), ('no_code', 'currencies_required'),
+            ('long_code', 'currency_max_10'), ('no_date', 'rate_date_required'), ('no_source', 'source_required')) v(defect, reason)
+        ), broken AS (
+          SELECT 'quote_rules' AS stage, defect, source FROM quote_defects UNION ALL SELECT 'rate_rules', defect, source FROM rate_defects
+        ), days AS (SELECT DISTINCT rate_date, source FROM rate_quotes)
+        SELECT 'quotes_json' AS stage, reason, source, count(*) AS n_rows FROM (SELECT reason, source FROM bad_quote_documents UNION ALL SELECT reason, source FROM bad_quote_days) GROUP BY ALL
+        UNION ALL
+        SELECT 'rates_xml', reason, source, count(*) FROM rate_quotes CROSS JOIN (VALUES ('zero_nominal'), ('bad_nominal'), ('bad_value')) v(reason) GROUP BY ALL
+        UNION ALL
+        SELECT 'rates_xml', reason, source, count(*) FROM days CROSS JOIN (VALUES ('no_rates'), ('corrupt_document')) v(reason) GROUP BY ALL
+        UNION ALL
+        SELECT 'quote_messages', reason, CASE WHEN reason = 'corrupt_json' THEN 'unknown' ELSE source END AS source, count(*)
+        FROM raw_quotes CROSS JOIN (VALUES ('corrupt_json'), ('missing_field'), ('bad_type')) v(reason) GROUP BY ALL
+        UNION ALL
+        SELECT 'rate_messages', reason, CASE WHEN reason = 'corrupt_json' THEN 'unknown' ELSE source END AS source, count(*)
+        FROM raw_rates CROSS JOIN (VALUES ('corrupt_json'), ('missing_field'), ('bad_type')) v(reason) GROUP BY ALL
+        UNION ALL
+        SELECT stage, reason, source, count(*) FROM broken JOIN rules USING (stage, defect) GROUP BY ALL""",
+        "bad_quote_documents",
+        "bad_quote_days",
+        "rate_quotes",
+        "raw_rates",
+        "quote_defects",
+        "rate_defects",
+    ),
 )
 def q_quarantine_summary(spark, sf_dir):
-    """Quarantined rows by stage, reason and source over every parser and rule set."""
-    raw = tv.raw_quotes(spark, sf_dir)
-    rates = tv.raw_rates(spark, sf_dir)
-    _, bad_json = QJ.parse_quote_responses(QJ.documents_from_text(QJ.responses_from_quotes(raw)), mode="all", source="source")
-    _, bad_xml = RX.parse_valcurs(_rate_docs(spark, sf_dir), requested_date="rate_date", source="source")
-    tz = session_tz(spark)
-    _, bad_qmsg = MSG.decode_quote_messages(MSG.quote_messages(raw), tz=tz)
-    _, bad_rmsg = MSG.decode_rate_messages(MSG.rate_messages(rates), tz=tz)
-    _, bad_qrules = Q.validate(raw, Q.quote_rules())
-    _, bad_rrules = Q.validate(rates, Q.rate_rules())
+    """Quarantined rows by stage, reason and source over every parser and rule set, each fed every kind of defect."""
+    raw, rates, tz = tv.raw_quotes(spark, sf_dir), tv.raw_rates(spark, sf_dir), session_tz(spark)
+    valutes = dv.defective_valutes(tv.rate_quotes(spark, sf_dir))
+    texts = RX.valcurs_from_quotes(valutes.withColumn("source", F.concat_ws(" ", "source", "defect")))
+    days = tv.rate_quotes(spark, sf_dir).select("rate_date", "source").distinct()
+    header = F.date_format("rate_date", "dd.MM.yyyy")
+    broken = days.select("rate_date", "source", F.explode(F.array(F.concat(F.lit('<ValCurs Date="'), header, F.lit('"></ValCurs>')), F.concat(F.lit('<ValCurs Date="'), header, F.lit('"><Valute><Char')))).alias("xml_text"))
+    docs = RX.documents_from_xml_text(texts.withColumn("source", F.split("source", " ")[0]).select("rate_date", "source", "xml_text").unionByName(broken))
+    _, bad_xml = RX.parse_valcurs(docs, requested_date="rate_date", source="source")
+    _, bad_qmsg = MSG.decode_quote_messages(dv.defective_messages(MSG.quote_messages(raw), "volume"), tz=tz)
+    _, bad_rmsg = MSG.decode_rate_messages(dv.defective_messages(MSG.rate_messages(rates), "rate"), tz=tz)
+    _, bad_qrules = Q.validate(dv.defective_quotes(raw), Q.quote_rules())
+    _, bad_rrules = Q.validate(dv.defective_rates(rates), Q.rate_rules())
     stages = [
-        ("quotes_json", bad_json),
+        ("quotes_json", Q.union_all([QJ.parse_quote_responses(d, mode="all", source="source")[1] for d in _bad_quote_docs(spark, sf_dir)])),
         ("rates_xml", bad_xml),
         ("quote_messages", bad_qmsg),
         ("rate_messages", bad_rmsg),
