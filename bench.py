@@ -29,6 +29,10 @@ HEADLINE = [
     "fx_cross_rates",
     "vault_duplicates",
     "parse_quotes_json",
+    "vault_orphans",
+    "publish_by_date",
+    "sat_late_arrival",
+    "stream_raw_quotes",
     "stream_sat_delta",
 ]
 

@@ -102,11 +102,11 @@ def test_contract_check(spark):
 
     from dvspark.sources import jdbc
 
-    ok = spark.createDataFrame([("USD", "RUB", Decimal("90.5"), dt.date(2025, 6, 6), "cbr")], S.DM_FX_RATES)
+    ok = spark.createDataFrame([("USD", "RUB", Decimal("7.75"), dt.date(2023, 3, 14), "cbr", dt.datetime(2023, 3, 14, 20))], S.DM_FX_RATES)
     assert S.check_contract(ok, S.DM_FX_RATES).columns == [f.name for f in S.DM_FX_RATES.fields]
     with pytest.raises(S.ContractError):
         S.check_contract(ok.withColumn("rate", F.col("rate").cast("double")), S.DM_FX_RATES)
     with pytest.raises(S.ContractError):
-        S.check_contract(ok.drop("source"), S.DM_FX_RATES)
+        S.check_contract(ok.drop("loaded_at"), S.DM_FX_RATES)
     opts = jdbc.jdbc_options("jdbc:postgresql://db/dwh", "u", "p")
     assert opts["batchsize"] == "1000" and opts["isolationLevel"] == "READ_COMMITTED"
