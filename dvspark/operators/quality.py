@@ -143,14 +143,22 @@ def date_spine(bounds: DataFrame, start: str, end: str, name: str, keys: Sequenc
     return bounds.select(*keys, F.explode(F.sequence(F.col(start), F.col(end))).alias(name))
 
 
-def vault_counts(hub: DataFrame, sat: DataFrame) -> DataFrame:
+def _within(df: DataFrame, date_col: str, first=None, last=None) -> DataFrame:
+    if first is not None:
+        df = df.where(F.col(date_col) >= F.lit(first).cast("date"))
+    return df if last is None else df.where(F.col(date_col) <= F.lit(last).cast("date"))
+
+
+def vault_counts(hub: DataFrame, sat: DataFrame, first=None, last=None) -> DataFrame:
     """G1: per day, hub rows loaded that day and satellite rows of that trade date.
 
     Both zero -> ``skip`` (no data is not a failure), else ``ok``.  Days come
-    from a calendar spine between the first and last day seen.
+    from a calendar spine between the first and last day seen, or within
+    ``first`` and ``last``, so that one rogue date doesn't span millennia.
     """
     h = hub.groupBy(F.to_date("load_date").alias("check_date")).agg(F.count(F.lit(1)).alias("hub_rows"))
     s = sat.groupBy(F.col("trade_date").alias("check_date")).agg(F.count(F.lit(1)).alias("sat_rows"))
+    h, s = _within(h, "check_date", first, last), _within(s, "check_date", first, last)
     seen = h.select("check_date").unionByName(s.select("check_date"))
     bounds = seen.agg(F.min("check_date").alias("lo"), F.max("check_date").alias("hi"))
     spine = date_spine(bounds, "lo", "hi", "check_date")
@@ -165,13 +173,14 @@ def vault_counts(hub: DataFrame, sat: DataFrame) -> DataFrame:
     )
 
 
-def input_freshness(landed: DataFrame, date_col: str = "trade_date", source_col: str = "source") -> DataFrame:
+def input_freshness(landed: DataFrame, date_col: str = "trade_date", source_col: str = "source", first=None, last=None) -> DataFrame:
     """Rows landed per (source, day), with the day spelled out explicitly.
 
     Every source is checked for every day from its first landing up to the
-    newest day of any source; a day without rows is reported with
-    ``n_rows = 0`` and ``fresh = false``.
+    newest day of any source (within ``first`` and ``last``, where given); a
+    day without rows is reported with ``n_rows = 0`` and ``fresh = false``.
     """
+    landed = _within(landed, date_col, first, last)
     counts = landed.groupBy(F.col(source_col).alias("source"), F.col(date_col).alias("check_date")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )

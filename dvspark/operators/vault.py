@@ -94,9 +94,12 @@ def load_link(
         as_col(load_date).alias("_ld"),
         as_col(record_source).alias("_rs"),
     )
-    first = keyed.groupBy(*names).agg(F.min(F.struct(F.col("_ld").alias("ld"), F.col("_rs").alias("rs"))).alias("_f"))
+    # Grouped by the link key itself, so the anti join with the stored link reuses the shuffle.
+    first = keyed.groupBy(hash_key_composite(*names).alias(lnk_name)).agg(
+        *[F.min(n).alias(n) for n in names], F.min(F.struct(F.col("_ld").alias("ld"), F.col("_rs").alias("rs"))).alias("_f")
+    )
     links = first.select(
-        hash_key_composite(*names).alias(lnk_name),
+        lnk_name,
         *names,
         F.col("_f.ld").alias("load_date"),
         F.col("_f.rs").alias("record_source"),

@@ -68,3 +68,14 @@ def test_hash_text_matches_ansi_cast_in_both_modes(spark):
             assert [r.t for r in df.select(hash_text("d", DecimalType(18, 8)).alias("t")).collect()] == want
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_both_renderings_of_a_decimal_are_one_text(spark):
+    """Around the magnitude where the plain cast takes over from the exact rendering."""
+    from dvspark.functions.hashing import hash_text, plain_decimal
+
+    units = [0, 1, 9, 99, 100, 101, 999, 12345, 10**8 + 1, 10**17 + 7]
+    df = spark.createDataFrame([(s * u,) for u in units for s in (1, -1)], "u bigint").select((F.col("u") / F.lit(10**8)).cast("decimal(18,8)").alias("d"))
+    kind = df.schema["d"].dataType
+    rows = df.select(hash_text("d", kind).alias("a"), plain_decimal(F.col("d"), 8).alias("b")).collect()
+    assert all(r.a == r.b for r in rows)
