@@ -108,3 +108,93 @@ def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message without its quotes, behind the message that it answers."""
     return quotes.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+#: Messages of one turn can't be told apart in order here, as their names are hashes; conversations have one a turn.
+ORACLE["op6_quote_links"] = r"""
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, role, text, count(*) AS copies, row_number() OVER (ORDER BY conv_id, turn, role, text) AS id
+  FROM conversations GROUP BY conv_id, turn, role, text
+), quoting AS (
+  SELECT * FROM m WHERE regexp_matches(coalesce(text, ''), '(^|\n)[ \t]*>')
+), split AS (
+  SELECT id, regexp_split_to_array(text, '\r?\n') AS rows FROM quoting
+), numbered AS (
+  SELECT id, unnest(range(1, len(rows) + 1)) AS pos, unnest(rows) AS line FROM split
+), marked AS (
+  SELECT id, pos, line, length(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+'), '[^>]', '', 'g')) AS level, regexp_replace(line, '^(?:[ \t]*>)+', '') AS words FROM numbered
+), near AS (
+  SELECT *, lag(level) OVER w AS before, lead(level) OVER w AS behind FROM marked WINDOW w AS (PARTITION BY id ORDER BY pos)
+), grouped AS (
+  SELECT *, sum(CASE WHEN before IS DISTINCT FROM level THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS passage,
+         level = 0 AND coalesce(behind, 0) > 0 AND regexp_matches(line, '^[ \t]*On .{1,200} wrote:[ \t]*$') AS attribution
+  FROM near
+), own AS (
+  SELECT id, trim(string_agg(line, chr(10) ORDER BY pos), ' ' || chr(9) || chr(13) || chr(10)) AS body FROM grouped WHERE level = 0 AND NOT attribution GROUP BY id
+), bodies AS (
+  SELECT m.id, CASE WHEN quoting.id IS NULL THEN coalesce(m.text, '') ELSE coalesce(own.body, '') END AS body
+  FROM m LEFT JOIN quoting USING (id) LEFT JOIN own USING (id)
+), passages AS (
+  SELECT id, passage, any_value(level) AS level, list(words ORDER BY pos) AS rows FROM grouped WHERE level > 0 GROUP BY id, passage
+), units AS (
+  SELECT id, passage, level, lower(trim(regexp_replace(u, '\s+', ' ', 'g'))) AS unit
+  FROM (SELECT id, passage, level, unnest(list_append(rows, array_to_string(rows, ' '))) AS u FROM passages)
+), parts AS (
+  SELECT id, unnest([body] || regexp_split_to_array(body, '\n\s*\n') || string_split(body, chr(10))) AS u FROM bodies WHERE body <> ''
+), held AS (
+  SELECT DISTINCT id, conv_id, turn, lower(trim(regexp_replace(u, '\s+', ' ', 'g'))) AS unit
+  FROM parts JOIN m USING (id) WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), in_conv AS (
+  SELECT unit, conv_id, min({'turn': turn, 'id': id}) AS o FROM held WHERE length(unit) >= 12 GROUP BY unit, conv_id
+), overall AS (
+  SELECT unit, min({'conv_id': conv_id, 'turn': o.turn, 'id': o.id}) AS o FROM in_conv GROUP BY unit
+), found AS (
+  SELECT a.id, a.level, length(a.unit) AS size,
+         CASE WHEN i.o.turn < m.turn THEN {'conv_id': m.conv_id, 'turn': i.o.turn, 'id': i.o.id} WHEN v.o.conv_id < m.conv_id THEN v.o END AS original
+  FROM (SELECT DISTINCT id, level, unit FROM units WHERE length(unit) >= 12) a JOIN m USING (id)
+  LEFT JOIN in_conv i ON i.unit = a.unit AND i.conv_id = m.conv_id LEFT JOIN overall v ON v.unit = a.unit
+  WHERE m.conv_id IS NOT NULL AND m.turn IS NOT NULL
+), linked AS (
+  SELECT id, arg_min(original.id, (level, -size, original)) AS quoted, count(*) AS linked FROM found WHERE original IS NOT NULL GROUP BY id
+), earlier AS (
+  SELECT a.id, arg_max(b.id, b.turn) AS earlier FROM m a JOIN m b ON a.conv_id = b.conv_id AND b.turn < a.turn GROUP BY a.id
+), parents AS (
+  SELECT m.id, coalesce(quoted, earlier) AS parent FROM m LEFT JOIN linked USING (id) LEFT JOIN earlier USING (id)
+), up AS (
+  SELECT id, id AS top, 0 AS depth FROM m
+  UNION ALL
+  SELECT up.id, p.parent, depth + 1 FROM up JOIN parents p ON p.id = up.top WHERE p.parent IS NOT NULL
+), roots AS (
+  SELECT id, arg_max(top, depth) AS root, max(depth) AS depth FROM up GROUP BY id
+), quotes AS (SELECT id, count(*) AS n_quotes FROM passages GROUP BY id)
+SELECT m.conv_id, m.turn, m.role, m.copies, r.conv_id AS thread_conv, r.turn AS thread_turn, CAST(roots.depth AS BIGINT) AS depth,
+       q.conv_id AS reply_conv, q.turn AS reply_turn, coalesce(n_quotes, 0) AS n_quotes, coalesce(linked, 0) AS linked_quotes,
+       concat_ws(': ', m.role, body) AS chat
+FROM m JOIN bodies USING (id) JOIN roots USING (id) JOIN m r ON r.id = roots.root JOIN parents USING (id)
+LEFT JOIN m q ON q.id = parents.parent LEFT JOIN quotes ON quotes.id = m.id LEFT JOIN linked ON linked.id = m.id
+"""
+
+
+ORACLE["op7_minhash_near_duplicates"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)
+), sides AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM w
+  UNION
+  SELECT reach.doc_id, y FROM reach JOIN sides ON x = r
+), least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
