@@ -105,14 +105,21 @@ def _before(msgs: DataFrame) -> DataFrame:
 
 
 def threads(parents: DataFrame) -> DataFrame:
-    """msg, root, depth from (msg, parent); parents never form a circle."""
-    now = stored(parents.select("msg", F.coalesce("parent", "msg").alias("top"), F.col("parent").isNotNull().cast("long").alias("depth")), "threads")
+    """msg, root, depth from (msg, parent); parents never form a circle.
+
+    Pointer doubling: each round joins the messages whose root isn't known yet,
+    and only those, with what is known of the message they point to.
+    """
+    known = parents.where("parent IS NULL").select("msg", F.col("msg").alias("top"), F.lit(0).cast("long").alias("depth"))
+    waiting = parents.where("parent IS NOT NULL").select("msg", F.col("parent").alias("top"), F.lit(1).cast("long").alias("depth"))
     while True:
-        up = now.select(F.col("msg").alias("top"), F.col("top").alias("above"), F.col("depth").alias("more"))
-        after = stored(now.join(up.where("more > 0"), "top", "left").select("msg", F.coalesce("above", "top").alias("top"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("more").isNotNull().alias("moved")), "threads")
-        if not after.where("moved").limit(1).count():
-            return after.select("msg", F.col("top").alias("root"), "depth")
-        now = after.drop("moved")
+        every = known.withColumn("final", F.lit(True)).union(waiting.withColumn("final", F.lit(False)))
+        above = every.select(F.col("msg").alias("top"), F.col("top").alias("above"), F.col("depth").alias("more"), "final")
+        after = stored(waiting.join(above, "top").select("msg", F.col("above").alias("top"), (F.col("depth") + F.col("more")).alias("depth"), "final"), "threads")
+        known = known.union(after.where("final").drop("final"))
+        waiting = after.where("NOT final").drop("final")
+        if not waiting.limit(1).count():
+            return known.select("msg", F.col("top").alias("root"), "depth")
 
 
 def reply_ordered(conversations: DataFrame) -> DataFrame:
