@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from dvspark.llm import bpe, langid, line_crf, neardup, templates
 from dvspark.llm.common import fold, stored, table
 
+#: Texts whose sets of five-word shingles are that similar or more (per cent of their union) are near copies.
+NEAR_PERCENT = 80
 #: Texts of which less than this is surely of one language go.
 LANGUAGE_SCORE = 0.5
 
@@ -38,8 +40,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies (7)."""
-    gone = neardup.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    """Keeps the document with the smallest doc_id of each group of near copies: similarity 0.8 or more (7)."""
+    gone = neardup.near_duplicates(docs, percent=NEAR_PERCENT).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
     left = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
     of_id = Window.partitionBy("doc_id").orderBy("text")
     one = left.where("doc_id IS NOT NULL").withColumn("_copy", F.row_number().over(of_id)).where("_copy = 1").drop("_copy")

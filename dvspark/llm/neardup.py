@@ -4,14 +4,15 @@
    a signature of ``COORDINATES`` minimum hashes.  Texts with equal sets form a
    class, held by the smallest doc_id; all that follows is about classes.
 2. Classes are posted under coordinate-value pairs.  Two classes with at least
-   ``MATCHES`` equal coordinates must meet within the first COORDINATES -
-   MATCHES + 1 coordinates of any order common to all, so only that prefix is
-   posted, values on long lists last (they are the least telling).
+   ``matches`` equal coordinates (see ``matches_needed``) must meet within the
+   first COORDINATES - matches + 1 coordinates of any order common to all, so
+   only that prefix is posted, values on long lists last (they are the least
+   telling).
 3. Short lists: the collisions of each pair are counted, and the pair's whole
    signatures compared; pairs at the match threshold that could reach the
    similarity by their set sizes are confirmed on their full sets.
 4. Long lists (more than ``LONG`` classes).  A class is there only if at least
-   MATCHES of its coordinates are shared by that many classes: one of a crowd
+   matches of its coordinates are shared by that many classes: one of a crowd
    of near copies.  Its pairs are not listed.  Classes that share long lists
    form a crowd; a crowd is dealt into blocks of ``BLOCK`` classes, and every
    two blocks meet in one task, which counts each class's common shingles with
@@ -21,8 +22,10 @@
    of others, not n * n.
 5. Components of the confirmed links; each class's members follow it.
 
-The signature decides which pairs are looked at: at similarity 0.85 a pair has
-a chance of under 1e-6 to fall below MATCHES.  Everything else is exact.
+The signature decides which pairs are looked at: ``matches`` follows from the
+similarity asked for, so that a pair just at it has a chance of under ``MISS``
+to fall below (0.85: 39 of 64, chance 6.3e-7; 0.80: 34, 3.2e-7).  Everything
+else is exact.
 
 Defined cases: null, empty and white-space-only texts have no shingle and link
 with nothing; fewer than five words count as one shingle; rows that repeat a
@@ -33,6 +36,7 @@ are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +50,8 @@ from dvspark.llm.common import stored
 from dvspark.llm.components import components
 
 WORDS = 5
-COORDINATES, MATCHES = 64, 40
-PREFIX = COORDINATES - MATCHES + 1
+COORDINATES = 64
+MISS = 1e-6
 LONG = 48
 BLOCK = 1024
 
@@ -55,6 +59,13 @@ _STEP = np.array([pow(0x9FB21C651E98DF25, k + 1, 1 << 64) for k in range(WORDS)]
 _COORD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
+def matches_needed(percent: int) -> int:
+    """The most equal coordinates that a pair of this similarity has but for a chance below MISS (binomial)."""
+    p = percent / 100
+    at_most = np.cumsum([math.comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k) for k in range(COORDINATES + 1)])
+    return max(1, int(np.searchsorted(at_most, MISS)))
+
+
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text in turn."""
     for first, last, block in word_blocks(column):
@@ -158,6 +169,8 @@ def _crowd_links(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``; a link: 100 * intersection >= percent * union."""
+    needed = matches_needed(percent)
+    prefix = COORDINATES - needed + 1
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(texts.mapInArrow(_signed, "doc_id long, n_shingles long, set_key binary, sig array<int>"), "signatures")
     with_set = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -170,7 +183,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     # The common order: coordinates on short lists first, then those on long lists, each by number.
     ranked = classes.join(on_long, "cid", "left").withColumn("late", F.coalesce("late", F.array().cast("array<int>")))
     early = F.array_except(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), F.col("late"))
-    short = ranked.select("cid", "n", "sig", F.explode(F.slice(early, 1, PREFIX)).alias("coord"))
+    short = ranked.select("cid", "n", "sig", F.explode(F.slice(early, 1, prefix)).alias("coord"))
     short = short.select("cid", "n", "coord", F.element_at("sig", F.col("coord") + 1).alias("value"))
     lists = short.groupBy("coord", "value").agg(F.sort_array(F.collect_list(F.struct("cid", "n"))).alias("post")).where(F.size("post") > 1)
     pairs = lists.select(F.posexplode("post").alias("i", "x"), "post").select("x", F.explode(F.expr("slice(post, i + 2, size(post))")).alias("y"))
@@ -179,9 +192,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"))
     both = counted.join(classes.select(F.col("cid").alias("a"), F.col("sig").alias("sig_a")), "a").join(classes.select(F.col("cid").alias("b"), F.col("sig").alias("sig_b")), "b")
     matches = F.expr("size(filter(zip_with(sig_a, sig_b, (p, q) -> p = q), m -> m))")
-    candidates = stored(both.where(matches >= MATCHES).select("a", "b"), "candidates")
+    candidates = stored(both.where(matches >= needed).select("a", "b"), "candidates")
 
-    crowd_posts = ranked.where(F.size(early) < PREFIX).select("cid", F.explode(F.slice(F.sort_array("late"), 1, F.lit(PREFIX) - F.size(early))).alias("coord"), "sig")
+    crowd_posts = ranked.where(F.size(early) < prefix).select("cid", F.explode(F.slice(F.sort_array("late"), 1, F.lit(prefix) - F.size(early))).alias("coord"), "sig")
     crowd_posts = stored(crowd_posts.select("cid", "coord", F.element_at("sig", F.col("coord") + 1).alias("value")), "crowd-posts")
     heads = crowd_posts.groupBy("coord", "value").agg(F.min("cid").alias("head"))
     crowds = components(crowd_posts.join(heads, ["coord", "value"]).select("cid", "head").distinct(), "cid", "head").select(F.col("node").alias("cid"), F.col("component").alias("crowd"))
