@@ -2,11 +2,15 @@
 
 A text becomes template tokens: a number is ``<num>``, a unit behind a number
 ``<unit>``, a capitalised word that begins no sentence ``<name>``, any other
-word itself in lower case; signs fall away.  Every window of ``WINDOW``
-template tokens is hashed; the windows of the benchmark's items (shorter items:
-one window of all their tokens) are joined with those of the documents.  A
-window must hold ``LITERAL`` plain words at least, so that placeholders alone
-match nothing.
+word itself in lower case; signs fall away and white space of any length and
+kind is one blank.  Every window of ``WINDOW`` template tokens is hashed; the
+windows of the benchmark's items (shorter items: one window of all their
+tokens) are joined with those of the documents.  A window must hold ``LITERAL``
+plain words at least, so that placeholders alone match nothing.
+
+Names depend on capitals, so the same tokens give a second set of windows, of
+their words and values in lower case without slots: copies in another case.
+An item's window counts as matched if either set hits.
 
 For the documents with a hit, the slots' values come back in a second step:
 the hits of one item at one offset are one alignment, and an alignment counts
@@ -46,57 +50,67 @@ UNITS = ("km", "m", "cm", "mm", "kg", "g", "mg", "lb", "lbs", "oz", "l", "ml", "
 _NUM, _UNIT, _NAME = "\u0001", "\u0002", "\u0003"
 
 
-def template_text(text: Column, values: bool = False) -> Column:
-    """The text, in lower case, with a mark in each slot; ``values``: what stood there follows the mark."""
+#: White space, and the marks where a text holds them itself.
+_SPACE = r"\x01-\x03\t-\r\x85\p{Z}"
+
+
+def template_text(text: Column) -> Column:
+    """The text, in lower case, with a mark before each slot's value."""
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
-    it = "$0" if values else ""
+    spaced = F.regexp_replace(text, rf" [{_SPACE}]+|[{_SPACE}&&[^ ]][{_SPACE}]*", " ")
     # A name: a capital and small letters, behind a word (a comma may stand between), not behind a sentence's end.
-    named = F.regexp_replace(text, r"\p{Lu}(?<=[\p{L}\p{N}],? \p{Lu})\p{Ll}+(?![\p{L}\p{N}])", f" {_NAME}{it} ")
-    numbered = F.regexp_replace(named, r"\p{N}+(?:[.,:]\p{N}+)*", f" {_NUM}{it} ")
-    return F.regexp_replace(F.lower(numbered), rf"({_NUM}[\p{{N}}.,:]*) *(?:({units})(?!\p{{L}})|[%€$£])", f"$1 {_UNIT}{'$2' if values else ''} ")
+    named = F.regexp_replace(spaced, r"\p{Lu}(?<=[\p{L}\p{N}],? \p{Lu})[\p{Ll}\p{M}]+(?![\p{L}\p{M}\p{N}])", f" {_NAME}$0 ")
+    numbered = F.regexp_replace(named, r"\p{N}+(?:[.,:]\p{N}+)*", f" {_NUM}$0 ")
+    return F.regexp_replace(F.lower(numbered), rf"({_NUM}[\p{{N}}.,:]*) *(?:({units})(?!\p{{L}})|[%€$£])", f"$1 {_UNIT}$2 ")
 
 
-def tokens(text: Column, values: bool = False) -> Column:
-    """Template tokens in order; a slot's begins with its mark."""
-    keep = r"\p{L}\p{M}" + _NUM + _UNIT + _NAME
-    # With values the digits and the points between them stay; without, no digit is left.
-    drop = rf"(?:(?!(?<=\p{{N}})[.,:](?=\p{{N}}))[^{keep}\p{{N}}])+" if values else rf"[^{keep}]+"
-    return F.split(F.trim(F.regexp_replace(template_text(F.coalesce(text, F.lit("")), values), drop, " ")), " +")
+def tokens(text: Column) -> Column:
+    """Tokens in order; a slot's is its mark and its value."""
+    return F.regexp_extract_all(template_text(F.coalesce(text, F.lit(""))), F.lit(rf"[{_NUM}{_UNIT}{_NAME}][^ ]*|[\p{{L}}\p{{M}}]+"), 0)
 
 
-def _mark(t: Column) -> Column:
-    """A token with its value as it is without."""
-    return F.when(F.substring(t, 1, 1).isin(_NUM, _UNIT, _NAME), F.substring(t, 1, 1)).otherwise(t)
+def _is_slot(t: Column) -> Column:
+    return F.substring(t, 1, 1).isin(_NUM, _UNIT, _NAME)
 
 
-def _hashes(tokens_: Column) -> Column:
-    return F.transform(tokens_, lambda t: F.xxhash64(t))
+def _template(t: Column) -> Column:
+    """A token without its value."""
+    return F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)
 
 
-def _is_slot(t: Column) -> Column:
-    return t.isin(_NUM, _UNIT, _NAME)
+def _plain(t: Column) -> Column:
+    """A token without its mark."""
+    return F.ltrim(t, F.lit(_NUM + _UNIT + _NAME))
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
     rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    return rows.withColumn("t", tokens(F.col("text"))).where(F.size(F.filter("t", lambda t: ~_is_slot(t) & (t != ""))) >= LITERAL)
+    return rows.withColumn("t", tokens(F.col("text"))).where(F.size(F.filter("t", lambda t: ~_is_slot(t))) >= LITERAL)
 
 
 def _windows(rows: DataFrame, *keep: str, width: Column | int) -> DataFrame:
-    """at, window (hash) of every window of ``width`` tokens of column ``t``."""
+    """at, verbatim, window (hash): every window of ``width`` tokens of column ``t`` as a template, then each again with its words and values."""
     w = width if isinstance(width, Column) else F.lit(width)
-    rows = rows.withColumn("w", w).withColumn("h", _hashes(F.col("t"))).where(F.size("h") >= F.col("w"))
-    hashed = F.transform(F.sequence(F.lit(1), F.size("h") - F.col("w") + 1), lambda i: F.xxhash64(F.slice(F.col("h"), i, F.col("w"))))
-    return rows.select(*keep, "w", F.posexplode(hashed).alias("at", "window"))
+    rows = rows.withColumn("w", w).withColumn("h", F.transform("t", lambda t: F.xxhash64(_template(t)))).withColumn("v", F.transform("t", lambda t: F.xxhash64(_plain(t))))
+
+    def hashed(h: str) -> Column:
+        n = F.size(h) - F.col("w") + 1
+        return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(h, i, F.col("w"))))).otherwise(F.array().cast("array<long>"))
+
+    n = F.size("t") - F.col("w") + 1
+    found = rows.select(*keep, "w", n.alias("n"), F.posexplode(F.concat(hashed("h"), hashed("v"))).alias("k", "window"))
+    return found.select(*keep, "w", F.pmod("k", "n").alias("at"), (F.col("k") >= F.col("n")).alias("verbatim"), "window")
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, at, window, w and the item's number of windows, of windows with enough plain words."""
+    """item_id, version, at, w, verbatim, window, counted and the item's number of counted windows; templates only with enough plain words."""
     items = _items(benchmark).withColumn("literal", F.transform("t", lambda t: (~_is_slot(t)).cast("int")))
     found = _windows(items, "item_id", "text", "literal", width=F.least(F.size("t"), F.lit(WINDOW)))
     plain = F.aggregate(F.slice("literal", F.col("at") + 1, F.col("w")), F.lit(0), lambda a, b: a + b)
-    found = found.where(plain >= LITERAL).select("item_id", F.xxhash64("text").alias("version"), "at", "w", "window")
-    return found.join(found.groupBy("item_id", "version").agg(F.count(F.lit(1)).alias("item_windows")), ["item_id", "version"])
+    found = found.withColumn("counted", plain >= LITERAL).where("verbatim OR counted")
+    found = found.select("item_id", F.xxhash64("text").alias("version"), "at", "w", "verbatim", "window", "counted")
+    sizes = found.where("verbatim").groupBy("item_id", "version").agg(F.count_if("counted").alias("item_windows")).where("item_windows > 0")
+    return found.join(sizes, ["item_id", "version"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -115,26 +129,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         hits = found if hits is None else hits.union(found)
     hits = stored(hits if hits is not None else spark.createDataFrame([], schema), "window-hits")
 
-    # One row for each window of an item that a document has at one offset.
+    # One row for each window of an item that a document has at one offset; a verbatim one has its words, whatever set of the document hit.
     matched = hits.withColumnRenamed("at", "doc_at").join(items, ["w", "window"]).withColumn("offset", F.col("doc_at") - F.col("at"))
-    matched = matched.select("doc_id", "copy", "item_id", "version", "offset", "at", "w", "item_windows").distinct()
-    alignments = matched.groupBy("doc_id", "copy", "item_id", "version", "offset").agg(F.collect_set(F.struct("at", "w")).alias("windows"), F.first("item_windows").alias("item_windows"))
+    matched = matched.select("doc_id", "copy", "item_id", "version", "offset", "at", "w", "verbatim", "counted", "item_windows").distinct()
+    alignments = matched.groupBy("doc_id", "copy", "item_id", "version", "offset").agg(F.collect_set(F.struct("at", "w", "verbatim", "counted")).alias("windows"), F.first("item_windows").alias("item_windows"))
     alignments = stored(alignments, "alignments")
     hit = alignments.select("doc_id").distinct()
     hit = F.broadcast(hit) if hit.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS else hit
-    hit_docs = stored(rows.join(hit, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("copy"), tokens(F.col("text"), values=True).alias("doc_values")).dropDuplicates(["doc_id", "copy"]), "hit-documents")
-    item_texts = _items(benchmark).select("item_id", F.xxhash64("text").alias("version"), tokens(F.col("text"), values=True).alias("item_values"))
+    hit_docs = stored(rows.join(hit, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("copy"), tokens(F.col("text")).alias("doc_values")).dropDuplicates(["doc_id", "copy"]), "hit-documents")
+    item_texts = _items(benchmark).select("item_id", F.xxhash64("text").alias("version"), tokens(F.col("text")).alias("item_values"))
     both = alignments.join(item_texts, ["item_id", "version"]).join(hit_docs, ["doc_id", "copy"])
 
-    # Positions of the item inside the alignment's windows that are slots, with both values.
-    covered = F.array_distinct(F.flatten(F.transform("windows", lambda x: F.sequence(x["at"], x["at"] + x["w"] - 1))))
-    slot_at = F.filter(covered, lambda i: _is_slot(_mark(F.get(F.col("item_values"), i))))
+    # Positions of the item inside the alignment's template windows that are slots, with both values.
+    templates = F.filter("windows", lambda x: ~x["verbatim"])
+    covered = F.array_distinct(F.flatten(F.transform(templates, lambda x: F.sequence(x["at"], x["at"] + x["w"] - 1))))
+    slot_at = F.filter(covered, lambda i: _is_slot(F.get(F.col("item_values"), i)))
     pairs = F.array_distinct(F.transform(slot_at, lambda i: F.struct(F.get("item_values", i).alias("i"), F.get("doc_values", i + F.col("offset").cast("int")).alias("d"))))
     checked = both.select("doc_id", "copy", "item_id", "version", "windows", "item_windows", pairs.alias("pairs"))
     one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")) & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == F.size("pairs"))
-    changed = F.size(F.filter("pairs", lambda p: ~p["i"].eqNullSafe(p["d"])))
-    consistent = checked.where(one_to_one).select("doc_id", "item_id", "version", "item_windows", changed.alias("changed"), F.explode(F.transform("windows", lambda x: x["at"])).alias("at"))
-    by_version = consistent.groupBy("doc_id", "item_id", "version").agg(F.countDistinct("at").alias("matched"), F.first("item_windows").alias("item_windows"), F.max("changed").alias("changed"))
+    changed = F.when(one_to_one, F.size(F.filter("pairs", lambda p: ~p["i"].eqNullSafe(p["d"])))).otherwise(0)
+    checked = checked.withColumn("windows", F.when(one_to_one, F.col("windows")).otherwise(F.filter("windows", lambda x: x["verbatim"])))
+    consistent = checked.select("doc_id", "item_id", "version", "item_windows", changed.alias("changed"), F.explode("windows").alias("x")).select("*", "x.at", "x.counted")
+    by_version = consistent.groupBy("doc_id", "item_id", "version").agg(F.countDistinct(F.when(F.col("counted"), F.col("at"))).alias("matched"), F.first("item_windows").alias("item_windows"), F.max("changed").alias("changed"))
     best = by_version.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("matched", "item_windows", "changed"), F.struct(F.col("matched") / F.col("item_windows"), "matched", "version")).alias("b"))
     coverage = F.col("b.matched") / F.col("b.item_windows")
     return best.select("doc_id", "item_id", F.col("b.matched").alias("matched_windows"), F.col("b.item_windows").alias("item_windows"), coverage.alias("coverage"), F.col("b.changed").cast("int").alias("changed_slots"), (coverage >= COVERAGE).alias("contaminated"))

@@ -1,0 +1,27 @@
+"""Copies of benchmark items that template windows alone miss."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from dvspark.llm import templates
+
+from .test_text_operators import QUESTION
+
+
+@pytest.fixture()
+def against(spark):
+    """The rows found for texts, by their number, against items 0, 1, ..."""
+
+    def found(items, texts):
+        bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+        docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+        return {(r.doc_id, r.item_id): r for r in templates.contaminated(docs, bench).collect()}
+
+    return found
+
+
+def test_copies_in_another_case_or_white_space_are_found(against):
+    copies = [QUESTION, QUESTION.lower(), QUESTION.upper(), QUESTION.replace(" ", "  "), QUESTION.replace(" ", "\n"), QUESTION.replace(" ", "\u00a0\t"), QUESTION.title()]
+    found = against([QUESTION], ["Before it. " + c + " Behind it." for c in copies])
+    assert all(found[k, 0].contaminated and found[k, 0].coverage == 1 for k in range(len(copies)))
+    assert {r.item_windows for r in found.values()} == {16}
