@@ -13,11 +13,14 @@ their words and values in lower case without slots: copies in another case.
 An item's window counts as matched if either set hits.
 
 For the documents with a hit, the slots' values come back in a second step:
-the hits of one item at one offset are one alignment, and an alignment counts
-if its slots are consistent: each value of the item stands for one value in the
-document, and the other way round.  The share of the item's windows that
-consistent alignments cover is its coverage; from ``COVERAGE`` on, the document
-is contaminated by the item.
+the hits of one item at one offset are one alignment.  Its slots are consistent
+if each value of the item stands for one value in the document (two may stand
+for the same).  A value that stands for several takes the template windows that
+hold it out of the alignment, not the others; if it stands for itself too, as
+in a copy with one place edited, only those in which it stands for several.
+Verbatim windows always stay.  The share of the item's windows that are left
+over all alignments is its coverage; from ``COVERAGE`` on, the document is
+contaminated by the item.
 
 Only DataFrame and SQL functions run here.  The documents' windows are joined
 by a broadcast of the benchmark's while those are counted and few
@@ -141,15 +144,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     both = alignments.join(item_texts, ["item_id", "version"]).join(hit_docs, ["doc_id", "copy"])
 
     # Positions of the item inside the alignment's template windows that are slots, with both values.
+    end = lambda x: x["at"] + x["w"] - 1
     templates = F.filter("windows", lambda x: ~x["verbatim"])
-    covered = F.array_distinct(F.flatten(F.transform(templates, lambda x: F.sequence(x["at"], x["at"] + x["w"] - 1))))
-    slot_at = F.filter(covered, lambda i: _is_slot(F.get(F.col("item_values"), i)))
-    pairs = F.array_distinct(F.transform(slot_at, lambda i: F.struct(F.get("item_values", i).alias("i"), F.get("doc_values", i + F.col("offset").cast("int")).alias("d"))))
-    checked = both.select("doc_id", "copy", "item_id", "version", "windows", "item_windows", pairs.alias("pairs"))
-    one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")) & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == F.size("pairs"))
-    changed = F.when(one_to_one, F.size(F.filter("pairs", lambda p: ~p["i"].eqNullSafe(p["d"])))).otherwise(0)
-    checked = checked.withColumn("windows", F.when(one_to_one, F.col("windows")).otherwise(F.filter("windows", lambda x: x["verbatim"])))
-    consistent = checked.select("doc_id", "item_id", "version", "item_windows", changed.alias("changed"), F.explode("windows").alias("x")).select("*", "x.at", "x.counted")
+    covered = F.array_distinct(F.flatten(F.transform(templates, lambda x: F.sequence(x["at"], end(x)))))
+    slot_at = F.filter(covered, lambda p: _is_slot(F.get(F.col("item_values"), p)))
+    slots = F.transform(slot_at, lambda p: F.struct(p.alias("p"), F.get("item_values", p).alias("i"), F.get("doc_values", p + F.col("offset").cast("int")).alias("d")))
+    slotted = both.select("doc_id", "copy", "item_id", "version", "windows", "item_windows", slots.alias("slots"))
+    # Values of the item that stand for several of the document; lost: and never for themselves.
+    valued = slotted.withColumn("pairs", F.array_distinct(F.transform("slots", lambda s: F.struct(s["i"].alias("i"), s["d"].alias("d")))))
+    values = F.transform("pairs", lambda q: q["i"])
+    unclear = valued.withColumn("unclear", F.array_distinct(F.filter(values, lambda v: F.size(F.filter("pairs", lambda q: q["i"] == v)) > 1)))
+    unclear = unclear.withColumn("lost", F.filter("unclear", lambda v: ~F.exists("pairs", lambda q: (q["i"] == v) & (q["d"] == v))))
+    unclear = unclear.withColumn("unclear_slots", F.filter("slots", lambda s: F.array_contains("unclear", s["i"])))
+    held = lambda x: F.filter("unclear_slots", lambda s: s["p"].between(x["at"], end(x)))
+    count = lambda slots, of: F.size(F.array_distinct(F.transform(slots, of)))
+    clear = lambda x: (count(held(x), lambda s: s["i"]) == count(held(x), lambda s: F.struct(s["i"], s["d"]))) & ~F.exists(held(x), lambda s: F.array_contains("lost", s["i"]))
+    left = F.filter("windows", lambda x: x["verbatim"] | clear(x))
+    changed = F.size(F.filter("pairs", lambda q: ~F.array_contains("lost", q["i"]) & (q["i"] != q["d"])))
+    consistent = unclear.select("doc_id", "item_id", "version", "item_windows", changed.alias("changed"), F.explode(left).alias("x")).select("*", "x.at", "x.counted")
     by_version = consistent.groupBy("doc_id", "item_id", "version").agg(F.countDistinct(F.when(F.col("counted"), F.col("at"))).alias("matched"), F.first("item_windows").alias("item_windows"), F.max("changed").alias("changed"))
     best = by_version.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("matched", "item_windows", "changed"), F.struct(F.col("matched") / F.col("item_windows"), "matched", "version")).alias("b"))
     coverage = F.col("b.matched") / F.col("b.item_windows")

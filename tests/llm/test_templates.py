@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from dvspark.llm import templates
 
-from .test_text_operators import QUESTION
+from .test_text_operators import BROKEN, CHANGED, LONG, QUESTION
 
 
 @pytest.fixture()
@@ -25,3 +25,35 @@ def test_copies_in_another_case_or_white_space_are_found(against):
     found = against([QUESTION], ["Before it. " + c + " Behind it." for c in copies])
     assert all(found[k, 0].contaminated and found[k, 0].coverage == 1 for k in range(len(copies)))
     assert {r.item_windows for r in found.values()} == {16}
+
+
+def test_the_other_rows_of_the_question_stay_as_they_were(spark):
+    """As test_changed_slots_are_seen_through_if_consistent, but for the upper-case copy."""
+    bench = spark.createDataFrame([(1, QUESTION), (1, QUESTION), (2, "the of and"), (3, None), (None, QUESTION), (4, "")], "item_id long, text string")
+    rows = [(1, "Some words first. " + QUESTION + " And more behind it."), (2, "Before it came this: " + CHANGED), (3, "Nothing of the kind is here, only 120 km and Anna."), (4, QUESTION.upper()), (5, None), (6, ""), (7, LONG + QUESTION), (None, QUESTION), (8, "Then: " + BROKEN)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("at", F.lit(1)).withColumn("copy", F.lit("x"))
+    found = {r.doc_id: r for r in templates.contaminated(docs, bench).collect()}
+    assert {i for i, r in found.items() if r.contaminated} == {1, 2, 4, 7} and {r.item_id for r in found.values()} == {1}
+    assert found[1].changed_slots == 0 and found[2].changed_slots >= 5
+    assert sorted(str(r.doc_id) for r in templates.clean(docs, bench).collect()) == ["3", "5", "6", "8", "None"]
+    assert templates.clean(docs, bench).columns == docs.columns
+    assert templates.contaminated(docs.limit(0), bench).count() == templates.contaminated(docs, bench.limit(0)).count() == 0
+
+
+REPEATED = "He buys 5 green apples at the market and then sells 5 green apples at the corner of the old street"
+COUNTED = "Tom has 2 red apples and 3 ripe pears in the basket and then eats one of the ripe pears today"
+
+
+def test_one_unclear_slot_takes_its_own_windows_only(against):
+    found = against([REPEATED], [REPEATED, REPEATED.replace("sells 5", "sells 6"), REPEATED.replace("buys 5", "buys 7").replace("sells 5", "sells 8")])
+    assert found[0, 0].coverage == 1 and found[1, 0].contaminated and found[1, 0].coverage == 1
+    assert not found[2, 0].contaminated
+
+
+def test_two_values_may_become_one(against):
+    same = COUNTED.replace("2 red", "4 red").replace("3 ripe", "4 ripe")
+    crossed = COUNTED.replace("2 red", "3 red").replace("3 ripe", "2 ripe")
+    other_is_old = COUNTED.replace("2 red", "3 red")
+    found = against([COUNTED], [same, crossed, other_is_old])
+    assert all(found[k, 0].contaminated and found[k, 0].coverage == 1 for k in range(3))
+    assert [found[k, 0].changed_slots for k in range(3)] == [2, 2, 1]
