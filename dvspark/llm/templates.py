@@ -20,7 +20,8 @@ hold it out of the alignment, not the others; if it stands for itself too, as
 in a copy with one place edited, only those in which it stands for several.
 Verbatim windows always stay.  The share of the item's windows that are left
 over all alignments is its coverage; from ``COVERAGE`` on, the document is
-contaminated by the item.
+contaminated by the item.  So it is, whatever the item's length, if windows
+left in one alignment cover ``RUN_WORDS`` tokens in a row.
 
 Only DataFrame and SQL functions run here.  The documents' windows are joined
 by a broadcast of the benchmark's while those are counted and few
@@ -45,6 +46,7 @@ from dvspark.llm.common import stored
 WINDOW = 8
 LITERAL = 4
 COVERAGE = 0.5
+RUN_WORDS = 50
 BROADCAST_WINDOWS = 500_000
 
 #: Units that are a slot when a number stands before them.
@@ -161,11 +163,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     clear = lambda x: (count(held(x), lambda s: s["i"]) == count(held(x), lambda s: F.struct(s["i"], s["d"]))) & ~F.exists(held(x), lambda s: F.array_contains("lost", s["i"]))
     left = F.filter("windows", lambda x: x["verbatim"] | clear(x))
     changed = F.size(F.filter("pairs", lambda q: ~F.array_contains("lost", q["i"]) & (q["i"] != q["d"])))
-    consistent = unclear.select("doc_id", "item_id", "version", "item_windows", changed.alias("changed"), F.explode(left).alias("x")).select("*", "x.at", "x.counted")
-    by_version = consistent.groupBy("doc_id", "item_id", "version").agg(F.countDistinct(F.when(F.col("counted"), F.col("at"))).alias("matched"), F.first("item_windows").alias("item_windows"), F.max("changed").alias("changed"))
-    best = by_version.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("matched", "item_windows", "changed"), F.struct(F.col("matched") / F.col("item_windows"), "matched", "version")).alias("b"))
+    kept = unclear.select("doc_id", "item_id", "version", "item_windows", changed.alias("changed"), left.alias("left"))
+    # The longest row of tokens that the windows left in one alignment cover.
+    at = F.array_sort(F.array_distinct(F.flatten(F.transform("left", lambda x: F.sequence(x["at"], end(x))))))
+    state = lambda last, now, most: F.struct(last.alias("last"), now.alias("now"), most.alias("most"))
+
+    def longer(run: Column, p: Column) -> Column:
+        now = F.when(p == run["last"] + 1, run["now"] + 1).otherwise(F.lit(1))
+        return state(p, now, F.greatest(run["most"], now))
+
+    run = F.aggregate(at, state(F.lit(-2), F.lit(0), F.lit(0)), longer, lambda r: r["most"])
+    consistent = kept.withColumn("run", run).select("*", F.explode("left").alias("x")).select("*", "x.at", "x.counted")
+    by_version = consistent.groupBy("doc_id", "item_id", "version").agg(F.countDistinct(F.when(F.col("counted"), F.col("at"))).alias("matched"), F.first("item_windows").alias("item_windows"), F.max("changed").alias("changed"), F.max("run").alias("run"))
+    best = by_version.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("matched", "item_windows", "changed"), F.struct(F.col("matched") / F.col("item_windows"), "matched", "version")).alias("b"), F.max("run").alias("run"))
     coverage = F.col("b.matched") / F.col("b.item_windows")
-    return best.select("doc_id", "item_id", F.col("b.matched").alias("matched_windows"), F.col("b.item_windows").alias("item_windows"), coverage.alias("coverage"), F.col("b.changed").cast("int").alias("changed_slots"), (coverage >= COVERAGE).alias("contaminated"))
+    found = (coverage >= COVERAGE) | (F.col("run") >= RUN_WORDS)
+    return best.select("doc_id", "item_id", F.col("b.matched").alias("matched_windows"), F.col("b.item_windows").alias("item_windows"), coverage.alias("coverage"), F.col("b.changed").cast("int").alias("changed_slots"), found.alias("contaminated"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -57,3 +57,11 @@ def test_two_values_may_become_one(against):
     found = against([COUNTED], [same, crossed, other_is_old])
     assert all(found[k, 0].contaminated and found[k, 0].coverage == 1 for k in range(3))
     assert [found[k, 0].changed_slots for k in range(3)] == [2, 2, 1]
+
+
+def test_a_long_passage_is_found_whatever_share_of_the_item_it_is(against):
+    words = [f"word{''.join(chr(97 + int(d)) for d in str(k))}" for k in range(300)]
+    behind, before = " Something else stands behind it.", "At first: "
+    found = against([" ".join(words)], [before + " ".join(words[40 : 40 + n]) + behind for n in (120, templates.RUN_WORDS, templates.RUN_WORDS - 1)] + [before + " ".join(words[:40]) + " other " + " ".join(words[41:80]) + behind])
+    assert all(r.coverage < 0.5 for r in found.values())
+    assert [found[k, 0].contaminated for k in range(4)] == [True, True, False, False]
