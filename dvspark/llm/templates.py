@@ -10,7 +10,9 @@ plain words at least, so that placeholders alone match nothing.
 
 Names depend on capitals, so the same tokens give a second set of windows, of
 their words and values in lower case without slots: copies in another case.
-An item's window counts as matched if either set hits.
+An item's window counts as matched if either set hits.  Items without a
+template window (lists of numbers, tables, names) are matched by the second set
+alone, so exactly.  Letters of scripts without blanks are a token each.
 
 For the documents with a hit, the slots' values come back in a second step:
 the hits of one item at one offset are one alignment.  Its slots are consistent
@@ -29,8 +31,9 @@ by a broadcast of the benchmark's while those are counted and few
 third of all documents makes one row for each of them and item, never pairs of
 documents.
 
-Defined cases: null and empty texts match nothing; items with fewer than
-LITERAL plain words can't be told from chance and match nothing; repeated
+Defined cases: null and empty texts match nothing, items without a token too;
+items of fewer than LITERAL tokens can't be told from chance inside a text and
+match the documents that hold these tokens and no others; repeated
 items are one by their item_id and text; rows that repeat a doc_id are one
 document; null ids match nothing; empty tables give no rows; extra columns are
 ignored.
@@ -59,6 +62,10 @@ _NUM, _UNIT, _NAME = "\u0001", "\u0002", "\u0003"
 _SPACE = r"\x01-\x03\t-\r\x85\p{Z}"
 
 
+#: Scripts without blanks: Thai, Lao, Myanmar, Khmer, Han, kana, Bopomofo.
+_NO_BLANKS = r"\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{2FD5}\x{3005}-\x{3007}\x{3021}-\x{3029}\x{3040}-\x{312F}\x{31A0}-\x{31BF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{A9E0}-\x{A9FF}\x{AA60}-\x{AA7F}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{20000}-\x{3FFFF}"
+
+
 def template_text(text: Column) -> Column:
     """The text, in lower case, with a mark before each slot's value."""
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
@@ -71,7 +78,8 @@ def template_text(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Tokens in order; a slot's is its mark and its value."""
-    return F.regexp_extract_all(template_text(F.coalesce(text, F.lit(""))), F.lit(rf"[{_NUM}{_UNIT}{_NAME}][^ ]*|[\p{{L}}\p{{M}}]+"), 0)
+    slot, letter, word = rf"[{_NUM}{_UNIT}{_NAME}][^ ]*", rf"[{_NO_BLANKS}&&[\p{{L}}\p{{M}}]]\p{{M}}*", rf"[\p{{L}}\p{{M}}&&[^{_NO_BLANKS}]]+"
+    return F.regexp_extract_all(template_text(F.coalesce(text, F.lit(""))), F.lit(f"{slot}|{word}|{letter}"), 0)
 
 
 def _is_slot(t: Column) -> Column:
@@ -90,32 +98,35 @@ def _plain(t: Column) -> Column:
 
 def _items(benchmark: DataFrame) -> DataFrame:
     rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    return rows.withColumn("t", tokens(F.col("text"))).where(F.size(F.filter("t", lambda t: ~_is_slot(t))) >= LITERAL)
+    return rows.withColumn("t", tokens(F.col("text"))).where(F.size("t") > 0)
 
 
-def _windows(rows: DataFrame, *keep: str, width: Column | int) -> DataFrame:
-    """at, verbatim, window (hash): every window of ``width`` tokens of column ``t`` as a template, then each again with its words and values."""
-    w = width if isinstance(width, Column) else F.lit(width)
-    rows = rows.withColumn("w", w).withColumn("h", F.transform("t", lambda t: F.xxhash64(_template(t)))).withColumn("v", F.transform("t", lambda t: F.xxhash64(_plain(t))))
+def _windows(rows: DataFrame, *keep: str, widths: Column) -> DataFrame:
+    """w, at, verbatim, window (hash): every window of each of the ``widths`` over column ``t`` as a template, then each again with its words and values."""
+    rows = rows.withColumn("h", F.transform("t", lambda t: F.xxhash64(_template(t)))).withColumn("v", F.transform("t", lambda t: F.xxhash64(_plain(t))))
+    rows = rows.select(*keep, "h", "v", F.explode(widths).alias("w"))
+    n = F.size("h") - F.col("w") + 1
+    # Below LITERAL tokens: only the whole text.
+    some = (n == 1) | ((n > 1) & (F.col("w") >= LITERAL))
 
     def hashed(h: str) -> Column:
-        n = F.size(h) - F.col("w") + 1
-        return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(h, i, F.col("w"))))).otherwise(F.array().cast("array<long>"))
+        return F.when(some, F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(h, i, F.col("w"))))).otherwise(F.array().cast("array<long>"))
 
-    n = F.size("t") - F.col("w") + 1
     found = rows.select(*keep, "w", n.alias("n"), F.posexplode(F.concat(hashed("h"), hashed("v"))).alias("k", "window"))
     return found.select(*keep, "w", F.pmod("k", "n").alias("at"), (F.col("k") >= F.col("n")).alias("verbatim"), "window")
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, version, at, w, verbatim, window, counted and the item's number of counted windows; templates only with enough plain words."""
-    items = _items(benchmark).withColumn("literal", F.transform("t", lambda t: (~_is_slot(t)).cast("int")))
-    found = _windows(items, "item_id", "text", "literal", width=F.least(F.size("t"), F.lit(WINDOW)))
+    items = _items(benchmark).withColumn("literal", F.transform("t", lambda t: (~_is_slot(t)).cast("int"))).withColumn("size", F.size("t"))
+    found = _windows(items, "item_id", "text", "literal", widths=F.array(F.least("size", F.lit(WINDOW))))
     plain = F.aggregate(F.slice("literal", F.col("at") + 1, F.col("w")), F.lit(0), lambda a, b: a + b)
-    found = found.withColumn("counted", plain >= LITERAL).where("verbatim OR counted")
-    found = found.select("item_id", F.xxhash64("text").alias("version"), "at", "w", "verbatim", "window", "counted")
-    sizes = found.where("verbatim").groupBy("item_id", "version").agg(F.count_if("counted").alias("item_windows")).where("item_windows > 0")
-    return found.join(sizes, ["item_id", "version"])
+    found = found.withColumn("enough", plain >= LITERAL).where("verbatim OR enough")
+    found = found.select("item_id", F.xxhash64("text").alias("version"), "at", "w", "verbatim", "window", "enough")
+    sizes = found.where("verbatim").groupBy("item_id", "version").agg(F.count_if("enough").alias("templates"), F.count(F.lit(1)).alias("all"))
+    # Counted are the windows with enough plain words, or all if there is none.
+    found = found.join(sizes, ["item_id", "version"]).withColumn("counted", F.col("enough") | (F.col("templates") == 0))
+    return found.select("item_id", "version", "at", "w", "verbatim", "window", "counted", F.when(F.col("templates") > 0, F.col("templates")).otherwise(F.col("all")).alias("item_windows"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -128,11 +139,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     tokened = rows.select("doc_id", F.xxhash64("text").alias("copy"), tokens(F.col("text")).alias("t"))
     schema = "doc_id long, copy long, w int, at int, window long"
-    hits = None
-    for w in widths:
-        found = _windows(tokened, "doc_id", "copy", width=w).join(F.broadcast(wanted) if few else wanted, ["w", "window"], "left_semi").select("doc_id", "copy", "w", "at", "window")
-        hits = found if hits is None else hits.union(found)
-    hits = stored(hits if hits is not None else spark.createDataFrame([], schema), "window-hits")
+    hits = spark.createDataFrame([], schema)
+    if widths:
+        found = _windows(tokened, "doc_id", "copy", widths=F.array(*map(F.lit, widths)))
+        hits = found.join(F.broadcast(wanted) if few else wanted, ["w", "window"], "left_semi").select("doc_id", "copy", "w", "at", "window")
+    hits = stored(hits, "window-hits")
 
     # One row for each window of an item that a document has at one offset; a verbatim one has its words, whatever set of the document hit.
     matched = hits.withColumnRenamed("at", "doc_at").join(items, ["w", "window"]).withColumn("offset", F.col("doc_at") - F.col("at"))

@@ -65,3 +65,11 @@ def test_a_long_passage_is_found_whatever_share_of_the_item_it_is(against):
     found = against([" ".join(words)], [before + " ".join(words[40 : 40 + n]) + behind for n in (120, templates.RUN_WORDS, templates.RUN_WORDS - 1)] + [before + " ".join(words[:40]) + " other " + " ".join(words[41:80]) + behind])
     assert all(r.coverage < 0.5 for r in found.values())
     assert [found[k, 0].contaminated for k in range(4)] == [True, True, False, False]
+
+
+def test_items_without_a_template_window_match_exactly(against):
+    items = ["法国的首都是哪座城市？请选择正确的答案。", "3, 14, 15, 92, 65, 35, 89, 79, 32, 38, 46, 26", "of Anna Bob, Tom Mary, Paul 7 km", "Paris", "ประเทศไทยมีกี่จังหวัด"]
+    texts = [f"Some words stand first: {item} And others follow it." for item in items]
+    found = against(items, [*texts, "Paris!", texts[1].replace("92, 65", "93, 66"), "我们昨天去了城市里的一家新的饭店吃饭。"])
+    assert {k for k, r in found.items() if r.contaminated} == {(0, 0), (1, 1), (2, 2), (4, 4), (5, 3)}
+    assert all(found[k, k].coverage == 1 for k in (0, 1, 2, 4))
