@@ -162,19 +162,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     covered = F.array_distinct(F.flatten(F.transform(templates, lambda x: F.sequence(x["at"], end(x)))))
     slot_at = F.filter(covered, lambda p: _is_slot(F.get(F.col("item_values"), p)))
     slots = F.transform(slot_at, lambda p: F.struct(p.alias("p"), F.get("item_values", p).alias("i"), F.get("doc_values", p + F.col("offset").cast("int")).alias("d")))
-    slotted = both.select("doc_id", "copy", "item_id", "version", "windows", "item_windows", slots.alias("slots"))
+    # Each step is stored: the next one's functions run for every slot and window and must not hold this one's in them.
+    slotted = stored(both.select("doc_id", "copy", "item_id", "version", "windows", "item_windows", slots.alias("slots")), "alignment-slots")
     # Values of the item that stand for several of the document; lost: and never for themselves.
-    valued = slotted.withColumn("pairs", F.array_distinct(F.transform("slots", lambda s: F.struct(s["i"].alias("i"), s["d"].alias("d")))))
+    valued = stored(slotted.withColumn("pairs", F.array_distinct(F.transform("slots", lambda s: F.struct(s["i"].alias("i"), s["d"].alias("d"))))), "alignment-pairs")
     values = F.transform("pairs", lambda q: q["i"])
-    unclear = valued.withColumn("unclear", F.array_distinct(F.filter(values, lambda v: F.size(F.filter("pairs", lambda q: q["i"] == v)) > 1)))
+    several = F.array_distinct(F.filter(values, lambda v: F.size(F.filter("pairs", lambda q: q["i"] == v)) > 1))
+    one_each = F.size(F.array_distinct(values)) == F.size("pairs")
+    unclear = stored(valued.withColumn("unclear", F.when(one_each, F.array().cast("array<string>")).otherwise(several)), "alignment-values")
     unclear = unclear.withColumn("lost", F.filter("unclear", lambda v: ~F.exists("pairs", lambda q: (q["i"] == v) & (q["d"] == v))))
-    unclear = unclear.withColumn("unclear_slots", F.filter("slots", lambda s: F.array_contains("unclear", s["i"])))
+    unclear = stored(unclear.withColumn("unclear_slots", F.filter("slots", lambda s: F.array_contains("unclear", s["i"]))), "alignment-unclear")
     held = lambda x: F.filter("unclear_slots", lambda s: s["p"].between(x["at"], end(x)))
     count = lambda slots, of: F.size(F.array_distinct(F.transform(slots, of)))
     clear = lambda x: (count(held(x), lambda s: s["i"]) == count(held(x), lambda s: F.struct(s["i"], s["d"]))) & ~F.exists(held(x), lambda s: F.array_contains("lost", s["i"]))
     left = F.filter("windows", lambda x: x["verbatim"] | clear(x))
     changed = F.size(F.filter("pairs", lambda q: ~F.array_contains("lost", q["i"]) & (q["i"] != q["d"])))
-    kept = unclear.select("doc_id", "item_id", "version", "item_windows", changed.alias("changed"), left.alias("left"))
+    kept = stored(unclear.select("doc_id", "item_id", "version", "item_windows", changed.alias("changed"), left.alias("left")), "alignments-left")
     # The longest row of tokens that the windows left in one alignment cover.
     at = F.array_sort(F.array_distinct(F.flatten(F.transform("left", lambda x: F.sequence(x["at"], end(x))))))
     state = lambda last, now, most: F.struct(last.alias("last"), now.alias("now"), most.alias("most"))
@@ -183,7 +186,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         now = F.when(p == run["last"] + 1, run["now"] + 1).otherwise(F.lit(1))
         return state(p, now, F.greatest(run["most"], now))
 
-    run = F.aggregate(at, state(F.lit(-2), F.lit(0), F.lit(0)), longer, lambda r: r["most"])
+    kept = stored(kept.withColumn("covered", at), "alignments-covered")
+    run = F.aggregate("covered", state(F.lit(-2), F.lit(0), F.lit(0)), longer, lambda r: r["most"])
     consistent = kept.withColumn("run", run).select("*", F.explode("left").alias("x")).select("*", "x.at", "x.counted")
     by_version = consistent.groupBy("doc_id", "item_id", "version").agg(F.countDistinct(F.when(F.col("counted"), F.col("at"))).alias("matched"), F.first("item_windows").alias("item_windows"), F.max("changed").alias("changed"), F.max("run").alias("run"))
     best = by_version.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("matched", "item_windows", "changed"), F.struct(F.col("matched") / F.col("item_windows"), "matched", "version")).alias("b"), F.max("run").alias("run"))
