@@ -224,8 +224,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Crf | None:
     """Learns from the labelled texts of ``docs`` whose label row is ``usable``."""
     known = labels.where(usable).where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_TEXTS)
-    # At most TRAIN_TEXTS short rows: the documents stay where they are.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "quality")
+    # At most TRAIN_TEXTS short rows, one for a doc_id: the documents stay where they are.
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("quality").alias("quality")).select("text", "quality")
     found = rows.mapInArrow(_features_of, "x binary, size binary, quality int").where("x IS NOT NULL").collect()
     if not found:
         return None
