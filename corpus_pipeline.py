@@ -4,17 +4,21 @@ Each stage takes what the one before it kept, as a table of the shape of
 ``documents``, and its decisions take effect; the last returns the ids.  Rows
 stay whole: a stage keeps a row with all its columns or drops it.
 
-Defined cases, beside those of the operators: rows that repeat a doc_id count
-as one document and leave near-duplicate removal as one row (the smallest
-text); rows with a null doc_id are never duplicates of anything and stay;
-tables without rows give none.
+Near duplicates and benchmark items go by row, not by doc_id: a row is named by
+a hash of its doc_id and text (``row_id``).
+
+Defined cases, beside those of the operators: rows that repeat a doc_id with
+another text are documents of their own; rows that repeat both are one, the
+smallest by the other columns; rows with a null doc_id are treated as all
+others, but of a group of near copies a row with a doc_id stays first; tables
+without rows give none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dvspark.llm import bpe, langid, line_crf, neardup, templates
@@ -39,18 +43,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("_lang_pred") != langid.UND) & (F.col("_lang_score") >= LANGUAGE_SCORE)).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
+def row_id() -> Column:
+    """Hash of doc_id and text, with nulls marked."""
+    return F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies: similarity 0.8 or more (7)."""
-    gone = neardup.near_duplicates(docs, percent=NEAR_PERCENT).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
-    of_id = Window.partitionBy("doc_id").orderBy("text")
-    one = left.where("doc_id IS NOT NULL").withColumn("_copy", F.row_number().over(of_id)).where("_copy = 1").drop("_copy")
-    return one.unionByName(left.where("doc_id IS NULL"))
+    """Keeps the row with the smallest doc_id of each group of near copies: similarity 0.8 or more (7)."""
+    rows = docs.withColumn("_row", row_id())
+    found = neardup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), percent=NEAR_PERCENT)
+    found = found.select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    placed = stored(found.join(rows.select("_row", "doc_id").distinct(), "_row"), "placed-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
+    stay = placed.groupBy("component_id").agg(first.alias("_first")).select("_first._row")
+    gone = placed.join(stay, "_row", "left_anti").select(F.col("_row").alias("_gone"))
+    left = rows.join(gone, rows["_row"] == gone["_gone"], "left_anti")
+    one = left.groupBy("_row").agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("_first"))
+    return one.select(*(F.col(f"_first.`{c}`") for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item, with other numbers or names too (8)."""
-    return templates.clean(docs, table(spark, sf_dir, "benchmark"))
+    rows = docs.withColumn("_row", row_id())
+    found = templates.contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    bad = found.where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    return rows.join(bad, rows["_row"] == bad["_bad"], "left_anti").drop("_row")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from dvspark.llm import neardup
+from dvspark.llm import line_crf, neardup
 
 from .test_text_operators import components_by_force, shingles
 
@@ -32,3 +34,24 @@ def test_near_duplicate_stage_equals_brute_force_at_080(spark):
 
 def test_matches_needed_keep_the_chance_of_a_miss_below_the_bound():
     assert neardup.matches_needed(85) == 39 and neardup.matches_needed(80) == 34 and neardup.matches_needed(100) == 64
+
+
+def test_rows_of_one_doc_id_are_judged_by_their_own_text(spark, tmp_dir):
+    one, two, item = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(5, one, 1), (5, two, 1), (5, two, 1), (9, two, 1), (None, one, 1), (None, item, 1), (None, "only here", 2), (7, None, 1), (8, None, 1), (None, "", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    left = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns
+    assert sorted(map(str, left.collect())) == sorted(map(str, docs.distinct().where("coalesce(doc_id, 0) <> 9 AND NOT (doc_id IS NULL AND text LIKE 'a%')").collect()))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    clean = corpus_pipeline.decontamination(spark, left.union(spark.createDataFrame([(5, item, 1)], docs.schema)), tmp_dir)
+    assert clean.columns == docs.columns and clean.where(F.col("text") == item).count() == 0 and clean.count() == left.count() - 1
+
+
+def test_a_repeated_doc_id_trains_as_one_text(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(line_crf, "fit", lambda x, size, first, label: seen.append(label.tolist()))
+    docs = spark.createDataFrame([(1, f"Some line of text {k}.") for k in range(50)] + [(2, "Another line of it."), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    line_crf.train(docs, labels, F.lit(True))
+    assert [sorted(s) for s in seen] == [[0, 1, 1]]
