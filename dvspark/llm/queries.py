@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dvspark.llm import bpe, kmeans_tree, langid, line_crf, neardup, ngram_lm, prefix_counts, quotes, templates, warc
+from dvspark.llm import bpe, kmeans_tree, langid, line_crf, mixing, neardup, ngram_lm, prefix_counts, quotes, templates, warc
 from dvspark.llm.common import ORACLE, QUERIES, fold, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -198,3 +198,35 @@ WITH RECURSIVE w AS (
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
 FROM w JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)
 """
+
+
+@query
+def op11_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources to weights 1, 2, 3, ... takes of every document."""
+    return mixing.words_taken(mixing.mix(table(spark, sf_dir, "documents"))).drop("source", "src")
+
+
+#: A source's slots take the first ``goal`` words of its stream, over and over: what each document's share of them is.
+ORACLE["op11_golden_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(md5(text), 'null') AS digest, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::HUGEINT AS source_size, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::HUGEINT AS weight FROM d GROUP BY source
+), o AS (
+  SELECT *, row_number() OVER w AS nth, sum(source_size) OVER () - (sum(3 * source_size) OVER w - 3 * source_size) AS remaining, sum(weight) OVER () - (sum(weight) OVER w - weight) AS share
+  FROM s WINDOW w AS (ORDER BY source_size::DOUBLE / weight::DOUBLE, source NULLS LAST ROWS UNBOUNDED PRECEDING)
+), level AS (
+  SELECT arg_min(remaining, nth)::HUGEINT AS remaining, arg_min(share, nth)::HUGEINT AS share FROM o WHERE 3 * source_size * share >= weight * remaining
+), t AS (
+  SELECT source, source_size, weight * level.remaining > 3 * source_size * level.share AS above, weight * level.remaining AS wanted, level.share FROM s, level
+), g AS (
+  SELECT source, source_size, CASE WHEN above THEN 3.0 * source_size::DOUBLE ELSE wanted::DOUBLE / share::DOUBLE END AS target, CASE WHEN above THEN 3 * source_size ELSE wanted // share END AS goal FROM t
+), h AS (
+  SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || digest), 1, 15))::BIGINT AS place FROM d
+), placed AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY place, doc_id NULLS FIRST, digest ROWS UNBOUNDED PRECEDING) - size AS start FROM h
+)
+SELECT doc_id, size, g.source_size::BIGINT AS source_size, target,
+       coalesce((goal // g.source_size) * size + least(greatest(goal % g.source_size - start, 0), size), 0)::BIGINT AS taken
+FROM placed JOIN g ON g.source IS NOT DISTINCT FROM placed.source
+"""
