@@ -50,7 +50,7 @@ CHUNK = 1 << 16
 #: Stretches of the cumulative targets that slots and sources meet on.
 CELLS = 1 << 16
 #: Entries that are ordered together, about.
-CELL_ROWS = 1 << 15
+CELL_ROWS = 1 << 11
 #: Hexadecimal digits of the hash that shuffles.
 DIGITS = 15
 
