@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dvspark.llm import bpe, kmeans_tree, langid, line_crf, mixing, neardup, ngram_lm, prefix_counts, quotes, templates, warc
+from dvspark.llm import bpa_search, bpe, kmeans_tree, langid, line_crf, mixing, neardup, ngram_lm, prefix_counts, quotes, templates, warc
 from dvspark.llm.common import ORACLE, QUERIES, fold, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -230,3 +230,35 @@ SELECT doc_id, size, g.source_size::BIGINT AS source_size, target,
        coalesce((goal // g.source_size) * size + least(greatest(goal % g.source_size - start, 0), size), 0)::BIGINT AS taken
 FROM placed JOIN g ON g.source IS NOT DISTINCT FROM placed.source
 """
+
+
+@query
+def op12_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 documents that score highest for each benchmark item."""
+    return bpa_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE["op12_best_position_search"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS ts FROM documents
+), sizes AS (
+  SELECT row, doc_id, len(ts)::BIGINT AS n FROM d WHERE len(ts) > 0
+), overall AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes
+), tf AS (
+  SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(ts) AS term FROM d) GROUP BY row, term
+), df AS (
+  SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term
+), w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w FROM df, overall
+), asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item_id, term
+), scores AS (
+  SELECT item_id, row, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN w USING (term) JOIN sizes USING (row), overall GROUP BY item_id, row
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+FROM scores JOIN sizes USING (row) WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
