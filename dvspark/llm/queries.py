@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dvspark.llm import bpa_search, bpe, kmeans_tree, langid, line_crf, mixing, neardup, ngram_lm, prefix_counts, quotes, templates, warc
+from dvspark.llm import bpa_search, bpe, kmeans_tree, langid, line_crf, mixing, neardup, ngram_lm, prefix_counts, quotes, son_phrases, templates, warc
 from dvspark.llm.common import ORACLE, QUERIES, fold, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -262,3 +262,43 @@ SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 FROM scores JOIN sizes USING (row) WHERE score > 0
 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
 """
+
+
+@query
+def op13_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of 2 to 3 words of every language."""
+    return son_phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_son_collocations"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)
+), starts AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces WHERE len(ws) > 0
+), grams AS (
+  SELECT lang, [ws[i]] AS p FROM starts
+  UNION ALL SELECT lang, ws[i : i + 1] FROM starts WHERE i + 1 <= len(ws)
+  UNION ALL SELECT lang, ws[i : i + 2] FROM starts WHERE i + 2 <= len(ws)
+), totals AS (
+  SELECT lang, count(*)::BIGINT AS n FROM starts GROUP BY lang
+), f AS (
+  SELECT lang, p, count(*)::HUGEINT AS f FROM grams GROUP BY lang, p HAVING count(*) >= 10
+), cuts AS (
+  SELECT lang, p, f AS a, unnest(range(1, len(p))) AS k FROM f WHERE len(p) > 1
+), scores AS (
+  SELECT c.lang, c.p, c.a, c.k, l.f AS l, r.f AS r, (1000000::HUGEINT * c.a * c.a) // (l.f * r.f) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.p = c.p[1 : c.k] JOIN f r ON r.lang = c.lang AND r.p = c.p[c.k + 1 : len(c.p)]
+), lowest AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inner_ AS (
+  SELECT lang, q, max(f) AS f FROM (SELECT lang, p[1 : 2] AS q, f FROM f WHERE len(p) = 3 UNION ALL SELECT lang, p[2 : 3], f FROM f WHERE len(p) = 3) GROUP BY lang, q
+), kept AS (
+  SELECT s.lang, array_to_string(s.p, ' ') AS phrase, s.a, s.l, s.r, s.score FROM lowest s LEFT JOIN inner_ i ON i.lang = s.lang AND i.q = s.p
+  WHERE i.f IS NULL OR 100 * i.f < 50 * s.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
