@@ -190,13 +190,13 @@ def latest_version(
 
 
 def within_dates(stored: DataFrame, batch: DataFrame, date_col: str) -> DataFrame:
-    """``stored`` between the first and last business date of ``batch``.
+    """``stored`` between the first and last business date of ``batch``, and its rows without a date.
 
     The bounds are scalar subqueries of one plan, so a scan of a table
     partitioned by ``date_col`` reads the batch's days only.
     """
     lo, hi = batch.select(F.min(date_col)).scalar(), batch.select(F.max(date_col)).scalar()
-    return stored.where((F.col(date_col) >= lo) & (F.col(date_col) <= hi))
+    return stored.where(((F.col(date_col) >= lo) & (F.col(date_col) <= hi)) | F.col(date_col).isNull())
 
 
 def satellite_delta(

@@ -998,23 +998,62 @@ def q_stream_dedup(spark, sf_dir):
     _, s2 = _event_stream(spark, sf_dir)
     base = work_path(spark, "stream_dedup")
     for k, stream in enumerate((s1.unionByName(s2), _event_stream(spark, sf_dir)[1])):
-        X.first_wins_stream(spark, stream, f"{base}/out", f"{base}/_checkpoint-{k}", ["event_id"], "ts", ["ts"], name=f"delivery-{k}")
+        X.first_wins_stream(spark, stream, f"{base}/out", f"{base}/_checkpoint-{k}", ["event_id"], "ts", ["ts"])
     return P.read_loads(spark, f"{base}/out", schema)
 
 
+UNTIMED = 10**12  # added to the ids of the copies without a time
+
+_EVENTS_AND_UNTIMED = f"SELECT * FROM events UNION ALL SELECT * REPLACE (event_id + {UNTIMED} AS event_id, CAST(NULL AS TIMESTAMP) AS ts) FROM events"
+
+
+def _land_halves(spark, sf_dir, landing: str) -> list[str]:
+    """The newer half of the events, the older half and copies of all without a time, each in a folder of its own."""
+    events = tv.events_ticks(spark, sf_dir)
+    middle = events.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).scalar()
+    newer = F.unix_micros(F.col("ts").cast("timestamp")) > middle
+    untimed = events.withColumns({"event_id": F.col("event_id") + UNTIMED, "ts": F.lit(None).cast("timestamp_ntz")})
+    parts = {"newer": events.where(newer), "older": events.where(~newer), "untimed": untimed}
+    for name, rows in parts.items():
+        rows.coalesce(1).write.parquet(f"{landing}/{name}")
+    return [f"{landing}/{name}" for name in parts]
+
+
+@register("stream_two_feeds", _EVENTS_AND_UNTIMED)
+def q_stream_two_feeds(spark, sf_dir):
+    """Two feeds with checkpoints of their own, the second with rows without a time, and a new checkpoint of the first, into one table."""
+    schema, base = tv.events_ticks(spark, sf_dir).schema, work_path(spark, "stream_two_feeds")
+    newer, older, untimed = _land_halves(spark, sf_dir, f"{base}/landing")
+    for k, paths in enumerate(([newer], [older, untimed], [newer])):
+        for path in paths:
+            X.first_wins_stream(spark, spark.readStream.schema(schema).parquet(path), f"{base}/out", f"{base}/_checkpoint-{k}-{path.rpartition('/')[2]}", ["event_id"], "ts", ["ts"])
+    return X.read_loaded(spark, f"{base}/out", schema)
+
+
+@register("stream_dedup_state", _EVENTS_AND_UNTIMED)
+def q_stream_dedup_state(spark, sf_dir):
+    """X2 by the state store: the newer half first, then what lies behind the watermark, rows without a time, and all once more."""
+    schema, base = tv.events_ticks(spark, sf_dir).schema, work_path(spark, "stream_dedup_state")
+    landed = [spark.read.schema(schema).parquet(p) for p in _land_halves(spark, sf_dir, f"{base}/landed")]
+    for rows in [*landed, *landed]:
+        rows.write.mode("append").parquet(f"{base}/landing")
+        X.dedup_stream(spark, spark.readStream.schema(schema).parquet(f"{base}/landing"), f"{base}/out", f"{base}/_checkpoint", ["event_id"], "ts", ["ts"], "1 day")
+    return X.read_loaded(spark, f"{base}/out", schema)
+
+
 @register("stream_sat_delta", O.sql("SELECT * FROM sat_quote_prices", "sat_quote_prices"))
 def q_stream_sat_delta(spark, sf_dir):
     """Raw loads landed in arrival order, satellite delta per micro-batch = bulk history."""
     base = work_path(spark, "stream_sat_delta")
     raw = tv.raw_quotes(spark, sf_dir)
-    raw.where(F.col("source") == tv.INTRADAY_SOURCE).write.parquet(f"{base}/landing")
-    raw.where(F.col("source") == tv.EOD_SOURCE).write.mode("append").parquet(f"{base}/landing")
-    # One file a trigger: several micro-batches, as small deliveries make them.
+    # One file a load and one file a trigger: two micro-batches, however many cores write them.
+    raw.where(F.col("source") == tv.INTRADAY_SOURCE).coalesce(1).write.parquet(f"{base}/landing")
+    raw.where(F.col("source") == tv.EOD_SOURCE).coalesce(1).write.mode("append").parquet(f"{base}/landing")
     source = spark.readStream.schema(S.RAW_QUOTES).option("maxFilesPerTrigger", 1).parquet(f"{base}/landing")
     X.satellite_stream(
         spark, source, f"{base}/sat", f"{base}/_checkpoint", QUOTE_GRAIN, SAT_QUOTE_COLS, S.SAT_QUOTE_PRICES, quote_versions, "trade_date"
     )
-    return X.read_loaded(spark, f"{base}/sat", S.SAT_QUOTE_PRICES)
+    return X.read_satellite(spark, f"{base}/sat", S.SAT_QUOTE_PRICES)
 
 
 @register(
@@ -1032,9 +1071,8 @@ def q_stream_ohlc(spark, sf_dir):
     """Daily OHLC bars from the tick stream, the still-open last day included."""
     _, ticks = _event_stream(spark, sf_dir)
     base = work_path(spark, "stream_ohlc")
-    X.ohlc_stream(spark, ticks, f"{base}/ticks", f"{base}/bars", f"{base}/_checkpoint")
-    bars = X.ohlc_of_ticks(tv.events_ticks(spark, sf_dir)).schema
-    return spark.read.schema(bars).parquet(f"{base}/bars").select(*bars.names)
+    X.ohlc_stream(spark, ticks, f"{base}/parts", f"{base}/bars", f"{base}/_checkpoint")
+    return X.read_bars(spark, f"{base}/bars")
 
 
 @register(

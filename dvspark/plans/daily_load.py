@@ -104,7 +104,7 @@ def read_vault(spark: SparkSession, root: str, name: str, exclude_load: str | No
 def _append(root: str, zone: str, name: str, rows: DataFrame, load_id: str) -> None:
     schema = VAULT_TABLES[name] if zone == "vault" else RAW_TABLES[name][0]
     parts = [DATE_PARTITION[name]] if name in DATE_PARTITION else []
-    P.append_partition(rows.select(*[f.name for f in schema.fields]), table_path(root, zone, name), load_id, parts)
+    P.append_load(rows.select(*[f.name for f in schema.fields]), table_path(root, zone, name), load_id, parts)
 
 
 def land_raw(
@@ -150,7 +150,7 @@ def land_raw(
         good, rejected = MSG.decode_instrument_messages(messages, tz=session_tz(spark), default_loaded_at=loaded_at)
         land("raw_instruments", good, rejected, Q.instrument_rules(), "instrument_messages")
     if bad:
-        P.append_partition(Q.union_all(bad), table_path(root, "raw", "quarantine"), load_id)
+        P.append_load(Q.union_all(bad), table_path(root, "raw", "quarantine"), load_id)
 
 
 def load_vault(

@@ -42,11 +42,11 @@ def test_daily_loads_equal_bulk_and_retry_is_a_no_op(spark, tmp_dir):
     assert _rows(D.read_vault(spark, root, "sat_quote_prices")) == before  # fresh read: file listings change
 
     D.build_marts(spark, root, days, dt.datetime(2024, 1, 4, 20), fx=False)
-    mart = spark.read.schema(S.DM_QUOTES_DAILY).parquet(D.table_path(root, "dm", "dm_quotes_daily"))
+    mart = P.read_published(spark, D.table_path(root, "dm", "dm_quotes_daily"), S.DM_QUOTES_DAILY)
     run = F.lit("2024-01-04 20:00:00").cast("timestamp_ntz")
     expected = M.mart_quotes_daily(C.sat_quotes(raw), C.hub_instrument(raw), C.sat_details(inst), loaded_at=run)
     assert _rows(mart.select(*expected.columns)) == _rows(expected)
-    log = spark.read.schema(S.MART_REFRESH_LOG).parquet(D.table_path(root, "dm", "mart_refresh_log") + "/version=1")
+    log = P.read_versioned(spark, D.table_path(root, "dm", "mart_refresh_log"), S.MART_REFRESH_LOG)
     assert log.count() == len(days)
 
 
@@ -57,7 +57,7 @@ def test_fx_load_and_mart(spark, tmp_dir):
         D.load_vault(spark, root, src, rates=rates.where(F.col("source") == src))
     dates = [r.rate_date for r in rates.select("rate_date").distinct().collect()]
     D.build_marts(spark, root, dates, dt.datetime(1995, 2, 1, 20))
-    fx = spark.read.schema(S.DM_FX_RATES).parquet(D.table_path(root, "dm", "dm_fx_rates"))
+    fx = P.read_published(spark, D.table_path(root, "dm", "dm_fx_rates"), S.DM_FX_RATES)
     run = F.lit("1995-02-01 20:00:00").cast("timestamp_ntz")
     expected = M.mart_fx_rates(C.sat_rates(rates), C.lnk_rate_currency(rates), C.hub_currency(rates), loaded_at=run)
     assert _rows(fx.select(*expected.columns)) == _rows(expected)
@@ -85,12 +85,12 @@ def test_stored_scan_of_a_delta_is_bounded_by_the_batch_dates(spark, tmp_dir):
 def test_corrected_retry_replaces_its_load(spark, tmp_dir):
     path = os.path.join(tmp_dir, "t")
     raw = tv.raw_quotes(spark, SF_SMALL).where(F.col("trade_date") <= "2024-01-03")
-    P.append_partition(raw, path, "l1", ["trade_date"])
-    P.append_partition(raw.where(F.col("trade_date") == "2024-01-03"), path, "l2", ["trade_date"])
+    P.append_load(raw, path, "l1", ["trade_date"])
+    P.append_load(raw.where(F.col("trade_date") == "2024-01-03"), path, "l2", ["trade_date"])
     fewer = raw.where(F.col("trade_date") <= "2024-01-02")
-    P.append_partition(fewer, path, "l1", ["trade_date"])  # corrected: a day less
+    P.append_load(fewer, path, "l1", ["trade_date"])  # corrected: a day less
     assert _rows(P.read_loads(spark, path, S.RAW_QUOTES, only_load="l1")) == _rows(fewer)
-    P.append_partition(raw.limit(0), path, "l1", ["trade_date"])  # corrected: nothing
+    P.append_load(raw.limit(0), path, "l1", ["trade_date"])  # corrected: nothing
     assert P.read_loads(spark, path, S.RAW_QUOTES, only_load="l1").count() == 0
     assert P.read_loads(spark, path, S.RAW_QUOTES, only_load="l2").count() > 0
 
@@ -115,7 +115,7 @@ def test_gates_stop_a_broken_load_and_skip_an_empty_one(spark, tmp_dir):
     when = dt.datetime(2023, 3, 14, 20)
     assert D.run_load(spark, root, "a", when, quotes=landing) == "ok"
     assert D.run_load(spark, root, "b", when, quotes=landing) == "skip"  # the same bars again: nothing new
-    P.append_partition(D.read_vault(spark, root, "hub_instrument"), D.table_path(root, "vault", "hub_instrument"), "copy")
+    P.append_load(D.read_vault(spark, root, "hub_instrument"), D.table_path(root, "vault", "hub_instrument"), "copy")
     body["Time Series (Daily)"]["2023-03-15"] = body["Time Series (Daily)"]["2023-03-14"]
     with open(os.path.join(landing, "ZQX.json"), "w") as out:
         json.dump(body, out)

@@ -36,7 +36,7 @@ def test_satellite_stream_replay_is_a_no_op(spark, tmp_dir):
     def run():
         src = spark.readStream.schema(S.RAW_QUOTES).option("maxFilesPerTrigger", 1).parquet(landing)
         X.satellite_stream(spark, src, target, ckpt, C.QUOTE_GRAIN, C.SAT_QUOTE_COLS, S.SAT_QUOTE_PRICES, C.quote_versions, "trade_date")
-        return _rows(X.read_loaded(spark, target, S.SAT_QUOTE_PRICES))
+        return _rows(X.read_satellite(spark, target, S.SAT_QUOTE_PRICES))
 
     first = run()
     assert first == _rows(C.sat_quotes(raw))  # incremental stream = bulk history
@@ -98,7 +98,7 @@ def test_bars_of_late_ticks_are_corrected(spark, tmp_dir):
         part.write.mode("append").parquet(landing)
         X.ohlc_stream(spark, spark.readStream.schema(ev.schema).parquet(landing), *paths)
     expected = X.ohlc_of_ticks(ev)
-    assert _rows(spark.read.schema(expected.schema).parquet(paths[1]).select(*expected.columns)) == _rows(expected)
+    assert _rows(X.read_bars(spark, paths[1])) == _rows(expected)
 
 
 def test_replayed_batch_keeps_its_default_time(spark, tmp_dir):
