@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,18 +30,28 @@ def hours_after(day_col, hours: int) -> Column:
     return as_col(day_col).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hours))
 
 
-def unread_files(spark: SparkSession, path: str, docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, text) of the files below ``path`` that gave no document: empty, or cut off inside their only element.
+def _decoded(content: str, charset: str) -> Column:
+    """Bytes as text.  One-byte charsets that ``decode`` lacks are read as ISO 8859-1, a character a byte, and then mapped."""
+    if charset.lower().startswith(("utf-", "us-ascii", "iso-8859-1")):
+        return F.decode(content, charset)
+    upper = range(0x80, 0x100)
+    mapped = "".join(bytes([b]).decode(charset, errors="ignore") or chr(b) for b in upper)
+    return F.translate(F.decode(content, "ISO-8859-1"), "".join(map(chr, upper)), mapped)
 
-    Bytes are shown one character each (ISO 8859-1), so nothing of them is lost.
+
+def whole_files(spark: SparkSession, paths: str | Sequence[str], charset: str = "UTF-8") -> DataFrame:
+    """(doc_id, doc_name, text) of the files below ``paths``, each read once, whole.
+
+    Scans skip files of no bytes, so their names come from the listing that
+    planning makes anyway; they are documents without text.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([paths] if isinstance(paths, str) else list(paths))
     same_form = lambda c: F.regexp_replace(F.url_decode(c), "^file:/+", "file:/")
-    # Scans skip files of no bytes, so the names come from the listing that planning makes anyway.
+    text = F.regexp_replace(_decoded("content", charset), "^\ufeff", "")
+    docs = files.select(same_form(F.col("path")).alias("doc_id"), text.alias("text"))
     names = spark.createDataFrame([(n,) for n in files.inputFiles()], "doc_id string").select(same_form(F.col("doc_id")).alias("doc_id"))
-    lost = names.join(docs.select(same_form(F.col(doc_id)).alias("doc_id")).distinct(), "doc_id", "left_anti")
-    texts = files.select(same_form(F.col("path")).alias("doc_id"), F.decode("content", "ISO-8859-1").alias("text"))
-    return lost.join(texts, "doc_id", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    empty = names.join(files.select(same_form(F.col("path")).alias("doc_id")), "doc_id", "left_anti").withColumn("text", F.lit(""))
+    return docs.unionByName(empty).withColumn("doc_name", F.regexp_extract("doc_id", "([^/]*)$", 1))
 
 
 def event_time(ts_ntz, tz: str) -> Column:

@@ -131,11 +131,19 @@ def append_load(df: DataFrame, path: str, load_id: str, partition_cols: Sequence
         remove(spark, before)
 
 
-def read_loads(spark: SparkSession, path: str, schema: StructType, exclude_load: str | None = None, only_load: str | None = None, keep_id: bool = False) -> DataFrame | None:
-    """A table of :func:`append_load`: all loads, all but one, or one; ``None`` if never written."""
+def read_loads(
+    spark: SparkSession, path: str, schema: StructType, exclude_load: str | None = None, only_load: str | None = None, keep_id: bool = False, only: tuple[str, Sequence[str]] | None = None
+) -> DataFrame | None:
+    """A table of :func:`append_load`: all loads, all but one, or one; ``None`` if never written.
+
+    ``only``: name and wanted values of a further (text) partition column that ``schema`` doesn't have.
+    """
     if not exists(spark, path):
         return None
-    df = spark.read.schema(StructType([*schema.fields, StructField("load_id", StringType(), True)])).parquet(path)
+    extra = [StructField("load_id", StringType(), True)] + ([StructField(only[0], StringType(), True)] if only else [])
+    df = spark.read.schema(StructType([*schema.fields, *extra])).parquet(path)
+    if only:
+        df = df.where(F.col(only[0]).isin(list(only[1]))).drop(only[0])
     if exclude_load is not None:
         df = df.where(F.col("load_id") != exclude_load)
     if only_load is not None:

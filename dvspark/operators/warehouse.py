@@ -45,6 +45,12 @@ def lnk_quote_instrument(instruments: DataFrame, existing: DataFrame | None = No
     return links
 
 
+def rejected_links(rows: DataFrame) -> DataFrame:
+    """Rows of instruments or rates that lack a part of their link's key, with the ``reason`` (see :func:`V.load_link`)."""
+    parts = [("hub_instrument_hk", "symbol"), ("hub_market_hk", "exchange")] if "symbol" in rows.columns else [("base", "base_currency"), ("target", "target_currency")]
+    return V.load_link(rows, parts, "link")[1]
+
+
 def lnk_rate_currency(rates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     links, _ = V.load_link(
         rates,
@@ -64,9 +70,9 @@ def rate_versions(rates: DataFrame) -> DataFrame:
     return V.prepare_satellite(rates, "lnk_rate_currency_hk", None, S.RATE_HASH_COLUMNS, parent_key=lnk)
 
 
-def details_versions(instruments: DataFrame) -> DataFrame:
+def details_versions(instruments: DataFrame, *keep: str) -> DataFrame:
     versions = V.prepare_satellite(instruments, "hub_instrument_hk", "symbol", S.DETAILS_HASH_COLUMNS)
-    return versions.select("hub_instrument_hk", "load_date", "record_source", "hash_diff", *S.DETAILS_HASH_COLUMNS)
+    return versions.select("hub_instrument_hk", "load_date", "record_source", "hash_diff", *S.DETAILS_HASH_COLUMNS, *keep)
 
 
 def sat_quotes(raw: DataFrame) -> DataFrame:

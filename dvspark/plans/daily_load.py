@@ -12,12 +12,18 @@ tables below one warehouse root (zones ``raw/``, ``vault/``, ``dm/``):
 * ``build_marts`` publishes the daily quotes and FX marts for the given dates
   (replace-by-date) and upserts the refresh log.
 
-Every table but the marts gets a ``load_id=<id>`` partition that a retried
-load replaces as a whole, and comparisons ignore the load's own partition.
-Quote tables are also partitioned by trade date and read between a load's
-dates only; rates are some dozens of rows a day and are not.
-No data passes through the driver; the actions are the writes and the gates'
-counts.
+Every table but the marts and the instrument details gets a ``load_id=<id>``
+folder that a retried load replaces as a whole, and comparisons ignore the
+load's own.  Quote tables are also partitioned by trade date and read between a
+load's dates only; hubs and links by a hash bucket of their key, so the gates
+read the buckets that a load touches; rates are some dozens of rows a day.  The
+details are stored with their end dates, by bucket, and a load replaces the
+buckets it touches.
+
+A landed file is read once: ``raw/landed_files`` holds its path, time and size
+with the load that landed it, and a load reads the files that no other load has.
+The driver sees the names of a load's new files (as in Spark's own file
+streams), touched buckets and days, and the gates' counts.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from dvspark import schemas as S
 from dvspark.operators import marts as M
@@ -79,6 +86,15 @@ REFERENCES = [
 ]
 
 
+#: Buckets of hubs, links and details by the hash of their key.
+BUCKETS = 16
+BUCKETED = ["hub_instrument", "hub_market", "hub_currency", "lnk_quote_instrument", "lnk_rate_currency"]
+DETAILS = "sat_instrument_details"
+
+LANDED_FILES = StructType([StructField("feed", StringType()), StructField("path", StringType()), StructField("modified", TimestampType()), StructField("size", LongType())])
+REJECTED = StructType([StructField(c, StringType()) for c in ("stage", "reason", "source", "payload")])
+
+
 class GateError(RuntimeError):
     """A load broke a key or a reference; its marts are not built."""
 
@@ -87,24 +103,54 @@ def table_path(root: str, zone: str, name: str) -> str:
     return f"{root.rstrip('/')}/{zone}/{name}"
 
 
-def _read(spark: SparkSession, root: str, zone: str, name: str, **which) -> DataFrame | None:
-    schema = VAULT_TABLES[name] if zone == "vault" else RAW_TABLES[name][0]
-    return P.read_loads(spark, table_path(root, zone, name), schema, **which)
+def bucket_of(key: str) -> Column:
+    return F.lpad(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("string"), 2, "0")
 
 
 def read_raw(spark: SparkSession, root: str, name: str, exclude_load: str | None = None, only_load: str | None = None) -> DataFrame | None:
-    return _read(spark, root, "raw", name, exclude_load=exclude_load, only_load=only_load)
+    return P.read_loads(spark, table_path(root, "raw", name), RAW_TABLES[name][0], exclude_load=exclude_load, only_load=only_load)
 
 
-def read_vault(spark: SparkSession, root: str, name: str, exclude_load: str | None = None) -> DataFrame | None:
-    """A vault table, optionally without the rows of one load (``None`` if never written)."""
-    return _read(spark, root, "vault", name, exclude_load=exclude_load)
+def _details(spark: SparkSession, root: str) -> DataFrame | None:
+    """The details with the bucket and the load that brought each version."""
+    path = table_path(root, "vault", DETAILS)
+    schema = StructType([*VAULT_TABLES[DETAILS].fields, StructField("load_id", StringType()), StructField("bucket", StringType())])
+    return P.read_published(spark, path, schema, "bucket") if P.exists(spark, path) else None
+
+
+def read_vault(spark: SparkSession, root: str, name: str, exclude_load: str | None = None, only_load: str | None = None, buckets: Sequence[str] | None = None) -> DataFrame | None:
+    """A vault table, optionally without the rows of one load, or its rows only, or some buckets (``None`` if never written)."""
+    schema = VAULT_TABLES[name]
+    if name == DETAILS:
+        df = _details(spark, root)
+        if df is None:
+            return None
+        df = df if exclude_load is None else df.where(F.col("load_id") != exclude_load)
+        df = df if only_load is None else df.where(F.col("load_id") == only_load)
+        df = df if buckets is None else df.where(F.col("bucket").isin(list(buckets)))
+        return df.select(*schema.names)
+    only = ("bucket", buckets) if buckets is not None and name in BUCKETED else None
+    return P.read_loads(spark, table_path(root, "vault", name), schema, exclude_load=exclude_load, only_load=only_load, only=only)
 
 
 def _append(root: str, zone: str, name: str, rows: DataFrame, load_id: str) -> None:
     schema = VAULT_TABLES[name] if zone == "vault" else RAW_TABLES[name][0]
-    parts = [DATE_PARTITION[name]] if name in DATE_PARTITION else []
-    P.append_load(rows.select(*[f.name for f in schema.fields]), table_path(root, zone, name), load_id, parts)
+    rows, parts = rows.select(*schema.names), [DATE_PARTITION[name]] if name in DATE_PARTITION else []
+    if name in BUCKETED:
+        rows, parts = rows.withColumn("bucket", bucket_of(KEYS[name][0])), ["bucket"]
+    P.append_load(rows, table_path(root, zone, name), load_id, parts)
+
+
+def new_files(spark: SparkSession, root: str, feed: str, folder: str, load_id: str) -> DataFrame:
+    """The files below ``folder`` that no other load has landed, as rows of ``raw/landed_files``; their contents aren't read.
+
+    A file that was written again (another time or size) is new.  One without
+    bytes is taken as still being written and waits for a later load.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    found = files.select(F.lit(feed).alias("feed"), "path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
+    landed = P.read_loads(spark, table_path(root, "raw", "landed_files"), LANDED_FILES, exclude_load=load_id)
+    return found if landed is None else found.join(landed, LANDED_FILES.names, "left_anti")
 
 
 def land_raw(
@@ -117,19 +163,38 @@ def land_raw(
     instruments: str | None = None,
     quote_source: Column | None = None,
     rate_source: Column | None = None,
+    rate_messages: str | None = None,
+    swapped: bool = True,
 ) -> None:
-    """Landed folders of one load -> raw zone, bad documents and rows -> ``raw/quarantine``.
+    """New files of landed folders -> raw zone, bad documents and rows -> ``raw/quarantine``.
 
+    ``rate_messages``: the second FX feed, as messages; ``swapped`` if it quotes
+    the other way round, which is put right here, once (S11).
     ``loaded_at``: the run's time (a parameter, so a retry lands the same
     rows).  Sources default to the feeds' own names and may be columns over
     the document's path ``doc_id``.
     """
     bad: list[DataFrame] = []
-
-    def land(name: str, parsed: DataFrame, rejected: DataFrame, rules: list, stage: str) -> None:
+    landed: list[DataFrame] = []
+    tz = session_tz(spark)
+
+    def files(feed: str, folder: str | None) -> list[str]:
+        if folder is None:
+            return []
+        new = new_files(spark, root, feed, folder, load_id).persist()
+        paths = [r.path for r in new.select("path").collect()]  # of this load
+        landed.append(new)
+        return paths
+
+    def land(name: str, feeds: list[tuple[DataFrame, DataFrame, str]], rules: list) -> None:
         schema, key = RAW_TABLES[name]
-        good, broken = Q.validate(parsed.select(*[f.name for f in schema.fields]), rules)
-        held = good.persist()
+        good = []
+        for parsed, rejected, stage in feeds:
+            kept, broken = Q.validate(parsed.select(*schema.names), rules)
+            good.append(kept)
+            bad.append(rejected.select(F.lit(stage).alias("stage"), "reason", "source", "payload"))
+            bad.append(broken.select(F.lit(stage + "_rules").alias("stage"), "reason", "source", F.to_json(F.struct(*schema.names)).alias("payload")))
+        held = Q.union_all(good).persist()
         try:
             existing = read_raw(spark, root, name, exclude_load=load_id)
             if existing is not None and name in DATE_PARTITION:
@@ -137,20 +202,27 @@ def land_raw(
             _append(root, "raw", name, R.first_wins(held, key, existing), load_id)
         finally:
             held.unpersist()
-        bad.append(rejected.select(F.lit(stage).alias("stage"), "reason", "source", "payload"))
-        bad.append(broken.select(F.lit(stage + "_rules").alias("stage"), "reason", "source", F.to_json(F.struct(*schema.names)).alias("payload")))
 
-    if quotes is not None:
-        docs = QJ.read_quote_responses(spark, quotes)
-        land("raw_quotes", *QJ.parse_quote_responses(docs, mode="all", source=quote_source, loaded_at=loaded_at), Q.quote_rules(), "quotes_json")
-    if rates is not None:
-        land("raw_rates", *RX.parse_valcurs(RX.read_rates_xml(spark, rates), source=rate_source, loaded_at=loaded_at), Q.rate_rules(), "rates_xml")
-    if instruments is not None:
-        messages = spark.read.text(instruments).withColumnRenamed("value", "message_value")
-        good, rejected = MSG.decode_instrument_messages(messages, tz=session_tz(spark), default_loaded_at=loaded_at)
-        land("raw_instruments", good, rejected, Q.instrument_rules(), "instrument_messages")
+    if paths := files("quotes", quotes):
+        docs = QJ.read_quote_responses(spark, paths)
+        land("raw_quotes", [(*QJ.parse_quote_responses(docs, mode="all", source=quote_source, loaded_at=loaded_at), "quotes_json")], Q.quote_rules())
+    fx = []
+    if paths := files("rates", rates):
+        fx.append((*RX.parse_valcurs(RX.read_rates_xml(spark, paths), source=rate_source, loaded_at=loaded_at), "rates_xml"))
+    if paths := files("rate_messages", rate_messages):
+        good, rejected = MSG.decode_rate_messages(spark.read.text(paths).withColumnRenamed("value", "message_value"), tz=tz, default_loaded_at=loaded_at)
+        fx.append((W.normalize_rate_direction(good, not swapped), rejected, "rate_messages"))
+    if fx:
+        land("raw_rates", fx, Q.rate_rules())
+    if paths := files("instruments", instruments):
+        messages = spark.read.text(paths).withColumnRenamed("value", "message_value")
+        land("raw_instruments", [(*MSG.decode_instrument_messages(messages, tz=tz, default_loaded_at=loaded_at), "instrument_messages")], Q.instrument_rules())
     if bad:
         P.append_load(Q.union_all(bad), table_path(root, "raw", "quarantine"), load_id)
+    if landed:  # last: a load that died before is landed again
+        P.append_load(Q.union_all(landed), table_path(root, "raw", "landed_files"), load_id)
+        for df in landed:
+            df.unpersist()
 
 
 def load_vault(
@@ -189,37 +261,88 @@ def load_vault(
     if instruments is not None:
         write("hub_market", W.hub_market(instruments, stored("hub_market")))
         write("lnk_quote_instrument", W.lnk_quote_instrument(instruments, stored("lnk_quote_instrument")))
-        # SCD2: end dates are derived on read (``details_view``), the table stores versions only.
-        versions = W.details_versions(instruments)
-        before = stored("sat_instrument_details")
-        details = V.satellite_delta(versions, before.select(*versions.columns) if before is not None else None, ["hub_instrument_hk"])
-        write("sat_instrument_details", details.withColumn("load_end_date", F.lit(None).cast("timestamp_ntz")))
-
-
-def details_view(spark: SparkSession, root: str) -> DataFrame | None:
-    """T6 on read: every stored version end-dated by its successor."""
-    stored = read_vault(spark, root, "sat_instrument_details")
-    if stored is None:
-        return None
-    history = V.satellite_history(stored.drop("load_end_date"), ["hub_instrument_hk"])
-    return V.scd2(history, ["hub_instrument_hk"]).select(*[f.name for f in S.SAT_INSTRUMENT_DETAILS.fields])
+        load_details(spark, root, load_id, W.details_versions(instruments))
+    # Rows that no link can be made of, with the key part they lack.
+    rejects = [(W.rejected_links(df), name) for df, name in ((instruments, "lnk_quote_instrument"), (rates, "lnk_rate_currency")) if df is not None]
+    if rejects:
+        rows = [df.select(F.lit(name).alias("stage"), "reason", "source", F.to_json(F.struct(*[c for c in df.columns if c != "reason"])).alias("payload")) for df, name in rejects]
+        P.append_load(Q.union_all(rows), table_path(root, "vault", "quarantine"), load_id)
+
+
+def load_details(spark: SparkSession, root: str, load_id: str, versions: DataFrame) -> None:
+    """The details of a load's instruments, each version with its end date, in place of their buckets.
+
+    The history of the touched instruments is made anew from all that arrived
+    of them (the raw zone; where there is none, from the stored versions), so
+    a late version is put in its place and ends its predecessor.  Instruments
+    that an earlier attempt of the load brought are touched as well.  If another
+    load replaced one of the buckets meanwhile, all is done again.
+    """
+    key, names = ["hub_instrument_hk"], VAULT_TABLES[DETAILS].names
+    path = table_path(root, "vault", DETAILS)
+    raw = P.read_loads(spark, table_path(root, "raw", "raw_instruments"), RAW_TABLES["raw_instruments"][0], exclude_load=load_id, keep_id=True)
+    own = versions.withColumn("load_id", F.lit(load_id))
+    while True:
+        since, stored = P.newest_version(spark, path)[1], _details(spark, root)
+        touched = versions.select(*key)
+        if stored is not None:
+            touched = touched.union(stored.where(F.col("load_id") == load_id).select(*key))
+        touched = touched.distinct().withColumn("bucket", bucket_of(*key)).persist()
+        buckets = sorted(r.bucket for r in touched.select("bucket").distinct().collect())  # at most BUCKETS
+        try:
+            every = own
+            if raw is not None:
+                every = every.unionByName(W.details_versions(raw, "load_id").join(touched, key, "left_semi"))
+            elif stored is not None:
+                of_keys = stored.where(F.col("bucket").isin(buckets) & (F.col("load_id") != load_id)).join(touched, key, "left_semi")
+                every = every.unionByName(of_keys.select(*own.columns))
+            rows = V.scd2(V.satellite_history(every, key), key).select(*names, "load_id").withColumn("bucket", bucket_of(*key))
+            if stored is not None:
+                rows = rows.unionByName(stored.where(F.col("bucket").isin(buckets)).join(touched.select(*key), key, "left_anti").select(*rows.columns))
+            P.replace_partitions(rows, path, "bucket", buckets, spark, since)
+            P.expire_versions(spark, path, keep=8)
+            return
+        except P.Conflict:
+            continue
+        finally:
+            touched.unpersist()
 
 
 def check_load(spark: SparkSession, root: str, load_id: str) -> DataFrame:
-    """G1, T8, T9 over the stored vault: (gate, subject, n) with the load's rows, duplicate keys and orphans per table."""
-    parts = []
-    tables = {name: df for name in VAULT_TABLES if (df := read_vault(spark, root, name)) is not None}
-    for name in tables:
-        rows = P.read_loads(spark, table_path(root, "vault", name), VAULT_TABLES[name], only_load=load_id)
-        parts.append(rows.agg(F.lit("rows").alias("gate"), F.lit(name).alias("subject"), F.count(F.lit(1)).alias("n")))
-        parts.append(Q.duplicate_check(name, tables[name], KEYS[name]).select(F.lit("duplicates").alias("gate"), F.col("table_name").alias("subject"), F.col("duplicate_keys").alias("n")))
+    """G1, T8, T9 for one load: (gate, subject, n) with its rows, and the duplicate keys and orphans among all it touched.
+
+    Exact, and reads no more than the load and what it touches: of satellites
+    its business dates, of hubs and links the buckets of the keys that it
+    brought or refers to, of the details their buckets.
+    """
+    own = {name: df for name in VAULT_TABLES if (df := read_vault(spark, root, name, only_load=load_id)) is not None}
+    parts, keys = [], {name: [df.select(*KEYS[name])] for name, df in own.items()}
+    for child, key, parent, parent_key in REFERENCES:
+        if child in own and parent in own:
+            keys[parent].append(own[child].select(F.col(key).alias(parent_key)))
+    for name, df in own.items():
+        parts.append(df.agg(F.lit("rows").alias("gate"), F.lit(name).alias("subject"), F.count(F.lit(1)).alias("n")))
+        touched = Q.union_all(keys[name]).distinct()
+        if name in DATE_PARTITION:
+            near = V.within_dates(read_vault(spark, root, name), df, DATE_PARTITION[name])
+        elif name in (*BUCKETED, DETAILS):
+            near = read_vault(spark, root, name, buckets=_buckets(touched, KEYS[name][0]))
+        else:
+            near = read_vault(spark, root, name)
+        dup = Q.duplicate_check(name, near.join(touched, KEYS[name], "left_semi"), KEYS[name])
+        parts.append(dup.select(F.lit("duplicates").alias("gate"), F.col("table_name").alias("subject"), F.col("duplicate_keys").alias("n")))
     for child, key, parent, parent_key in REFERENCES:
-        if child in tables:
-            above = tables.get(parent, spark.createDataFrame([], VAULT_TABLES[parent]))
-            parts.append(Q.orphan_check(f"{child}.{key}", tables[child], key, above, parent_key).select(F.lit("orphans").alias("gate"), F.col("check_name").alias("subject"), F.col("orphan_rows").alias("n")))
+        if child in own:
+            refers = own[child].select(F.col(key).alias(parent_key)).distinct()
+            above = read_vault(spark, root, parent, buckets=_buckets(refers, parent_key)) if parent in own else spark.createDataFrame([], VAULT_TABLES[parent])
+            parts.append(Q.orphan_check(f"{child}.{key}", own[child], key, above, parent_key).select(F.lit("orphans").alias("gate"), F.col("check_name").alias("subject"), F.col("orphan_rows").alias("n")))
     return Q.union_all(parts) if parts else spark.createDataFrame([], "gate string, subject string, n long")
 
 
+def _buckets(keys: DataFrame, key: str) -> list[str]:
+    return [r.b for r in keys.select(bucket_of(key).alias("b")).distinct().collect()]  # at most BUCKETS
+
+
 def run_load(spark: SparkSession, root: str, load_id: str, refreshed_at, **landed) -> str:
     """One scheduled run: land, load, check, and build the marts of the dates the load touched.
 
@@ -242,6 +365,12 @@ def run_load(spark: SparkSession, root: str, load_id: str, refreshed_at, **lande
     return "ok"
 
 
+def _publish(spark: SparkSession, root: str, name: str, mart: DataFrame, date_col: str, dates: Sequence) -> None:
+    path = table_path(root, "dm", name)
+    P.publish_by_date(mart, path, date_col, dates=list(dates), spark=spark)
+    P.expire_versions(spark, path, keep=8)
+
+
 def build_marts(spark: SparkSession, root: str, dates: Sequence, refreshed_at, fx: bool = True, fx_dates: Sequence | None = None) -> None:
     """M1/M3 for ``dates`` (rates: ``fx_dates``, the same by default) from the stored vault, replace-by-date publish, M5 log upsert."""
     run_time = F.lit(refreshed_at).cast("timestamp_ntz")
@@ -250,16 +379,19 @@ def build_marts(spark: SparkSession, root: str, dates: Sequence, refreshed_at, f
     entries = []
     if dates and sat is not None and hub is not None:
         of_days = V.satellite_history(sat.where(F.col("trade_date").isin(list(dates))), W.QUOTE_GRAIN)
-        mart = S.check_contract(M.mart_quotes_daily(of_days, hub, details_view(spark, root), loaded_at=run_time), S.DM_QUOTES_DAILY)
-        P.publish_by_date(mart, table_path(root, "dm", "dm_quotes_daily"), "trade_date", dates=list(dates), spark=spark)
+        mart = S.check_contract(M.mart_quotes_daily(of_days, hub, read_vault(spark, root, DETAILS), loaded_at=run_time), S.DM_QUOTES_DAILY)
+        _publish(spark, root, "dm_quotes_daily", mart, "trade_date", dates)
         entries += [("dm_quotes_daily", d) for d in dates]
     sat_r = read_vault(spark, root, "sat_rate_values")
     if fx and fx_dates and sat_r is not None:
         link, hubc = read_vault(spark, root, "lnk_rate_currency"), read_vault(spark, root, "hub_currency")
         of_days = V.satellite_history(sat_r.where(F.col("rate_date").isin(fx_dates)), W.RATE_GRAIN)
         fx_mart = S.check_contract(M.mart_fx_rates(of_days, link, hubc, loaded_at=run_time), S.DM_FX_RATES)
-        P.publish_by_date(fx_mart, table_path(root, "dm", "dm_fx_rates"), "rate_date", dates=fx_dates, spark=spark)
-        entries += [("dm_fx_rates", d) for d in fx_dates]
+        _publish(spark, root, "dm_fx_rates", fx_mart, "rate_date", fx_dates)
+        # M6, from the days just written.
+        written = P.read_published(spark, table_path(root, "dm", "dm_fx_rates"), S.DM_FX_RATES).where(F.col("rate_date").isin(fx_dates))
+        _publish(spark, root, "dm_fx_cross_rates", S.check_contract(M.fx_cross_rates(written), S.DM_FX_CROSS_RATES), "rate_date", fx_dates)
+        entries += [(name, d) for name in ("dm_fx_rates", "dm_fx_cross_rates") for d in fx_dates]
     if entries:
         log = spark.createDataFrame(entries, "mart_name string, execution_date date").withColumn("refreshed_at", run_time)
         P.upsert_versioned(

@@ -157,6 +157,13 @@ DM_FX_RATES = _s(
     ("source", StringType(), True),
     ("loaded_at", TS, False),
 )
+DM_FX_CROSS_RATES = _s(
+    ("rate_date", DateType(), False),
+    ("base_currency", StringType(), False),
+    ("from_currency", StringType(), False),
+    ("to_currency", StringType(), False),
+    ("cross_rate", RATE, True),
+)
 MART_REFRESH_LOG = _s(
     ("mart_name", StringType(), False),
     ("execution_date", DateType(), False),
