@@ -143,7 +143,7 @@ def date_spine(bounds: DataFrame, start: str, end: str, name: str, keys: Sequenc
     return bounds.select(*keys, F.explode(F.sequence(F.col(start), F.col(end))).alias(name))
 
 
-def _within(df: DataFrame, date_col: str, first=None, last=None) -> DataFrame:
+def within(df: DataFrame, date_col: str, first=None, last=None) -> DataFrame:
     if first is not None:
         df = df.where(F.col(date_col) >= F.lit(first).cast("date"))
     return df if last is None else df.where(F.col(date_col) <= F.lit(last).cast("date"))
@@ -180,10 +180,15 @@ def input_freshness(landed: DataFrame, date_col: str = "trade_date", source_col:
     newest day of any source (within ``first`` and ``last``, where given); a
     day without rows is reported with ``n_rows = 0`` and ``fresh = false``.
     """
-    landed = _within(landed, date_col, first, last)
+    landed = within(landed, date_col, first, last)
     counts = landed.groupBy(F.col(source_col).alias("source"), F.col(date_col).alias("check_date")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
+    return freshness_of(counts)
+
+
+def freshness_of(counts: DataFrame) -> DataFrame:
+    """G2 over (source, check_date, n_rows)."""
     newest = counts.select(F.max("check_date")).scalar()
     bounds = counts.groupBy("source").agg(F.min("check_date").alias("lo")).withColumn("hi", newest)
     spine = date_spine(bounds, "lo", "hi", "check_date", keys=["source"])
@@ -203,6 +208,11 @@ def volume_anomaly(
     daily = landed.groupBy(F.col(source_col).alias("source"), F.col(date_col).alias("check_date")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
+    return anomaly_of(daily, window, threshold)
+
+
+def anomaly_of(daily: DataFrame, window: int, threshold: float) -> DataFrame:
+    """G4 over (source, check_date, n_rows)."""
     w = Window.partitionBy("source").orderBy("check_date").rowsBetween(-window, -1)
     avg = F.avg("n_rows").over(w)
     out = daily.withColumn("_avg", avg)

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from dvspark import schemas as S
 from dvspark.functions.hashing import hash_diff, hash_key, hash_key_composite, schema_types
 from dvspark.operators import analytics as A
+from dvspark.operators import colocate
 from dvspark.operators import marts as M
+from dvspark.operators import profiles
 from dvspark.operators import publish as P
 from dvspark.operators import quality as Q
 from dvspark.operators import raw as R
@@ -152,6 +154,22 @@ def q_mart_quotes_backfill(spark, sf_dir):
     return quotes_mart_all(spark, sf_dir)
 
 
+VAULT_BUCKETS = 16
+
+
+def colocated_vault(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Satellite, hub and details bucketed by the hash key."""
+    raw, base = tv.raw_quotes(spark, sf_dir), work_path(spark, "colocated")
+    tables = {"sat": sat_quotes(raw), "hub": hub_instrument(raw), "details": sat_details(tv.raw_instruments(spark, sf_dir))}
+    return tuple(colocate.write_bucketed(df, f"{base}/{name}", "hub_instrument_hk", VAULT_BUCKETS) for name, df in tables.items())
+
+
+@register("mart_quotes_colocated", O.sql("SELECT * FROM mart_quotes_all", "mart_quotes_all"))
+def q_mart_quotes_colocated(spark, sf_dir):
+    """M1/M8 over tables bucketed by the hash key: latest versions, hub and details meet without an exchange."""
+    return M.mart_quotes_daily(*colocated_vault(spark, sf_dir), loaded_at=_run_time())
+
+
 @register(
     "mart_quotes_daily",
     O.sql(
@@ -736,6 +754,45 @@ def q_volume_anomaly(spark, sf_dir):
     return Q.volume_anomaly(dv.thrice_on_a_day(tv.raw_quotes(spark, sf_dir)))
 
 
+PROFILE_DAYS = 7
+
+
+def _profiles(spark, sf_dir) -> DataFrame:
+    """A stored profile of each load of the quotes."""
+    raw, path = tv.raw_quotes(spark, sf_dir), work_path(spark, "profiles")
+    for name in (tv.INTRADAY_SOURCE, tv.EOD_SOURCE):
+        P.append_load(profiles.profile(raw.where(F.col("source") == name)), path, name)
+    return P.read_loads(spark, path, profiles.profile(raw).schema)
+
+
+@register(
+    "load_profiles",
+    O.sql(
+        f"""
+        WITH d AS (SELECT DISTINCT source, trade_date AS check_date FROM raw_quotes)
+        SELECT d.source, d.check_date, count(*) AS n_rows, true AS distinct_within_bound, true AS median_within_bound
+        FROM d JOIN raw_quotes r ON r.source = d.source AND r.trade_date BETWEEN d.check_date - {PROFILE_DAYS - 1} AND d.check_date GROUP BY ALL""",
+        "raw_quotes",
+    ),
+)
+def q_load_profiles(spark, sf_dir):
+    """Stored load profiles merged over a trailing week; counts are exact, sketches are held against the rows."""
+    raw = tv.raw_quotes(spark, sf_dir)
+    found = profiles.estimates(profiles.trailing(_profiles(spark, sf_dir), PROFILE_DAYS))
+    days = raw.select("source", F.col("trade_date").alias("check_date")).distinct()
+    near = raw.withColumn("check_date", F.explode(F.transform(F.sequence(F.lit(0), F.lit(PROFILE_DAYS - 1)), lambda k: F.date_add("trade_date", k))))
+    low, high = (F.percentile("volume", F.lit(p)) for p in (0.45, 0.55))
+    exact = near.join(days, ["source", "check_date"], "left_semi").groupBy("source", "check_date").agg(F.count_distinct("symbol").alias("n"), low.alias("low"), high.alias("high"))
+    off = F.abs(F.col("distinct_keys") - F.col("n")) <= F.greatest(F.lit(1.0), 4 * profiles.KEY_ERROR * F.col("n"))
+    return found.join(exact, ["source", "check_date"]).select("source", "check_date", "n_rows", off.alias("distinct_within_bound"), F.col("median_measure").between(F.floor("low"), F.ceil("high")).alias("median_within_bound"))
+
+
+@register("volume_anomaly_by_profiles", ORACLE["volume_anomaly"].replace("CASE WHEN day(trade_date) = 15 THEN 3 ELSE 1 END", "1"))
+def q_volume_anomaly_by_profiles(spark, sf_dir):
+    """G4 from the stored profiles alone."""
+    return profiles.volume_anomaly(_profiles(spark, sf_dir))
+
+
 # ------------------------------------------------------------ parsing sources
 
 

@@ -36,6 +36,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from dvspark import schemas as S
 from dvspark.operators import marts as M
+from dvspark.operators import profiles
 from dvspark.operators import publish as P
 from dvspark.operators import quality as Q
 from dvspark.operators import raw as R
@@ -86,6 +87,8 @@ REFERENCES = [
 ]
 
 
+#: Raw tables with a profile of each load: their business date, key and measure.
+PROFILED = {"raw_quotes": ("trade_date", "symbol", "volume"), "raw_rates": ("rate_date", "target_currency", "rate")}
 #: Buckets of hubs, links and details by the hash of their key.
 BUCKETS = 16
 BUCKETED = ["hub_instrument", "hub_market", "hub_currency", "lnk_quote_instrument", "lnk_rate_currency"]
@@ -219,6 +222,10 @@ def land_raw(
         land("raw_instruments", [(*MSG.decode_instrument_messages(messages, tz=tz, default_loaded_at=loaded_at), "instrument_messages")], Q.instrument_rules())
     if bad:
         P.append_load(Q.union_all(bad), table_path(root, "raw", "quarantine"), load_id)
+    for name, (date_col, key, measure) in PROFILED.items():
+        rows = read_raw(spark, root, name, only_load=load_id)
+        if rows is not None:
+            P.append_load(profiles.profile(rows, date_col, key=key, measure=measure), table_path(root, "raw", f"{name}_profiles"), load_id)
     if landed:  # last: a load that died before is landed again
         P.append_load(Q.union_all(landed), table_path(root, "raw", "landed_files"), load_id)
         for df in landed:
@@ -339,6 +346,13 @@ def check_load(spark: SparkSession, root: str, load_id: str) -> DataFrame:
     return Q.union_all(parts) if parts else spark.createDataFrame([], "gate string, subject string, n long")
 
 
+def read_profiles(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The load profiles of a raw table, for the freshness and volume gates of :mod:`dvspark.operators.profiles`."""
+    date_col, key, measure = PROFILED[name]
+    shape = profiles.profile(spark.createDataFrame([], RAW_TABLES[name][0]), date_col, key=key, measure=measure).schema
+    return P.read_loads(spark, table_path(root, "raw", f"{name}_profiles"), shape)
+
+
 def _buckets(keys: DataFrame, key: str) -> list[str]:
     return [r.b for r in keys.select(bucket_of(key).alias("b")).distinct().collect()]  # at most BUCKETS
 
