@@ -45,6 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dvspark.llm.bitmaps import Bitmap, bitmap_of
 from dvspark.llm.blocks import mix, word_blocks
 from dvspark.llm.common import stored
 from dvspark.llm.components import components
@@ -114,6 +115,68 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["set_key", "shingles"])
 
 
+def _post(coord: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Hash that names a list: a coordinate and its value."""
+    return mix((coord.astype(np.uint64) + np.uint64(1)) << np.uint64(32) | value.view(np.uint32).astype(np.uint64))
+
+
+def _list_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        coord, value = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int32) for k in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(_post(coord, value).view(np.int64))], ["post"])
+
+
+def _late(long_lists: Bitmap):
+    """(cid, n, sig) -> also late: the coordinates whose values are on long lists.
+
+    The bitmap lets a few other lists pass as long, for all classes alike, so
+    the order of coordinates is still common to all.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sig = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)
+            row, coord = np.nonzero(long_lists.has(_post(np.arange(COORDINATES)[None, :], sig)))
+            bounds = np.searchsorted(row, np.arange(len(sig) + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(bounds), pa.array(coord.astype(np.int32)))], ["cid", "n", "sig", "late"])
+
+    return run
+
+
+def _local_crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cid, coords, sig) -> (cid, lead, null) of every class and (null, lead, post) of the lists of each lead.
+
+    Classes of a batch that share lists, directly or through others, get one
+    lead (the smallest cid), so that a crowd is joined on its lists' names once
+    a batch and not once a class.
+    """
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        order = np.argsort(ids)
+        sizes = np.diff(np.asarray(batch.column(1).offsets))
+        row = np.repeat(np.arange(len(ids)), sizes)
+        coord = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+        sig = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)
+        post = _post(coord, np.ascontiguousarray(sig[row, coord]))
+        lists, at = np.unique(post, return_inverse=True)
+        lead = np.empty(len(ids), np.int64)
+        lead[order] = np.arange(len(ids))  # by rank of the cid
+        while True:  # the least lead around, over lists and back, with leads of leads taken at once
+            least = np.full(len(lists), len(ids), np.int64)
+            np.minimum.at(least, at, lead[row])
+            new = lead.copy()
+            np.minimum.at(new, row, least[at])
+            new = np.minimum(new, new[order[new]])
+            if (new == lead).all():
+                break
+            lead = new
+        held = np.unique(np.stack([lead[row], at], axis=1), axis=0) if len(row) else np.zeros((0, 2), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[order[lead]]), pa.nulls(len(ids), pa.int64())], ["cid", "lead", "post"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(held), pa.int64()), pa.array(ids[order[held[:, 0]]]), pa.array(lists[held[:, 1]].view(np.int64))], ["cid", "lead", "post"])
+
+
 def _linked(a: int, b: int, common: np.ndarray, percent: int) -> np.ndarray:
     return 100 * common >= percent * (a + b - common)
 
@@ -178,10 +241,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = stored(classes.withColumn("cid", F.xxhash64("set_key")), "classes")
 
     posted = classes.select("cid", F.posexplode("sig").alias("coord", "value"))
-    long_lists = stored(posted.groupBy("coord", "value").count().where(F.col("count") > LONG).select("coord", "value"), "long-lists")
-    on_long = posted.join(long_lists, ["coord", "value"]).groupBy("cid").agg(F.collect_set("coord").alias("late"))
+    long_lists = posted.groupBy("coord", "value").count().where(F.col("count") > LONG).select("coord", "value").mapInArrow(_list_names, "post long")
     # The common order: coordinates on short lists first, then those on long lists, each by number.
-    ranked = classes.join(on_long, "cid", "left").withColumn("late", F.coalesce("late", F.array().cast("array<int>")))
+    ranked = classes.select("cid", "n", "sig").mapInArrow(_late(bitmap_of(stored(long_lists, "long-lists"), "post")), "cid long, n int, sig array<int>, late array<int>")
+    ranked = stored(ranked, "ranked")
     early = F.array_except(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), F.col("late"))
     short = ranked.select("cid", "n", "sig", F.explode(F.slice(early, 1, prefix)).alias("coord"))
     short = short.select("cid", "n", "coord", F.element_at("sig", F.col("coord") + 1).alias("value"))
@@ -194,10 +257,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     matches = F.expr("size(filter(zip_with(sig_a, sig_b, (p, q) -> p = q), m -> m))")
     candidates = stored(both.where(matches >= needed).select("a", "b"), "candidates")
 
-    crowd_posts = ranked.where(F.size(early) < prefix).select("cid", F.explode(F.slice(F.sort_array("late"), 1, F.lit(prefix) - F.size(early))).alias("coord"), "sig")
-    crowd_posts = stored(crowd_posts.select("cid", "coord", F.element_at("sig", F.col("coord") + 1).alias("value")), "crowd-posts")
-    heads = crowd_posts.groupBy("coord", "value").agg(F.min("cid").alias("head"))
-    crowds = components(crowd_posts.join(heads, ["coord", "value"]).select("cid", "head").distinct(), "cid", "head").select(F.col("node").alias("cid"), F.col("component").alias("crowd"))
+    in_crowd = ranked.where(F.size(early) < prefix).select("cid", F.slice(F.sort_array("late"), 1, F.lit(prefix) - F.size(early)).alias("coords"), "sig")
+    local = stored(in_crowd.mapInArrow(_local_crowds, "cid long, lead long, post long"), "local-crowds")
+    posts = local.where("post IS NOT NULL").select("lead", "post")
+    heads = posts.groupBy("post").agg(F.min("lead").alias("head"))
+    around = posts.join(heads, "post").select(F.col("lead").alias("cid"), "head").union(local.where("cid IS NOT NULL").select("cid", "lead")).distinct()
+    crowds = components(around, "cid", "head").select(F.col("node").alias("cid"), F.col("component").alias("crowd"))
     crowds = stored(crowds, "crowds")
     sized = crowds.groupBy("crowd").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = crowds.join(sized, "crowd").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
