@@ -158,7 +158,7 @@ def vault_counts(hub: DataFrame, sat: DataFrame, first=None, last=None) -> DataF
     """
     h = hub.groupBy(F.to_date("load_date").alias("check_date")).agg(F.count(F.lit(1)).alias("hub_rows"))
     s = sat.groupBy(F.col("trade_date").alias("check_date")).agg(F.count(F.lit(1)).alias("sat_rows"))
-    h, s = _within(h, "check_date", first, last), _within(s, "check_date", first, last)
+    h, s = within(h, "check_date", first, last), within(s, "check_date", first, last)
     seen = h.select("check_date").unionByName(s.select("check_date"))
     bounds = seen.agg(F.min("check_date").alias("lo"), F.max("check_date").alias("hi"))
     spine = date_spine(bounds, "lo", "hi", "check_date")
