@@ -86,11 +86,6 @@ def _is_slot(t: Column) -> Column:
     return F.substring(t, 1, 1).isin(_NUM, _UNIT, _NAME)
 
 
-def _template(t: Column) -> Column:
-    """A token without its value."""
-    return F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)
-
-
 def _plain(t: Column) -> Column:
     """A token without its mark."""
     return F.ltrim(t, F.lit(_NUM + _UNIT + _NAME))
@@ -101,25 +96,30 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return rows.withColumn("t", tokens(F.col("text"))).where(F.size("t") > 0)
 
 
-def _windows(rows: DataFrame, *keep: str, widths: Column) -> DataFrame:
-    """w, at, verbatim, window (hash): every window of each of the ``widths`` over column ``t`` as a template, then each again with its words and values."""
-    rows = rows.withColumn("h", F.transform("t", lambda t: F.xxhash64(_template(t)))).withColumn("v", F.transform("t", lambda t: F.xxhash64(_plain(t))))
-    rows = rows.select(*keep, "h", "v", F.explode(widths).alias("w"))
-    n = F.size("h") - F.col("w") + 1
+def _hashes(rows: DataFrame) -> DataFrame:
+    """Columns h and v: the hash of each token without and with its value; the same for a plain word."""
+    return rows.withColumn("v", F.transform("t", lambda t: F.xxhash64(_plain(t)))).withColumn("h", F.zip_with("t", "v", lambda t, v: F.when(_is_slot(t), F.xxhash64(F.substring(t, 1, 1))).otherwise(v)))
+
+
+def _places(rows: DataFrame, *keep: str, widths: list[int]) -> DataFrame:
+    """w, at, template, words: both hashes of every window of each of the ``widths`` over columns ``h`` and ``v``."""
+    rows = rows.select(*keep, "h", "v", F.explode(F.array(*map(F.lit, widths))).alias("w")).withColumn("n", F.size("v") - F.col("w") + 1)
     # Below LITERAL tokens: only the whole text.
-    some = (n == 1) | ((n > 1) & (F.col("w") >= LITERAL))
+    places = rows.where((F.col("n") == 1) | ((F.col("n") > 1) & (F.col("w") >= LITERAL))).select(*keep, "h", "v", "w", "n", F.posexplode("v").alias("at", "_token")).where("at < n")
 
-    def hashed(h: str) -> Column:
-        return F.when(some, F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(h, i, F.col("w"))))).otherwise(F.array().cast("array<long>"))
+    def hashed(of: str) -> Column:
+        some = [F.when(F.col("w") == w, F.xxhash64(*(F.get(of, F.col("at") + k) for k in range(w)))) for w in widths]
+        return F.coalesce(*some)
 
-    found = rows.select(*keep, "w", n.alias("n"), F.posexplode(F.concat(hashed("h"), hashed("v"))).alias("k", "window"))
-    return found.select(*keep, "w", F.pmod("k", "n").alias("at"), (F.col("k") >= F.col("n")).alias("verbatim"), "window")
+    return places.select(*keep, "w", "at", hashed("h").alias("template"), hashed("v").alias("words"))
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, version, at, w, verbatim, window, counted and the item's number of counted windows; templates only with enough plain words."""
-    items = _items(benchmark).withColumn("literal", F.transform("t", lambda t: (~_is_slot(t)).cast("int"))).withColumn("size", F.size("t"))
-    found = _windows(items, "item_id", "text", "literal", widths=F.array(F.least("size", F.lit(WINDOW))))
+    items = _hashes(_items(benchmark)).withColumn("literal", F.transform("t", lambda t: (~_is_slot(t)).cast("int"))).withColumn("size", F.least(F.size("t"), F.lit(WINDOW)))
+    found = _places(items, "item_id", "text", "literal", "size", widths=list(range(1, WINDOW + 1))).where("w = size")
+    both = F.array(F.struct(F.lit(False).alias("verbatim"), F.col("template").alias("window")), F.struct(F.lit(True).alias("verbatim"), F.col("words").alias("window")))
+    found = found.select("item_id", "text", "literal", "w", "at", F.inline(both))
     plain = F.aggregate(F.slice("literal", F.col("at") + 1, F.col("w")), F.lit(0), lambda a, b: a + b)
     found = found.withColumn("enough", plain >= LITERAL).where("verbatim OR enough")
     found = found.select("item_id", F.xxhash64("text").alias("version"), "at", "w", "verbatim", "window", "enough")
@@ -141,7 +141,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = "doc_id long, copy long, w int, at int, window long"
     hits = spark.createDataFrame([], schema)
     if widths:
-        found = _windows(tokened, "doc_id", "copy", widths=F.array(*map(F.lit, widths)))
+        # A window without a slot has one hash, and is looked up once.
+        windows = F.when(F.col("template") == F.col("words"), F.array("words")).otherwise(F.array("words", "template"))
+        found = _places(_hashes(tokened), "doc_id", "copy", widths=widths).select("doc_id", "copy", "w", "at", F.explode(windows).alias("window"))
         hits = found.join(F.broadcast(wanted) if few else wanted, ["w", "window"], "left_semi").select("doc_id", "copy", "w", "at", "window")
     hits = stored(hits, "window-hits")
 
