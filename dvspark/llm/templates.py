@@ -65,6 +65,12 @@ _SPACE = r"\x01-\x03\t-\r\x85\p{Z}"
 #: Scripts without blanks: Thai, Lao, Myanmar, Khmer, Han, kana, Bopomofo.
 _NO_BLANKS = r"\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{2FD5}\x{3005}-\x{3007}\x{3021}-\x{3029}\x{3040}-\x{312F}\x{31A0}-\x{31BF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{A9E0}-\x{A9FF}\x{AA60}-\x{AA7F}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{20000}-\x{3FFFF}"
 
+#: Every text with a letter of these scripts has a character of this kind (the ranges left out hold none of them).
+_MAY_LACK_BLANKS = r"[\x{E00}-\x{1DFF}\x{2E80}-\x{10FFFF}]"
+
+#: A slot in a marked text; a blank stands before each mark.
+_SLOT = rf"[{_NUM}{_UNIT}{_NAME}][^ ]*"
+
 
 def template_text(text: Column) -> Column:
     """The text, in lower case, with a mark before each slot's value."""
@@ -78,8 +84,15 @@ def template_text(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Tokens in order; a slot's is its mark and its value."""
-    slot, letter, word = rf"[{_NUM}{_UNIT}{_NAME}][^ ]*", rf"[{_NO_BLANKS}&&[\p{{L}}\p{{M}}]]\p{{M}}*", rf"[\p{{L}}\p{{M}}&&[^{_NO_BLANKS}]]+"
-    return F.regexp_extract_all(template_text(F.coalesce(text, F.lit(""))), F.lit(f"{slot}|{word}|{letter}"), 0)
+    marked = template_text(F.coalesce(text, F.lit("")))
+    # Without a letter of a script without blanks: all between slots and words becomes a blank, which is cheaper.
+    parted = F.array_remove(F.split(F.regexp_replace(marked, rf"({_SLOT})|[^\p{{L}}\p{{M}} ]+", "$1 "), " "), "")
+    return F.when(F.coalesce(text, F.lit("")).rlike(_MAY_LACK_BLANKS), _extracted(marked)).otherwise(parted)
+
+
+def _extracted(marked: Column) -> Column:
+    word, letter = rf"[\p{{L}}\p{{M}}&&[^{_NO_BLANKS}]]+", rf"[{_NO_BLANKS}&&[\p{{L}}\p{{M}}]]\p{{M}}*"
+    return F.regexp_extract_all(marked, F.lit(f"{_SLOT}|{word}|{letter}"), 0)
 
 
 def _is_slot(t: Column) -> Column:

@@ -73,3 +73,13 @@ def test_items_without_a_template_window_match_exactly(against):
     found = against(items, [*texts, "Paris!", texts[1].replace("92, 65", "93, 66"), "我们昨天去了城市里的一家新的饭店吃饭。"])
     assert {k for k, r in found.items() if r.contaminated} == {(0, 0), (1, 1), (2, 2), (4, 4), (5, 3)}
     assert all(found[k, k].coverage == 1 for k in (0, 1, 2, 4))
+
+
+def test_tokens_by_blanks_equal_tokens_by_search(spark):
+    """The cheaper way for texts without letters of scripts without blanks finds what the search for tokens finds."""
+    texts = [QUESTION, CHANGED, BROKEN, LONG, "", " ", "5", "...", "a", "\u0001\u0002x\u0003 7kg", "(5) [3.5,6] 7%8 9 km/h 1:2,3.", "In Paris, Anna's 3-year-old; it’s “Bob” … İstanbul Straße ẞ K Å é e\u0301 ñ\u0303", "of Anna5 of Ånna, of Éva5km", "x 5 km法国 y", "ไทย 5 km of Anna", "a\u00a0b\u2028c\x00d\te", "🙂 5🙂6 a🙂b of Anna🙂", "٣ كتب و ٥ km ª º ² ½ Ⅷ", "i\u0307 \u0301a b\u0301", None]
+    rows = spark.createDataFrame([*enumerate(texts)], "id long, text string")
+    marked = templates.template_text(F.coalesce("text", F.lit("")))
+    found = rows.select("id", templates.tokens(F.col("text")).alias("t"), templates._extracted(marked).alias("e")).collect()
+    assert len(found) == len(texts) and all(r.t == r.e for r in found)
+    assert {r.id: r.t for r in found}[len(texts) - 1] == []
