@@ -47,38 +47,40 @@ def texts_of(df):
 
 
 # ------------------------------------------------------------------ 1 language model
-def kneser_ney(train, order_texts):
+def kneser_ney(train, texts, order=ngram_lm.ORDER):
     """Straight from the formulas, with dictionaries."""
-    c, c2 = Counter(), Counter()
-    for t in train:
-        c.update(t)
-        c2.update(zip(["<s>", *t], t, strict=False))
-    follow, total, context = Counter(b for _, b in c2), Counter(), defaultdict(lambda: [0, 0, 0])
-    for (a, _), k in c2.items():
-        total[a] += k
-        context[a][min(k, 3) - 1] += 1
+    c = Counter(w for t in train for w in t)
+    grams = lambda t: list(zip(*((["<s>"] * (order - 1) + t)[k : k + len(t)] for k in range(order)), strict=True))
+    counts = {order: Counter(g for t in train for g in grams(t))}
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
 
     def discounts(counts):
         n = Counter(counts)
         if not (n[1] and n[2] and n[3]):
             return [0, 0.5, 0.5, 0.5]
         y = n[1] / (n[1] + 2 * n[2])
-        return [0, 1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3]]
-
-    d, e, kinds, v = discounts(c2.values()), discounts(follow.values()), len(c2), len(c)
-    rest = sum(e[min(k, 3)] for k in follow.values()) / kinds if kinds else 1.0
-
-    def low(w):
-        return max(follow[w] - e[min(follow[w], 3)], 0) / max(kinds, 1) + rest / (v + 1)
-
-    def high(a, w):
-        if not total[a]:
-            return low(w)
-        k = c2[a, w]
-        return max(k - d[min(k, 3)], 0) / total[a] + sum(d[j + 1] * context[a][j] for j in range(3)) / total[a] * low(w)
+        d = [0, 1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3]]
+        return d if all(0 < d[k] <= k for k in (1, 2, 3)) else [0, 0.5, 0.5, 0.5]
+
+    d = {n: discounts(counts[n].values()) for n in counts}
+    behind = defaultdict(lambda: [0, 0])
+    for n in range(2, order + 1):
+        for g, k in counts[n].items():
+            behind[g[:-1]][0] += k
+            behind[g[:-1]][1] += d[n][min(k, 3)]
+    kinds, v, follow = sum(counts[1].values()), len(c), counts[1]
+    rest = sum(d[1][min(k, 3)] for k in follow.values()) / kinds if kinds else 1.0
+
+    def p(g):
+        n, k = len(g), counts[len(g)][g]
+        if n == 1:
+            return max(k - d[1][min(k, 3)], 0) / max(kinds, 1) + rest / (v + 1)
+        total, mass = behind.get(g[:-1], (0, 0))
+        return max(k - d[n][min(k, 3)], 0) / total + mass / total * p(g[1:]) if total else p(g[1:])
 
     n = sum(c.values())
-    return [(len(t), sum(c[w] > 0 for w in t), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), sum(math.log10(high(a, w)) for a, w in zip(["<s>", *t], t, strict=False))) for t in order_texts]
+    return [(len(t), sum(c[w] > 0 for w in t), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), sum(math.log10(p(g)) for g in grams(t))) for t in texts]
 
 
 def test_language_model_equals_brute_force_and_beats_the_base(spark):
@@ -94,19 +96,34 @@ def test_language_model_equals_brute_force_and_beats_the_base(spark):
     assert sum(found[i].score for i in held) > sum(found[i].base_score for i in held)
 
 
-def test_language_model_edges(spark, edge):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_language_model_edges(spark, edge, order):
     texts = texts_of(edge)
-    model = ngram_lm.train(edge)
+    model = ngram_lm.train(edge, order)
     found = ngram_lm.score(edge, model, F.lit(False)).collect()
-    expected = kneser_ney([[*words(t), "\n"] for t in texts], [[*words(t), "\n"] for t in texts])
+    expected = kneser_ney([[*words(t), "\n"] for t in texts], [[*words(t), "\n"] for t in texts], order)
     got = sorted((r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in found)
     assert got == sorted((a, b, c, round(d, 6), round(e, 6)) for a, b, c, d, e in expected)
+
+
+def test_language_model_without_texts(spark, edge):
+    with pytest.raises(ValueError):
+        ngram_lm.train(edge, 1)
     nothing = ngram_lm.train(edge.limit(0))
     assert nothing.tokens == 0 and ngram_lm.score(edge.limit(0), nothing, F.lit(True)).count() == 0
     assert all(math.isfinite(r.score) for r in ngram_lm.score(edge, nothing, F.lit(True)).collect())
 
 
 # --------------------------------------------------------------------- 2 quality
+def test_counts_keep_their_size(tmp_path):
+    """Values take the bytes that the largest needs, beyond 32 bits too."""
+    model = ngram_lm.Model(str(tmp_path), 2, 1, {}, {2: [1, 1, 1, 1]}, [1, 1, 1, 1], 1, 4, 4, 4)
+    for most in (1, 300, 70_000, 2**40):
+        ngram_lm._put_values(f"{tmp_path}/words-0.values", np.array([[1, 2], [most, 3]]))
+        ngram_lm.put(f"{tmp_path}/words-0.keys", np.array([5, 9], np.uint64).tobytes())
+        assert ngram_lm.Lookup(model).words(np.array([9, 5, 7], np.uint64)).tolist() == [[most, 3], [1, 2], [0, 0]]
+
+
 def test_quality_of_held_out_labels(spark):
     found = {r.doc_id: r for r in queries.QUERIES["op2_line_crf_quality"](spark, SF_MID).collect()}
     labels = duckdb.sql(f"SELECT doc_id, quality FROM '{SF_MID}/labels.parquet'").fetchall()
