@@ -116,12 +116,12 @@ def test_language_model_without_texts(spark, edge):
 
 # --------------------------------------------------------------------- 2 quality
 def test_counts_keep_their_size(tmp_path):
-    """Values take the bytes that the largest needs, beyond 32 bits too."""
+    """Large ones too, beyond 32 bits."""
     model = ngram_lm.Model(str(tmp_path), 2, 1, {}, {2: [1, 1, 1, 1]}, [1, 1, 1, 1], 1, 4, 4, 4)
-    for most in (1, 300, 70_000, 2**40):
-        ngram_lm._put_values(f"{tmp_path}/words-0.values", np.array([[1, 2], [most, 3]]))
+    for most in (1, 254, 255, 256, 70_000, 2**40):
+        ngram_lm._put_values(f"{tmp_path}/words-0.values", np.array([[1, 2], [most, 300]]))
         ngram_lm.put(f"{tmp_path}/words-0.keys", np.array([5, 9], np.uint64).tobytes())
-        assert ngram_lm.Lookup(model).words(np.array([9, 5, 7], np.uint64)).tolist() == [[most, 3], [1, 2], [0, 0]]
+        assert ngram_lm.Lookup(model).words(np.array([9, 5, 7], np.uint64)).tolist() == [[most, 300], [1, 2], [0, 0]]
 
 
 def test_quality_of_held_out_labels(spark):
