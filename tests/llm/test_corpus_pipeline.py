@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from dvspark.llm import line_crf, neardup
 
+from ..conftest import SF_SMALL
 from .test_text_operators import components_by_force, shingles
 
 
@@ -55,3 +56,31 @@ def test_a_repeated_doc_id_trains_as_one_text(spark, monkeypatch):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
     line_crf.train(docs, labels, F.lit(True))
     assert [sorted(s) for s in seen] == [[0, 1, 1]]
+
+
+def test_columns_named_as_a_stages_own_and_maps_pass_through(spark):
+    """The same rows stay as without the extra columns, and keep them."""
+    plain = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    long_text = spark.createDataFrame([(10**6, "Some words of prose go on here. " * 100_000, "en", "s", 1)], plain.schema)
+    plain = plain.union(long_text)
+    names = ["_row", "_row_", "_quality", "_lang_pred", "_lang_score", "_first", "_bad", "_gone", "component_id"]
+    odd = plain.select("*", *(F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names), F.create_map(F.lit("k"), F.col("doc_id")).alias("m"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        expected = {r.doc_id for r in stage(spark, plain, SF_SMALL).select("doc_id").collect()}
+        found = stage(spark, odd, SF_SMALL)
+        assert found.columns == odd.columns, name
+        rows = found.drop("text").collect()
+        assert {r.doc_id for r in rows} == expected and len(rows) == len(expected)
+        assert all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names) and all(r.m == {"k": r.doc_id} for r in rows)
+
+
+def test_of_equal_rows_the_smallest_by_the_other_columns_stays(spark):
+    docs = spark.createDataFrame([(1, "same text", 3, {"a": 1}), (1, "same text", 2, {"b": 1}), (1, "same text", 2, {"a": 2})], "doc_id long, text string, n int, m map<string,int>")
+    assert [(r.n, r.m) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()] == [(2, {"a": 2})]
+
+
+def test_rows_whose_first_hash_is_equal_stay_apart(spark, monkeypatch):
+    """All rows under one first hash, as two texts of a very large corpus may be: none goes for another."""
+    monkeypatch.setattr(corpus_pipeline, "row_id", lambda: F.lit(7).cast("long"))
+    docs = spark.createDataFrame([(1, "one text"), (2, "another text"), (2, "another text")], "doc_id long, text string")
+    assert sorted(map(tuple, corpus_pipeline.near_duplicates(spark, docs, "").collect())) == [(1, "one text"), (2, "another text")]
