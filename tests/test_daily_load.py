@@ -247,3 +247,28 @@ def test_two_rate_feeds_and_cross_rates_in_one_run(spark, tmp_dir):
     assert sorted(r.mart_name for r in log) == ["dm_fx_cross_rates", "dm_fx_rates"]
     bad = P.read_loads(spark, D.table_path(root, "raw", "quarantine"), D.REJECTED).collect()
     assert [(r.stage, r.reason) for r in bad] == [("rate_messages", "corrupt_json")]
+
+
+def test_a_load_parses_a_file_once_and_lists_folders_in_few_tasks(spark, tmp_dir, monkeypatch):
+    root, landing = os.path.join(tmp_dir, "wh"), os.path.join(tmp_dir, "quotes")
+    for k in range(150):
+        _quote_file(os.path.join(landing, f"symbol=S{k}"), f"S{k}", "2023-03-14")
+    with open(os.path.join(landing, "symbol=S7", "BROKEN.json"), "w") as out:
+        out.write("{")
+    docs, kept = [], []
+    read, append = D.QJ.read_quote_responses, P.append_load
+    monkeypatch.setattr(D.QJ, "read_quote_responses", lambda s, paths: (docs.append(read(s, paths)), docs[-1])[1])
+    monkeypatch.setattr(P, "append_load", lambda df, path, *rest: (kept.append(docs[0].storageLevel.useDisk) if path.endswith(("raw_quotes", "quarantine")) else None, append(df, path, *rest))[1])
+    D.land_raw(spark, root, "a", F.lit("2023-03-14 20:00:00").cast("timestamp_ntz"), quotes=landing)
+    assert kept == [True, True] and not docs[0].storageLevel.useDisk  # given back at the end
+    assert D.read_raw(spark, root, "raw_quotes").count() == 150
+    assert [r.reason for r in P.read_loads(spark, D.table_path(root, "raw", "quarantine"), D.REJECTED).collect()] == ["corrupt_document"]
+
+    sc, limit = spark.sparkContext, spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    sc.setJobGroup("listing", "folders of a landing")
+    assert D.new_files(spark, root, "quotes", landing, "a").count() == 151
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < max(s.numTasks for s in stages if s) <= 16 * sc.defaultParallelism
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == limit
