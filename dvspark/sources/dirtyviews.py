@@ -35,24 +35,25 @@ def defective_documents(texts: DataFrame) -> DataFrame:
 
 def defective_days(raw: DataFrame) -> DataFrame:
     """Responses in which every day has the same defect, one for each kind."""
-    day = F.date_format("trade_date", "yyyy-MM-dd")
-    text = {n: F.col(n).cast("string") for n in ("open_price", "high_price", "low_price", "close_price", "volume")}
+    numbers = ("open_price", "high_price", "low_price", "close_price", "volume")
+    row = F.struct(F.date_format("trade_date", "yyyy-MM-dd").alias("day"), *[F.col(n).cast("string").alias(n) for n in numbers])
 
-    def entry(kind: str) -> Column:
+    def entry(kind: str, of: Column) -> Column:
         pairs = [
-            (QJ.FIELD_OPEN, F.lit("n/a") if kind == "word_price" else text["open_price"]),
-            (QJ.FIELD_HIGH, text["high_price"]),
-            (QJ.FIELD_LOW, text["low_price"]),
-            *([] if kind == "no_close" else [(QJ.FIELD_CLOSE, text["close_price"])]),
-            (QJ.FIELD_VOLUME, F.concat(text["volume"], F.lit(".5")) if kind == "part_volume" else text["volume"]),
+            (QJ.FIELD_OPEN, F.lit("n/a") if kind == "word_price" else of["open_price"]),
+            (QJ.FIELD_HIGH, of["high_price"]),
+            (QJ.FIELD_LOW, of["low_price"]),
+            *([] if kind == "no_close" else [(QJ.FIELD_CLOSE, of["close_price"])]),
+            (QJ.FIELD_VOLUME, F.concat(of["volume"], F.lit(".5")) if kind == "part_volume" else of["volume"]),
         ]
         fields = F.create_map(*[x for k, v in pairs for x in (F.lit(k), v)])
-        return F.struct(F.lit(kind).alias("defect"), (F.concat(F.lit("day "), day) if kind == "bad_date" else day).alias("k"), fields.alias("v"))
+        return F.struct((F.concat(F.lit("day "), of["day"]) if kind == "bad_date" else of["day"]).alias("k"), fields.alias("v"))
 
-    rows = raw.select("symbol", "source", F.date_format("trade_date", "yyyy-MM").alias("period"), F.explode(F.array(*map(entry, DAY_DEFECTS))).alias("e"))
-    # A response holds the days of one month.
-    docs = rows.groupBy("symbol", "source", "period", F.col("e.defect").alias("defect")).agg(F.map_from_entries(F.collect_list(F.struct("e.k", "e.v"))).alias("series"))
-    return docs.select("symbol", "source", "period", "defect", F.to_json(F.struct(F.col("series").alias(QJ.SERIES))).alias("json_text"))
+    # A response holds the days of one month; they are grouped once and then broken in each way.
+    docs = raw.groupBy("symbol", "source", F.date_format("trade_date", "yyyy-MM").alias("period")).agg(F.collect_list(row).alias("days"))
+    series = lambda kind: F.map_from_entries(F.transform("days", lambda d: entry(kind, d)))
+    broken = docs.select("symbol", "source", "period", F.explode(F.array(*[F.struct(F.lit(k).alias("defect"), series(k).alias("series")) for k in DAY_DEFECTS])).alias("d"))
+    return broken.select("symbol", "source", "period", "d.defect", F.to_json(F.struct(F.col("d.series").alias(QJ.SERIES))).alias("json_text"))
 
 
 def _variants(df: DataFrame, defects: dict[str, dict[str, Column]]) -> DataFrame:
