@@ -134,3 +134,28 @@ def test_landed_halves_are_written_by_as_many_tasks_as_their_size_asks_for(spark
     landed = spark.read.parquet(newer).unionByName(spark.read.parquet(older))
     assert _rows(landed.select("event_id")) == [(k,) for k in range(20000)]
     assert _rows(spark.read.parquet(untimed).where("ts IS NULL").select("event_id")) == [(C.UNTIMED + k,) for k in range(20000)]
+
+
+def test_state_query_lands_each_load_in_as_many_files_as_its_size_asks_for(spark, tmp_dir, monkeypatch):
+    os.makedirs(os.path.join(tmp_dir, "sf"))
+    rows = spark.range(20000).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts", "id % 7 AS user_id", "'tick' AS event_type", "CAST(id AS DOUBLE) AS value", "uuid() AS props")
+    rows.coalesce(1).write.parquet(os.path.join(tmp_dir, "sf", "events.parquet"))
+    sizes = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    before = {k: spark.conf.get(k) for k in sizes}
+    files = [0]
+
+    def drained(spark, events, target, *_):
+        landing = os.path.join(os.path.dirname(target).removeprefix("file:"), "landing")
+        files.append(len([f for f in os.listdir(landing) if f.endswith(".parquet")]))
+
+    monkeypatch.setattr(C.X, "dedup_stream", drained)
+    monkeypatch.setattr(C.X, "read_loaded", lambda *_: None)
+    try:
+        for k in sizes:
+            spark.conf.set(k, "65536")
+        C.QUERIES["stream_dedup_state"](spark, os.path.join(tmp_dir, "sf"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    loads = [b - a for a, b in zip(files, files[1:], strict=False)]
+    assert len(loads) == 6 and min(loads) > 1  # one file a load would be read, and its rows sorted, by one task
